@@ -50,7 +50,8 @@ def running_event_rules(date_is_text: bool = False) -> list[tuple[str, Column]]:
     """(code, condition that is true when the rule fails) for the running-event contract."""
     return [
         ("train_number_length", _length_fails(F.col("train_number"), ID_MAX_LENGTH)),
-        ("journey_date_invalid", _date_fails(F.col("journey_date"), date_is_text)),
+        ("journey_date_invalid",
+         _date_fails(F.col("journey_date_text" if date_is_text else "journey_date"), date_is_text)),
         ("station_code_length", _length_fails(F.col("station_code"), ID_MAX_LENGTH)),
         ("station_sequence_not_positive",
          F.col("station_sequence").isNull() | (F.col("station_sequence") <= 0)),

@@ -142,7 +142,7 @@ def quarantine_records(rejected: DataFrame, hash_columns: list[str] | None = Non
         F.concat_ws(",", "errors").alias("error_codes"),
         (F.col("source_record_hash") if "source_record_hash" in record_cols
          else E.record_hash(*hash_columns)).alias("source_record_hash"),
-        *record_cols,
+        *[c for c in record_cols if c != "source_record_hash"],
     )
     return out
 
@@ -194,10 +194,10 @@ def load_counters(checked: DataFrame, target: DataFrame, key: str = "source_reco
     )
 
 
-def preflight_counts(events: DataFrame) -> DataFrame:
+def preflight_counts(events: DataFrame, date_is_text: bool = False) -> DataFrame:
     """Dry run: exact duplicates removed first, then validated; accepted/rejected counts."""
     deduped = exact_dedupe(events)
-    checked = with_rule_check(deduped)
+    checked = with_rule_check(deduped, date_is_text=date_is_text)
     return checked.agg(
         F.count_if(F.size("errors") == 0).cast("long").alias("accepted_count"),
         F.count_if(F.size("errors") > 0).cast("long").alias("rejected_count"),

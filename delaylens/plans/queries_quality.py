@@ -1 +1,150 @@
-"""Registered queries."""
+"""Registered queries: data-quality tests, report, leakage guard."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from delaylens.operators import ingest, quality
+from delaylens.plans.catalog import register
+from delaylens.plans.model_build import from_fixtures
+from delaylens.plans.oracle_views import oracle
+
+
+def _models(spark, sf_dir):
+    m = from_fixtures(spark, sf_dir)
+    return {
+        "stg_train_running": m.stg_train_running,
+        "raw_train_running_events": ingest.exact_dedupe(m.raw_running),
+        "dim_train": m.dim_train,
+        "dim_station": m.dim_station,
+        "dim_route_stop": m.dim_route_stop,
+        "fact_station_arrival": m.fact_station_arrival,
+    }
+
+
+ORACLE_MODELS = {
+    "stg_train_running": "stg_train_running",
+    "raw_train_running_events": "running_accepted",
+    "dim_train": "dim_train",
+    "dim_station": "dim_station",
+    "dim_route_stop": "dim_route_stop",
+    "fact_station_arrival": "fact",
+}
+
+
+def _not_null_sql() -> str:
+    parts = []
+    for model, cols in quality.NOT_NULL_COLUMNS.items():
+        for c in cols:
+            parts.append(f"SELECT 'not_null_{model}_{c}' AS test_name, "
+                         f"CAST(count_if({c} IS NULL) AS BIGINT) AS failed_count FROM {ORACLE_MODELS[model]}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _unique_sql(items: dict, prefix_one: str = "unique_", prefix_many: str = "unique_combination_") -> str:
+    parts = []
+    for model, cols in items.items():
+        cols = [cols] if isinstance(cols, str) else cols
+        name = (prefix_one if len(cols) == 1 else prefix_many) + model + "_" + "_".join(cols)
+        parts.append(f"SELECT '{name}' AS test_name, CAST(count(*) AS BIGINT) AS failed_count FROM "
+                     f"(SELECT {', '.join(cols)} FROM {ORACLE_MODELS[model]} GROUP BY ALL HAVING count(*) > 1) d")
+    return "\nUNION ALL\n".join(parts)
+
+
+SINGULAR_SQL = """
+SELECT 'assert_actual_arrival_has_schedule' AS test_name, CAST(count(*) AS BIGINT) AS failed_count
+FROM stg_train_running WHERE actual_arrival_at IS NOT NULL AND scheduled_arrival_at IS NULL
+UNION ALL
+SELECT 'assert_positive_station_sequence', CAST(count(*) AS BIGINT) FROM stg_train_running WHERE station_sequence <= 0
+UNION ALL
+SELECT 'assert_running_fact_references_schedule_stop', CAST(count(*) AS BIGINT)
+FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_route_stop s WHERE f.train_number = s.train_number
+    AND f.station_code = s.station_code AND f.station_sequence = s.station_sequence)"""
+
+ALL_VIEWS = ("stg_train_running", "running_accepted", "dim_train", "dim_station", "dim_route_stop", "fact")
+
+
+@register("dq_not_null", oracle(_not_null_sql(), *ALL_VIEWS), "Q1")
+def q_dq_not_null(spark, sf_dir):
+    ms = _models(spark, sf_dir)
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    return reduce(DataFrame.unionByName, [quality.not_null_failures(ms[m], m, cols)
+                                          for m, cols in quality.NOT_NULL_COLUMNS.items()])
+
+
+@register("dq_unique", oracle(_unique_sql(quality.UNIQUE_COLUMNS), *ALL_VIEWS), "Q2 T9")
+def q_dq_unique(spark, sf_dir):
+    ms = _models(spark, sf_dir)
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    return reduce(DataFrame.unionByName, [quality.unique_failures(ms[m], m, [c])
+                                          for m, c in quality.UNIQUE_COLUMNS.items()])
+
+
+@register("dq_unique_combination", oracle(_unique_sql(quality.UNIQUE_COMBINATIONS), *ALL_VIEWS), "Q3")
+def q_dq_unique_combination(spark, sf_dir):
+    ms = _models(spark, sf_dir)
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    return reduce(DataFrame.unionByName, [quality.unique_failures(ms[m], m, cols)
+                                          for m, cols in quality.UNIQUE_COMBINATIONS.items()])
+
+
+@register("dq_actual_without_schedule", oracle("""
+SELECT train_number, journey_date, station_code, station_sequence FROM stg_train_running
+WHERE actual_arrival_at IS NOT NULL AND scheduled_arrival_at IS NULL""", "stg_train_running"), "Q4")
+def q_dq_actual_without_schedule(spark, sf_dir):
+    return quality.actual_without_schedule(from_fixtures(spark, sf_dir).stg_train_running).select(
+        "train_number", "journey_date", "station_code", "station_sequence")
+
+
+@register("dq_nonpositive_sequence", oracle("""
+SELECT train_number, journey_date, station_code, station_sequence FROM stg_train_running
+WHERE station_sequence <= 0""", "stg_train_running"), "Q5")
+def q_dq_nonpositive_sequence(spark, sf_dir):
+    return quality.nonpositive_sequence(from_fixtures(spark, sf_dir).stg_train_running).select(
+        "train_number", "journey_date", "station_code", "station_sequence")
+
+
+@register("dq_fact_without_schedule", oracle("""
+SELECT f.train_number, f.journey_date, f.station_code, f.station_sequence FROM fact f
+LEFT JOIN dim_route_stop s ON f.train_number = s.train_number AND f.station_code = s.station_code
+     AND f.station_sequence = s.station_sequence
+WHERE s.train_number IS NULL""", "fact", "dim_route_stop"), "Q6 J4")
+def q_dq_fact_without_schedule(spark, sf_dir):
+    m = from_fixtures(spark, sf_dir)
+    return quality.fact_without_schedule(m.fact_station_arrival, m.dim_route_stop).select(
+        "train_number", "journey_date", "station_code", "station_sequence")
+
+
+@register("dq_report", oracle(f"""
+, r AS ({_not_null_sql()}
+UNION ALL
+{_unique_sql(quality.UNIQUE_COLUMNS)}
+UNION ALL
+{_unique_sql(quality.UNIQUE_COMBINATIONS)}
+UNION ALL
+{SINGULAR_SQL})
+SELECT test_name, 'error' AS severity, failed_count,
+       CASE WHEN failed_count = 0 THEN 'pass' ELSE 'fail' END AS status FROM r""", *ALL_VIEWS), "Q7")
+def q_dq_report(spark, sf_dir):
+    return quality.quality_report(_models(spark, sf_dir))
+
+
+@register("leakage_violations", oracle("""
+SELECT train_number, journey_date, station_code, station_sequence, scheduled_arrival_at AS prediction_at,
+       feature_observed_at
+FROM (SELECT *, lag(actual_arrival_at) OVER (PARTITION BY train_number, journey_date
+                                             ORDER BY station_sequence, station_code) AS feature_observed_at
+      FROM fact) f
+WHERE feature_observed_at IS NOT NULL AND feature_observed_at > scheduled_arrival_at""", "fact"), "P18")
+def q_leakage_violations(spark, sf_dir):
+    fact = from_fixtures(spark, sf_dir).fact_station_arrival
+    # The previous stop's actual arrival is the observation time of the previous-stop feature.
+    w = Window.partitionBy("train_number", "journey_date").orderBy("station_sequence", "station_code")
+    feats = fact.select("train_number", "journey_date", "station_code", "station_sequence",
+                        F.col("scheduled_arrival_at").alias("prediction_at"),
+                        F.lag("actual_arrival_at").over(w).alias("feature_observed_at"))
+    return quality.leakage_violations(feats, "feature_observed_at", "prediction_at")
