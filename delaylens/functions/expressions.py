@@ -114,3 +114,12 @@ def percent_where(cond: Column) -> Column:
 
 def round6(c: Column) -> Column:
     return F.round(c.cast("double"), 6)
+
+
+def guard(value: str | Column, ok: Column, message: str) -> Column:
+    """``value``, but fail the task with ``message`` where ``ok`` is false.
+
+    The check is folded into a column that is kept: a separate ``assert_true`` column that
+    is dropped later would be pruned by the optimizer and never run.
+    """
+    return F.coalesce(F.assert_true(ok, F.lit(message)), col(value))

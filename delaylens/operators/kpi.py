@@ -132,7 +132,7 @@ def watchlist_top_k(fact: DataFrame, start_date: str, end_date: str, k: int = WA
     if strict:
         # Fail the job (not the driver) when fewer than k trains exist.
         n = top.agg(F.count(F.lit(1))).scalar()
-        top = top.withColumn("_chk", F.assert_true(n == k, F.lit(f"expected {k} watchlist trains"))).drop("_chk")
+        top = top.withColumn("train_number", E.guard("train_number", n == k, f"expected {k} watchlist trains"))
     return top
 
 

@@ -118,12 +118,13 @@ def reconcile_counts(counts: DataFrame) -> DataFrame:
     cols = ["source_count", "raw_count", "staging_count", "mart_count", "rejected_count", "duplicate_count"]
     nonneg = reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in cols])
     return counts.select(
-        *cols,
+        F.coalesce(F.assert_true(nonneg, F.lit("reconciliation counts cannot be negative")),
+                   F.col("source_count")).alias("source_count"),
+        *cols[1:],
         (F.col("source_count") == F.col("raw_count") + F.col("rejected_count") + F.col("duplicate_count"))
         .alias("accounted_for"),
         (F.col("staging_count") >= F.col("mart_count")).alias("transformations_complete"),
-        F.assert_true(nonneg, F.lit("reconciliation counts cannot be negative")).alias("_chk"),
-    ).drop("_chk")
+    )
 
 
 def leakage_violations(df: DataFrame, observed_at: str | Column, prediction_at: str | Column,
@@ -132,8 +133,9 @@ def leakage_violations(df: DataFrame, observed_at: str | Column, prediction_at:
     obs = F.col(observed_at) if isinstance(observed_at, str) else observed_at
     pred = F.col(prediction_at) if isinstance(prediction_at, str) else prediction_at
     bad = df.where(obs.isNotNull() & (obs > pred))
+    obs_name = observed_at if isinstance(observed_at, str) else "feature_observed_at"
     if strict:
         n = bad.agg(F.count(F.lit(1))).scalar()
-        bad = bad.withColumn("_chk", F.assert_true(n == 0, F.lit(
-            "feature observation occurs after prediction time (target leakage risk)"))).drop("_chk")
+        bad = bad.withColumn(obs_name, F.coalesce(F.assert_true(n == 0, F.lit(
+            "feature observation occurs after prediction time (target leakage risk)")), obs))
     return bad

@@ -84,9 +84,9 @@ def read_baseline_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
     )
     if strict:
         n = obs.agg(F.count(F.lit(1))).scalar()
-        obs = obs.withColumn("_chk", F.assert_true(n >= BASELINE_MIN_ROWS,
-                                                   F.lit("at least ten non-null historical delay observations are required"))) \
-                 .drop("_chk")
+        obs = obs.withColumn("arrival_delay_minutes", E.guard(
+            "arrival_delay_minutes", n >= BASELINE_MIN_ROWS,
+            "at least ten non-null historical delay observations are required"))
     return obs
 
 

@@ -57,6 +57,6 @@ def gate_sources(events: DataFrame, manifests: DataFrame, strict: bool = False)
     gated = events.join(allowed, "source_name", "left_semi")
     if strict:
         blocked = events.join(allowed, "source_name", "left_anti").agg(F.count(F.lit(1))).scalar()
-        gated = gated.withColumn("_chk", F.assert_true(blocked == 0, F.lit("source is not approved for local processing"))) \
-                     .drop("_chk")
+        gated = gated.withColumn("source_name", F.coalesce(
+            F.assert_true(blocked == 0, F.lit("source is not approved for local processing")), F.col("source_name")))
     return gated
