@@ -1 +1,57 @@
-"""Registered queries."""
+"""Registered queries: the Structured Streaming jobs, checked on their final tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from delaylens.operators.marts import FACT_COLUMNS
+from delaylens.plans.catalog import register
+from delaylens.plans.model_build import from_fixtures
+from delaylens.plans.oracle_views import oracle
+from delaylens.plans.queries_ingest import HASHED_COLS, HASHED_SQL, SNAP_SQL
+from delaylens.session import scratch_path
+from delaylens.sources import fixtures
+from delaylens.streaming import jobs
+
+
+def _landing(spark, df, name, files):
+    return jobs.land(df, scratch_path(spark, f"landing-{name}"), files), df.schema
+
+
+@register("stream_snapshot_archive", oracle(SNAP_SQL + "SELECT DISTINCT * FROM snap_h", "snapshot_payload"),
+          "R1 S4 K1")
+def q_stream_snapshot_archive(spark, sf_dir):
+    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "snapshots", 8)
+    archive = scratch_path(spark, "snapshot_archive")
+    jobs.snapshot_archive(spark, landing, archive, scratch_path(spark, "ckpt-archive"), schema, max_files=2)
+    return spark.read.parquet(archive).drop("batch_id")
+
+
+@register("stream_dedupe", oracle(f"SELECT DISTINCT {HASHED_SQL} FROM running_raw", "running_raw"), "R2 P14")
+def q_stream_dedupe(spark, sf_dir):
+    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "dedupe", 4)
+    sink = scratch_path(spark, "dedupe_sink")
+    jobs.late_correction_dedupe(spark, landing, sink, scratch_path(spark, "ckpt-dedupe"), schema)
+    return spark.read.parquet(sink).select(*HASHED_COLS)
+
+
+@register("stream_fact_upsert", oracle("SELECT * FROM fact", "fact"), "R3 K2 T14")
+def q_stream_fact_upsert(spark, sf_dir):
+    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "upsert", 6)
+    fact_root = scratch_path(spark, "fact_stream")
+    jobs.fact_upsert(spark, landing, scratch_path(spark, "raw_stream"), fact_root, scratch_path(spark, "stage"),
+                     scratch_path(spark, "ckpt-upsert"), schema, max_files=2)
+    return spark.read.parquet(fact_root).select(*FACT_COLUMNS)
+
+
+@register("stream_daily_trend", oracle("""
+SELECT journey_date, count(*) AS observations, round(avg(arrival_delay_minutes), 6) AS average_delay_minutes,
+       round(median(arrival_delay_minutes), 6) AS median_delay_minutes
+FROM observed GROUP BY journey_date""", "observed"), "R4 A7")
+def q_stream_daily_trend(spark, sf_dir):
+    fact = from_fixtures(spark, sf_dir).fact_station_arrival
+    landing, schema = _landing(spark, fact, "trend", 6)
+    out = scratch_path(spark, "daily_trend_stream")
+    jobs.daily_trend_stream(spark, landing, out, scratch_path(spark, "ckpt-trend"), schema, max_files=2)
+    return spark.read.parquet(out).select("journey_date", F.col("observations").cast("long").alias("observations"),
+                                          "average_delay_minutes", "median_delay_minutes")
