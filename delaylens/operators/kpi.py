@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from delaylens.functions import expressions as E
 from delaylens.operators.marts import observed
 
-DELAY = F.col("arrival_delay_minutes").cast("double")
+def _delay():
+    return F.col("arrival_delay_minutes").cast("double")
 
 # Fixed values of the dashboard: minimum observations for a hotspot, default and allowed
 # hotspot count, watchlist size, and the status-envelope states.
@@ -39,12 +40,13 @@ def network_overview(fact: DataFrame, dim_station: DataFrame, audit: DataFrame,
     The distinct journey count is a two-level aggregate on (train, date); the station count
     and the last successful run are scalar subqueries, so no join is planned.
     """
+    delay = _delay()
     o = observed(fact)
     return o.agg(
         F.count_distinct("train_number", "journey_date").cast("long").alias("journeys_analysed"),
-        E.round6(F.avg(DELAY)).alias("average_arrival_delay_minutes"),
-        E.round6(F.median(DELAY)).alias("median_arrival_delay_minutes"),
-        E.round6(E.percent_where(DELAY <= E.ON_TIME_MAX_MINUTES)).alias("on_time_or_early_percent"),
+        E.round6(F.avg(delay)).alias("average_arrival_delay_minutes"),
+        E.round6(F.median(delay)).alias("median_arrival_delay_minutes"),
+        E.round6(E.percent_where(delay <= E.ON_TIME_MAX_MINUTES)).alias("on_time_or_early_percent"),
         F.count(F.lit(1)).cast("long").alias("station_stop_observations"),
         F.min("journey_date").alias("coverage_start_date"),
         F.max("journey_date").alias("coverage_end_date"),
@@ -61,21 +63,23 @@ def network_overview(fact: DataFrame, dim_station: DataFrame, audit: DataFrame,
 
 def delay_distribution(fact: DataFrame) -> DataFrame:
     """A5 + P12: observations per delay band, in band order."""
+    delay = _delay()
     return observed(fact).groupBy(
-        E.delay_band_label(DELAY).alias("label"),
-        E.delay_band_order(DELAY).alias("band_order"),
+        E.delay_band_label(delay).alias("label"),
+        E.delay_band_order(delay).alias("band_order"),
     ).agg(F.count(F.lit(1)).alias("observations")).orderBy("band_order")
 
 
 def station_hotspots(fact: DataFrame, limit: int = HOTSPOT_DEFAULT_LIMIT) -> DataFrame:
     """Stations with >= 30 observations, top ``limit`` by mean delay (ties: count, code)."""
+    delay = _delay()
     if not 1 <= limit <= HOTSPOT_MAX_LIMIT:
         raise ValueError(f"limit must be within 1..{HOTSPOT_MAX_LIMIT}")
     agg = observed(fact).groupBy("station_code").agg(
         F.count(F.lit(1)).alias("observations"),
-        F.avg(DELAY).alias("_avg"),
-        F.median(DELAY).alias("_median"),
-        E.percent_where(DELAY <= E.ON_TIME_MAX_MINUTES).alias("_on_time"),
+        F.avg(delay).alias("_avg"),
+        F.median(delay).alias("_median"),
+        E.percent_where(delay <= E.ON_TIME_MAX_MINUTES).alias("_on_time"),
     ).where(F.col("observations") >= HOTSPOT_MIN_OBSERVATIONS)
     top = agg.orderBy(F.col("_avg").desc(), F.col("observations").desc(), F.col("station_code").asc()) \
              .limit(limit)
@@ -89,10 +93,11 @@ def station_hotspots(fact: DataFrame, limit: int = HOTSPOT_DEFAULT_LIMIT) -> Dat
 
 def daily_trend(fact: DataFrame) -> DataFrame:
     """Per journey date: observations, mean and median delay."""
+    delay = _delay()
     return observed(fact).groupBy("journey_date").agg(
         F.count(F.lit(1)).alias("observations"),
-        E.round6(F.avg(DELAY)).alias("average_delay_minutes"),
-        E.round6(F.median(DELAY)).alias("median_delay_minutes"),
+        E.round6(F.avg(delay)).alias("average_delay_minutes"),
+        E.round6(F.median(delay)).alias("median_delay_minutes"),
     ).orderBy("journey_date")
 
 
@@ -104,14 +109,15 @@ def train_profile(fact: DataFrame, requests: DataFrame) -> DataFrame:
     requested trains are aggregated; unknown trains come back as ``not_found`` with null
     metrics (never invented zeros).
     """
+    delay = _delay()
     req = requests.select(F.col("train_number").cast("string")).distinct()
     rows = observed(fact).join(req, "train_number", "left_semi")
     agg = rows.groupBy("train_number").agg(
         F.count_distinct("journey_date").cast("long").alias("journeys"),
         F.count(F.lit(1)).cast("long").alias("observations"),
-        E.round6(F.avg(DELAY)).alias("average_delay_minutes"),
-        E.round6(F.median(DELAY)).alias("median_delay_minutes"),
-        E.round6(E.percent_where(DELAY <= E.ON_TIME_MAX_MINUTES)).alias("on_time_percent"),
+        E.round6(F.avg(delay)).alias("average_delay_minutes"),
+        E.round6(F.median(delay)).alias("median_delay_minutes"),
+        E.round6(E.percent_where(delay <= E.ON_TIME_MAX_MINUTES)).alias("on_time_percent"),
     )
     out = req.join(agg, "train_number", "left")
     found = F.col("observations").isNotNull() & (F.col("observations") > 0)
