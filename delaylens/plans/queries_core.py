@@ -117,7 +117,7 @@ def q_prediction_accuracy(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------- KPIs
-@register("network_overview", oracle(f"""
+NETWORK_OVERVIEW_ORACLE = oracle(f"""
 SELECT CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END AS state,
        CAST(count(DISTINCT (train_number, journey_date)) AS BIGINT) AS journeys_analysed,
        (SELECT count(*) FROM dim_station) AS stations,
@@ -128,7 +128,10 @@ SELECT CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END A
        min(journey_date) AS coverage_start_date, max(journey_date) AS coverage_end_date,
        (SELECT max(completed_at) FROM ingestion_audit
          WHERE status = 'succeeded' AND source_name = '{AUDIT_SOURCE}') AS last_successful_pipeline_at
-FROM observed""", "observed", "dim_station", "ingestion_audit"), "A1 A16 A17 P21")
+FROM observed""", "observed", "dim_station", "ingestion_audit")
+
+
+@register("network_overview", NETWORK_OVERVIEW_ORACLE, "A1 A16 A17 P21")
 def q_network_overview(spark, sf_dir):
     m = from_fixtures(spark, sf_dir)
     return kpi.network_overview(m.fact_station_arrival, m.dim_station,

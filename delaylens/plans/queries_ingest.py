@@ -503,3 +503,57 @@ def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("weather_flatten", oracle(WEATHER_SQL + "SELECT * FROM wf", "weather_payload"), "S5")
 def q_weather_flatten(spark, sf_dir):
     return weather_rows(spark, sf_dir)
+
+
+# ----------------------------------------------------------------------- historical load job
+LOAD_VALID_SQL = LOOKUP_SQL + f"""
+, hashed AS (SELECT *, {_load_hash_sql()} AS source_record_hash FROM attached),
+lc AS (SELECT *, NOT (length(train_number) NOT BETWEEN 1 AND 16 OR length(station_code) NOT BETWEEN 1 AND 16
+                  OR station_sequence <= 0 OR journey_date_text IS NULL
+                  OR NOT regexp_matches(journey_date_text, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
+                  OR TRY_CAST(journey_date_text AS DATE) IS NULL
+                  OR (arrival_delay_minutes IS NOT NULL AND NOT (arrival_delay_minutes BETWEEN -1440 AND 10080))
+                  OR (departure_delay_minutes IS NOT NULL AND NOT (departure_delay_minutes BETWEEN -1440 AND 10080)))
+                  AS ok FROM hashed),
+c AS (SELECT count(*) AS received, count_if(ok) AS valid, count_if(NOT ok) AS rejected,
+             count(DISTINCT CASE WHEN ok THEN source_record_hash END) AS distinct_valid FROM lc)
+"""
+
+
+@register("historical_load", oracle(LOAD_VALID_SQL + """
+SELECT 'run-1' AS run_id, 'succeeded' AS status, received AS records_received, valid AS records_valid,
+       rejected AS records_rejected, distinct_valid AS records_distinct_valid, distinct_valid AS records_inserted,
+       CAST(0 AS BIGINT) AS records_already_present FROM c
+UNION ALL
+SELECT 'run-2', 'succeeded', received, valid, rejected, distinct_valid, CAST(0 AS BIGINT), distinct_valid FROM c""",
+                                    "delay_csv", "route_csv"), "K4 K1 K3 A10 J1 J2 S2 S3 P20 W4")
+def q_historical_load(spark, sf_dir):
+    from delaylens.plans import load_run
+    landing = scratch_path(spark, "rstgcn_landing")
+    files.write_csv(fixtures.load(spark, sf_dir, "delay_csv"), f"{landing}/delays")
+    files.write_csv(fixtures.load(spark, sf_dir, "route_csv"), f"{landing}/routes")
+    delay_path, route_path = f"{landing}/delays", f"{landing}/routes"
+    paths = load_run.LoadPaths(scratch_path(spark, "raw_running"), scratch_path(spark, "quarantine"),
+                               scratch_path(spark, "ingestion_audit"))
+    load_run.historical_load(spark, delay_path, route_path, paths, run_id="run-1")
+    load_run.historical_load(spark, delay_path, route_path, paths, run_id="run-2")  # re-run inserts nothing
+    audit = load_run.read_audit(spark, paths.audit_root)
+    return audit.select("run_id", "status", "records_received", "records_valid", "records_rejected",
+                        F.col("records_distinct_valid"), "records_inserted", "records_already_present")
+
+
+def _network_overview_oracle() -> str:
+    from delaylens.plans.queries_core import NETWORK_OVERVIEW_ORACLE
+    return NETWORK_OVERVIEW_ORACLE
+
+
+@register("dashboard_snapshot", _network_overview_oracle(), "K7 A1")
+def q_dashboard_snapshot(spark, sf_dir):
+    from delaylens.operators import kpi as kpi_ops
+    from delaylens.plans import load_run
+    from delaylens.plans.model_build import from_fixtures
+    m = from_fixtures(spark, sf_dir)
+    overview = kpi_ops.network_overview(m.fact_station_arrival, m.dim_station,
+                                        fixtures.load(spark, sf_dir, "ingestion_audit"), "synthetic_events")
+    path = load_run.export_snapshot(overview, scratch_path(spark, "dashboard_snapshot"))
+    return load_run.read_snapshot(spark, path, overview.schema)
