@@ -61,7 +61,21 @@ def running_event_rules(date_is_text: bool = False) -> list[tuple[str, Column]]:
     ]
 
 
+def rules_pass(rules: list[tuple[str, Column]]) -> Column:
+    """True when no rule fails: one boolean expression, fully inside generated code."""
+    fails = None
+    for _code, cond in rules:
+        c = F.coalesce(cond, F.lit(False))
+        fails = c if fails is None else (fails | c)
+    return ~fails
+
+
 def failed_rules(rules: list[tuple[str, Column]]) -> Column:
-    """Array of the codes of failed rules (empty array = valid row)."""
+    """Array of the codes of failed rules (empty array = valid row).
+
+    The array is built only for rows that fail (the lambda-based ``filter`` is evaluated
+    row by row, so valid rows skip it).
+    """
     flagged = F.array(*[F.when(cond, F.lit(code)) for code, cond in rules])
-    return F.filter(flagged, lambda x: x.isNotNull())
+    return F.when(rules_pass(rules), F.array().cast("array<string>")) \
+            .otherwise(F.filter(flagged, lambda x: x.isNotNull()))

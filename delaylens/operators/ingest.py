@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
-from delaylens.functions.rules import failed_rules, running_event_rules
+from delaylens.functions.rules import failed_rules, rules_pass, running_event_rules
 
 # Canonical column list of a running event, sorted by name, used for the record hash.
 CANONICAL_EVENT_COLUMNS = sorted([
@@ -103,7 +103,7 @@ def with_rule_check(df: DataFrame, date_is_text: bool = False) -> DataFrame:
             ("arrival_delay_not_a_number", F.col("arrival_delay_not_a_number")),
             ("departure_delay_not_a_number", F.col("departure_delay_not_a_number")),
         ]
-    return df.withColumn("errors", failed_rules(rules))
+    return df.withColumn("rules_ok", rules_pass(rules)).withColumn("errors", failed_rules(rules))
 
 
 def normalize_accepted(df: DataFrame) -> DataFrame:
@@ -126,8 +126,8 @@ def validate(df: DataFrame, date_is_text: bool = False) -> tuple[DataFrame, Data
     once (see ``plans.load_run``) instead of scanning the source twice.
     """
     checked = with_rule_check(df, date_is_text=date_is_text)
-    accepted = normalize_accepted(checked.where(F.size("errors") == 0).drop("errors"))
-    rejected = checked.where(F.size("errors") > 0)
+    accepted = normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok"))
+    rejected = checked.where(~F.col("rules_ok")).drop("rules_ok")
     return accepted, rejected
 
 
@@ -171,12 +171,12 @@ def load_counters(checked: DataFrame, target: DataFrame, key: str = "source_reco
     """
     totals = checked.agg(
         F.count(F.lit(1)).alias("received"),
-        F.count_if(F.size("errors") == 0).alias("valid"),
-        F.count_if(F.size("errors") > 0).alias("rejected"),
+        F.count_if(F.col("rules_ok")).alias("valid"),
+        F.count_if(~F.col("rules_ok")).alias("rejected"),
     )
     # Distinct valid hashes, each flagged when the target already holds it: one left join,
     # then one small aggregate. The target side is reduced to its distinct keys first.
-    distinct_valid = checked.where(F.size("errors") == 0).select(key).distinct()
+    distinct_valid = checked.where(F.col("rules_ok")).select(key).distinct()
     target_keys = target.select(key).distinct().withColumn("_present", F.lit(True))
     flagged = distinct_valid.join(target_keys, key, "left")
     per_key = flagged.agg(
@@ -199,6 +199,6 @@ def preflight_counts(events: DataFrame, date_is_text: bool = False) -> DataFrame
     deduped = exact_dedupe(events)
     checked = with_rule_check(deduped, date_is_text=date_is_text)
     return checked.agg(
-        F.count_if(F.size("errors") == 0).cast("long").alias("accepted_count"),
-        F.count_if(F.size("errors") > 0).cast("long").alias("rejected_count"),
+        F.count_if(F.col("rules_ok")).cast("long").alias("accepted_count"),
+        F.count_if(~F.col("rules_ok")).cast("long").alias("rejected_count"),
     )

@@ -94,10 +94,10 @@ def reconcile_layers(source: DataFrame, checked: DataFrame, staging: DataFrame,
     Each count is its own aggregate, combined as scalar subqueries on a one-row frame (no
     join); ``assert_true`` in ``strict`` callers can fail the job on a negative count.
     """
-    valid = checked.where(F.size("errors") == 0)
+    valid = checked.where(F.col("rules_ok"))
     src = source.agg(F.count(F.lit(1)).cast("long")).scalar()
     raw = valid.agg(F.count_distinct(key).cast("long")).scalar()
-    rej = checked.where(F.size("errors") > 0).agg(F.count(F.lit(1)).cast("long")).scalar()
+    rej = checked.where(~F.col("rules_ok")).agg(F.count(F.lit(1)).cast("long")).scalar()
     dup = valid.agg((F.count(F.lit(1)) - F.count_distinct(key)).cast("long")).scalar()
     stg = staging.agg(F.count(F.lit(1)).cast("long")).scalar()
     mrt = mart.agg(F.count(F.lit(1)).cast("long")).scalar()

@@ -115,10 +115,10 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
         # counters all read it, and the CSVs are parsed and joined a single time.
         checked = prepare(delays, routes, source_name).checkpoint(eager=True)
 
-        rejected = checked.where(F.size("errors") > 0)
+        rejected = checked.where(~F.col("rules_ok"))
         ingest.quarantine_records(rejected).write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
 
-        accepted = ingest.normalize_accepted(checked.where(F.size("errors") == 0).drop("errors")) \
+        accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok")) \
                          .drop("arrival_delay_not_a_number", "departure_delay_not_a_number")
         target = read_raw(spark, paths, accepted.schema)
         counters = ingest.load_counters(checked, target).first().asDict()

@@ -118,7 +118,7 @@ def fact_upsert(spark: SparkSession, landing: str, raw_root: str, fact_root: str
     """Incremental fact maintenance, one upsert per micro-batch (idempotent by batch id)."""
     stream = _stream(spark, landing, landing_schema, max_files)
     checked = ingest.with_rule_check(stream)
-    accepted = ingest.normalize_accepted(checked.where(F.size("errors") == 0).drop("errors"))
+    accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok"))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         raw_schema = T.StructType(batch.schema.fields[:])
