@@ -17,18 +17,32 @@ FLOOR_TIMESTAMP = "1900-01-01 00:00:00"
 
 
 # --------------------------------------------------------------------------- K1
-def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash") -> DataFrame:
+def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
+                implied_by_key: list[str] | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (one per key). Re-running adds nothing.
 
     ``dropDuplicates`` collapses repeated keys map-side; the ``left_anti`` join against the
     target's key column is a shuffle on the key (AQE broadcasts the smaller side when small).
+
+    ``implied_by_key`` names columns the key determines (the content hash covers the journey
+    date, so equal hashes have equal dates). The target is then first narrowed to the batch's
+    values of those columns: a semi join against the batch's distinct values (one row per
+    calendar day, a proven small set, broadcast), which becomes dynamic partition pruning when
+    the target is partitioned by them. A daily batch then reads the target's few matching
+    partitions instead of the whole table.
     """
-    return batch.dropDuplicates([key]).join(target.select(key), key, "left_anti")
+    batch = batch.dropDuplicates([key])
+    tkeys = target.select(key, *(implied_by_key or []))
+    if implied_by_key:
+        values = batch.select(*implied_by_key).distinct()
+        tkeys = tkeys.join(F.broadcast(values), implied_by_key, "left_semi")
+    return batch.join(tkeys.select(key), key, "left_anti")
 
 
-def merge_insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash") -> DataFrame:
+def merge_insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
+                      implied_by_key: list[str] | None = None) -> DataFrame:
     """The target after the merge: target rows plus the new ones (by column name)."""
-    return target.unionByName(insert_only(target, batch, key), allowMissingColumns=True)
+    return target.unionByName(insert_only(target, batch, key, implied_by_key), allowMissingColumns=True)
 
 
 # --------------------------------------------------------------------------- K2
@@ -41,6 +55,36 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def upsert_partitions(spark: SparkSession, root: str, stage: str, rebuilt: DataFrame, touched: DataFrame,
+                      keys: list[str], partition_col: str) -> None:
+    """K2 at scale: rewrite only the ``partition_col`` partitions a batch touches.
+
+    ``rebuilt`` holds the new rows of every touched group (``touched``: distinct group keys,
+    which include ``partition_col``). Step 1 stages the full new content of the touched
+    partitions (rebuilt rows + untouched groups of those partitions) under ``stage``; step 2
+    copies the stage over the table with dynamic partition overwrite. A retry finds the stage
+    complete (``_SUCCESS``) and only repeats step 2, so the table is never rebuilt from a
+    half-overwritten partition.
+    """
+    if not path_exists(spark, f"{stage}/_SUCCESS"):
+        staged = rebuilt
+        if path_exists(spark, root):
+            current = spark.read.parquet(root)
+            dates = touched.select(partition_col).distinct()
+            kept = current.join(F.broadcast(dates), partition_col, "left_semi") \
+                          .join(touched, keys, "left_anti")
+            staged = rebuilt.unionByName(kept.select(*rebuilt.columns))
+        staged.write.mode("overwrite").parquet(stage)
+    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+         .partitionBy(partition_col).parquet(root)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 # --------------------------------------------------------------------------- P14 / P15
 def extraction_start(watermark: Column, overlap_hours: int = DEFAULT_OVERLAP_HOURS) -> Column:
     """Watermark minus the overlap; a null watermark stays null."""

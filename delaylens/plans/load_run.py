@@ -89,10 +89,7 @@ def read_raw(spark: SparkSession, paths: LoadPaths, schema: T.StructType) -> Dat
     return raw.join(F.broadcast(ok), "run_id", "left_semi").drop("run_id")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+_exists = tables.path_exists
 
 
 # --------------------------------------------------------------------------- the job
@@ -122,8 +119,10 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
                          .drop("arrival_delay_not_a_number", "departure_delay_not_a_number")
         target = read_raw(spark, paths, accepted.schema)
         counters = ingest.load_counters(checked, target).first().asDict()
-        new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted))
-        new_rows.write.mode("overwrite").parquet(f"{paths.raw_root}/run_id={run_id}")
+        # The hash covers the journey date: only the target's partitions for this load's dates
+        # are read for the anti join (dynamic partition pruning on journey_date).
+        new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted), implied_by_key=["journey_date"])
+        new_rows.write.mode("overwrite").partitionBy("journey_date").parquet(f"{paths.raw_root}/run_id={run_id}")
         audit_event(spark, paths, run_id, source_name, "succeeded", counters)
         return {"run_id": run_id, **counters}
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised

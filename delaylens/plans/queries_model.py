@@ -315,11 +315,12 @@ SELECT * FROM batch""", "running_accepted", "fact"), "K2 R3 T14")
 def q_upsert_fact(spark, sf_dir):
     old, new = _old_and_new_fact(spark, sf_dir)
     root = scratch_path(spark, "fact_station_arrival")
-    tables.publish(spark, old, root)
-    target = tables.read_table(spark, root)
-    batch = tables.incremental_window(new, target)
-    tables.publish(spark, tables.upsert(target, batch, STOP_KEYS), root)
-    return tables.read_table(spark, root)
+    old.write.partitionBy("journey_date").parquet(root)
+    batch = tables.incremental_window(new, spark.read.parquet(root))
+    # Only the journey_date partitions the batch touches are rewritten.
+    tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),
+                             STOP_KEYS, "journey_date")
+    return spark.read.parquet(root).select(*UPSERT_COLS)
 
 
 _ = (marts, staging)

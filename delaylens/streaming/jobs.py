@@ -55,11 +55,7 @@ def _run(writer, checkpoint: str, available_now: bool = True):
     return q
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+_exists = tables.path_exists
 
 
 def _earlier(spark: SparkSession, root: str, schema: T.StructType, batch_id: int, inclusive: bool = False) -> DataFrame:
@@ -122,27 +118,16 @@ def fact_upsert(spark: SparkSession, landing: str, raw_root: str, fact_root: str
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         raw_schema = T.StructType(batch.schema.fields[:])
-        # K1 into the raw table.
+        # K1 into the raw table (partitioned by journey date; the hash implies the date, so
+        # only the batch's dates of earlier batches are read for the anti join).
         present = _earlier(spark, raw_root, raw_schema, batch_id)
-        tables.insert_only(present, batch).write.mode("overwrite").parquet(f"{raw_root}/batch_id={batch_id}")
-
-        stage = f"{stage_root}/batch_id={batch_id}"
-        if not _exists(spark, f"{stage}/_SUCCESS"):
-            touched = batch.select(*JOURNEY_KEY).distinct()
-            raw_all = _earlier(spark, raw_root, raw_schema, batch_id, inclusive=True)
-            rebuilt = Models(raw_all.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
-            if _exists(spark, fact_root):
-                current = spark.read.parquet(fact_root)
-                touched_dates = touched.select("journey_date").distinct()
-                kept = current.join(touched_dates, "journey_date", "left_semi") \
-                              .join(touched, JOURNEY_KEY, "left_anti")
-                staged = rebuilt.unionByName(kept.select(*rebuilt.columns))
-            else:
-                staged = rebuilt
-            staged.write.mode("overwrite").parquet(stage)
-        # Rewrite only the touched journey_date partitions, from the staged copy.
-        spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-             .partitionBy("journey_date").parquet(fact_root)
+        tables.insert_only(present, batch, implied_by_key=["journey_date"]) \
+              .write.mode("overwrite").partitionBy("journey_date").parquet(f"{raw_root}/batch_id={batch_id}")
+        touched = batch.select(*JOURNEY_KEY).distinct()
+        raw_all = _earlier(spark, raw_root, raw_schema, batch_id, inclusive=True)
+        rebuilt = Models(raw_all.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
+        tables.upsert_partitions(spark, fact_root, f"{stage_root}/batch_id={batch_id}", rebuilt, touched,
+                                 JOURNEY_KEY, "journey_date")
 
     return _run(accepted.writeStream.foreachBatch(upsert_batch), checkpoint, available_now)
 
