@@ -219,3 +219,22 @@ def q_last_successful_run(spark, sf_dir):
 
 
 
+
+
+@register("model_build", oracle("""
+SELECT 'stg_train_running' AS model, 'view' AS materialization, (SELECT count(*) FROM stg_train_running) AS rows
+UNION ALL SELECT 'stg_train_schedule', 'view', (SELECT count(*) FROM stg_train_schedule)
+UNION ALL SELECT 'int_train_running_enriched', 'view', (SELECT count(*) FROM int_running)
+UNION ALL SELECT 'dim_train', 'table', (SELECT count(*) FROM dim_train)
+UNION ALL SELECT 'dim_station', 'table', (SELECT count(*) FROM dim_station)
+UNION ALL SELECT 'dim_route_stop', 'table', (SELECT count(*) FROM dim_route_stop)
+UNION ALL SELECT 'fact_station_arrival', 'incremental', (SELECT count(*) FROM fact)
+UNION ALL SELECT 'delay_features', 'incremental', (SELECT count(*) FROM features)
+UNION ALL SELECT 'mart_station_delay', 'table', (SELECT count(DISTINCT station_code) FROM observed)
+UNION ALL SELECT 'mart_train_punctuality', 'table', (SELECT count(DISTINCT train_number) FROM observed)""",
+                                "stg_train_running", "stg_train_schedule", "int_running", "dim_train", "dim_station",
+                                "dim_route_stop", "fact", "features", "observed"), "K5 K8")
+def q_model_build(spark, sf_dir):
+    from delaylens.plans.model_build import materialize
+    from delaylens.session import scratch_path
+    return materialize(spark, from_fixtures(spark, sf_dir), scratch_path(spark, "models"))
