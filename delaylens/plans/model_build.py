@@ -63,6 +63,18 @@ class Models:
     def mart_train_punctuality(self) -> DataFrame:
         return marts.mart_train_punctuality(self.fact_station_arrival)
 
+    def materialized(self, *names: str) -> "Models":
+        """Checkpoint the named models (in order) and use the written copies from here on.
+
+        For jobs that read a model several times (the data tests, the holdout evaluation):
+        the model is computed once, written to the shared checkpoint folder (lineage cut, so
+        a lost executor re-reads it instead of re-running the scan and the windows), and the
+        models built on it are derived from the written copy.
+        """
+        for name in names:
+            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+        return self
+
 
 def raw_running_from_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw running-event table for a fixture load: the rows that pass the contract.

@@ -192,9 +192,9 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        # Round-robin: column pruning still reaches the scan, and Spark sorts each input
-        # partition before assigning rows, so a retried task produces the same spread.
-        df = df.repartition(cores)
+        # Hash of the table's first (key) column: deterministic on retry without the
+        # per-partition sort round-robin needs, and pruning keeps only that extra column.
+        df = df.repartition(cores, df.columns[0])
     return df
 
 
