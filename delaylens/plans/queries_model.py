@@ -319,11 +319,13 @@ FROM old_fact o WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.train_number = o
 UNION ALL
 SELECT * FROM batch""", "running_accepted", "fact"), "K2 R3 T14")
 def q_upsert_fact(spark, sf_dir):
-    old, new = _old_and_new_fact(spark, sf_dir)
+    from delaylens.plans.model_build import incremental_fact_batch
+    accepted = raw_running_from_fixture(spark, sf_dir)
+    old = Models(accepted.where(F.col("ingested_at") < F.lit(PREVIOUS_LOAD_CUTOFF).cast("timestamp_ntz")))
     root = scratch_path(spark, "fact_station_arrival")
-    old.write.partitionBy("journey_date").parquet(root)
-    batch = tables.incremental_window(new, spark.read.parquet(root))
-    # Only the journey_date partitions the batch touches are rewritten.
+    old.fact_station_arrival.write.partitionBy("journey_date").parquet(root)
+    # Only journeys with a raw record in the 48 h window are rebuilt; only their dates are rewritten.
+    batch = incremental_fact_batch(accepted, spark.read.parquet(root))
     tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),
                              STOP_KEYS, "journey_date")
     return spark.read.parquet(root).select(*UPSERT_COLS)
