@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from delaylens.functions import expressions as E
 from delaylens.operators import kpi, marts
 from delaylens.plans.catalog import register
 from delaylens.plans.model_build import from_fixtures

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
-from delaylens.operators import baseline, marts, staging, tables
+from delaylens.operators import baseline, tables
 from delaylens.plans.catalog import register
 from delaylens.plans.model_build import Models, from_fixtures, raw_running_from_fixture
 from delaylens.plans.oracle_views import oracle
@@ -331,4 +331,3 @@ def q_upsert_fact(spark, sf_dir):
     return spark.read.parquet(root).select(*UPSERT_COLS)
 
 
-_ = (marts, staging)

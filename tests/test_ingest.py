@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
 from delaylens.operators import ingest
@@ -144,4 +143,3 @@ def test_live_status_flatten_null_safe(spark):
     assert len(rows) == 1 and rows[0].train_number == "12345" and rows[0].current_station_code is None
     c = payloads.live_status_counts(df).first()
     assert (c.received, c.rejected) == (1, 1)
-    _ = F
