@@ -57,8 +57,9 @@ def not_a_number(c: str | Column) -> Column:
 
 
 def sequence_from_text(c: str | Column) -> Column:
-    """``int(float(text))``: parse as double, truncate toward zero; bad text -> null."""
-    return blank_to_null(c).try_cast("double").cast("int")
+    """``int(float(text))``: parse as double, truncate toward zero; bad text, NaN or an
+    out-of-range value -> null (the row is then skipped or quarantined, never a failed job)."""
+    return blank_to_null(c).try_cast("double").try_cast("int")
 
 
 def record_hash(*columns: str | Column) -> Column:

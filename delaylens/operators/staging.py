@@ -32,7 +32,7 @@ def _ts(c: str, df: DataFrame):
 
 def _delay(c: str, df: DataFrame):
     # number(12,2) at rest, carried as double so aggregates stay double.
-    return (F.col(c) if c in df.columns else F.lit(None)).cast("decimal(12,2)").cast("double").alias(c)
+    return (F.col(c) if c in df.columns else F.lit(None)).try_cast("decimal(12,2)").cast("double").alias(c)
 
 
 def stg_train_running(raw: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def stg_train_schedule(raw: DataFrame) -> DataFrame:
         F.col("schedule_arrival_time").cast("string").alias("schedule_arrival_time"),
         F.col("schedule_departure_time").cast("string").alias("schedule_departure_time"),
         F.col("journey_day_number").cast("int").alias("journey_day_number"),
-        F.col("distance_km").cast("decimal(12,2)").cast("double").alias("distance_km"),
+        F.col("distance_km").try_cast("decimal(12,2)").cast("double").alias("distance_km"),
         "source_name",
         "source_record_hash",
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),

@@ -16,6 +16,14 @@ DEFAULT_OVERLAP_HOURS = 48
 FLOOR_TIMESTAMP = "1900-01-01 00:00:00"
 
 
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    """Before a write partitioned by ``cols``: group rows by those columns so each task writes
+    few partition folders (no small-file explosion), with AQE splitting a hot value across
+    tasks and merging small ones (the ``rebalance`` hint), so one busy day never lands whole in
+    one task."""
+    return df.hint("rebalance", *cols)
+
+
 # --------------------------------------------------------------------------- K1
 def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
                 implied_by_key: list[str] | None = None) -> DataFrame:
@@ -75,8 +83,8 @@ def upsert_partitions(spark: SparkSession, root: str, stage: str, rebuilt: DataF
                           .join(touched, keys, "left_anti")
             staged = rebuilt.unionByName(kept.select(*rebuilt.columns))
         staged.write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-         .partitionBy(partition_col).parquet(root)
+    rebalanced(spark.read.parquet(stage), partition_col).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -122,7 +122,8 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
         # The hash covers the journey date: only the target's partitions for this load's dates
         # are read for the anti join (dynamic partition pruning on journey_date).
         new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted), implied_by_key=["journey_date"])
-        new_rows.write.mode("overwrite").partitionBy("journey_date").parquet(f"{paths.raw_root}/run_id={run_id}")
+        tables.rebalanced(new_rows, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
+              .parquet(f"{paths.raw_root}/run_id={run_id}")
         audit_event(spark, paths, run_id, source_name, "succeeded", counters)
         return {"run_id": run_id, **counters}
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised

@@ -121,7 +121,9 @@ def materialize(spark: SparkSession, models: Models, root: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     base = root.rstrip("/")
-    models.fact_station_arrival.write.mode("overwrite").partitionBy("journey_date") \
+    from delaylens.operators.tables import rebalanced
+
+    rebalanced(models.fact_station_arrival, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
           .parquet(f"{base}/fact_station_arrival")
     written = Models(models.raw_running, models.raw_schedule)
     written.__dict__["fact_station_arrival"] = spark.read.parquet(f"{base}/fact_station_arrival")
@@ -129,8 +131,9 @@ def materialize(spark: SparkSession, models: Models, root: str) -> DataFrame:
     for name, kind in MATERIALIZATION.items():
         df = getattr(written, name)
         if kind != "view" and name != "fact_station_arrival":
-            w = df.write.mode("overwrite")
-            if "journey_date" in df.columns and kind == "incremental":
+            partitioned = "journey_date" in df.columns and kind == "incremental"
+            w = (rebalanced(df, "journey_date") if partitioned else df).write.mode("overwrite")
+            if partitioned:
                 w = w.partitionBy("journey_date")
             w.parquet(f"{base}/{name}")
             df = spark.read.parquet(f"{base}/{name}")

@@ -140,8 +140,8 @@ def q_model_evaluation_audit(spark, sf_dir):
         "*", F.lit(baseline.MODEL_VERSION).alias("model_version"),
         baseline.holdout_start(fact).alias("test_start_date"))
     root = scratch_path(spark, "model_evaluation_audit")
-    tables.publish(spark, row, root)  # the audit table is append-only: a new version per evaluation
-    return tables.read_table(spark, root)
+    row.write.mode("append").parquet(root)  # the audit table is append-only: one row per evaluation
+    return spark.read.parquet(root)
 
 
 @register("baseline_report", oracle(HOLDOUT_ROW_SQL + """
@@ -323,7 +323,7 @@ def q_upsert_fact(spark, sf_dir):
     accepted = raw_running_from_fixture(spark, sf_dir)
     old = Models(accepted.where(F.col("ingested_at") < F.lit(PREVIOUS_LOAD_CUTOFF).cast("timestamp_ntz")))
     root = scratch_path(spark, "fact_station_arrival")
-    old.fact_station_arrival.write.partitionBy("journey_date").parquet(root)
+    tables.rebalanced(old.fact_station_arrival, "journey_date").write.partitionBy("journey_date").parquet(root)
     # Only journeys with a raw record in the 48 h window are rebuilt; only their dates are rewritten.
     batch = incremental_fact_batch(accepted, spark.read.parquet(root))
     tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),

@@ -24,7 +24,7 @@ def q_stream_snapshot_archive(spark, sf_dir):
     landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "snapshots", 8)
     archive = scratch_path(spark, "snapshot_archive")
     jobs.snapshot_archive(spark, landing, archive, scratch_path(spark, "ckpt-archive"), schema, max_files=2)
-    return spark.read.parquet(archive).drop("batch_id")
+    return spark.read.parquet(archive).drop("batch_id", "retrieved_date")
 
 
 @register("stream_dedupe", oracle(f"SELECT DISTINCT {HASHED_SQL} FROM running_raw", "running_raw"), "R2 P14")

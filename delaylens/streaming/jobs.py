@@ -18,6 +18,7 @@ wrote before:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,10 +77,13 @@ def snapshot_archive(spark: SparkSession, landing: str, archive: str, checkpoint
     stream = _stream(spark, landing, landing_schema, max_files)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
-        flat = payloads.flatten_live_status(batch)
+        # The hash covers retrieved_at: the anti join reads earlier snapshots of the same
+        # retrieval days only (the archive is partitioned by that day).
+        flat = payloads.flatten_live_status(batch).withColumn("retrieved_date", F.to_date("retrieved_at"))
         present = _earlier(spark, archive, T.StructType(flat.schema.fields[:]), batch_id)
-        new = tables.insert_only(present, flat)
-        new.write.mode("overwrite").parquet(f"{archive}/batch_id={batch_id}")
+        new = tables.insert_only(present, flat, implied_by_key=["retrieved_date"])
+        tables.rebalanced(new, "retrieved_date").write.mode("overwrite").partitionBy("retrieved_date") \
+              .parquet(f"{archive}/batch_id={batch_id}")
 
     return _run(stream.writeStream.foreachBatch(archive_batch), checkpoint, available_now)
 
@@ -117,12 +121,22 @@ def fact_upsert(spark: SparkSession, landing: str, raw_root: str, fact_root: str
     accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok"))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        # The batch is read four times (raw insert, touched journeys, rebuild, kept rows):
+        # persisted once (memory, spilling to disk) instead of re-reading and re-validating.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _upsert_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _upsert_batch(batch: DataFrame, batch_id: int) -> None:
         raw_schema = T.StructType(batch.schema.fields[:])
         # K1 into the raw table (partitioned by journey date; the hash implies the date, so
         # only the batch's dates of earlier batches are read for the anti join).
         present = _earlier(spark, raw_root, raw_schema, batch_id)
-        tables.insert_only(present, batch, implied_by_key=["journey_date"]) \
-              .write.mode("overwrite").partitionBy("journey_date").parquet(f"{raw_root}/batch_id={batch_id}")
+        new = tables.insert_only(present, batch, implied_by_key=["journey_date"])
+        tables.rebalanced(new, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
+              .parquet(f"{raw_root}/batch_id={batch_id}")
         touched = batch.select(*JOURNEY_KEY).distinct()
         raw_all = _earlier(spark, raw_root, raw_schema, batch_id, inclusive=True)
         rebuilt = Models(raw_all.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
