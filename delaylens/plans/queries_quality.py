@@ -12,8 +12,8 @@ from delaylens.plans.oracle_views import oracle
 
 
 def _models(spark, sf_dir):
-    # Staging and fact are each read by several tests: computed once, then checkpointed.
-    m = from_fixtures(spark, sf_dir).materialized("stg_train_running", "fact_station_arrival",
+    # Raw, staging and fact are each read by several tests: computed once, then checkpointed.
+    m = from_fixtures(spark, sf_dir).materialized("raw_running", "stg_train_running", "fact_station_arrival",
                                                   "stg_train_schedule")
     return {
         "stg_train_running": m.stg_train_running,
