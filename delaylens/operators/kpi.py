@@ -169,3 +169,19 @@ def pipeline_health(audit: DataFrame, dataset: str, source_name: str) -> DataFra
         F.col("r.records_rejected").cast("long").alias("records_rejected"),
         F.col("r.completed_at").alias("completed_at"),
     )
+
+
+def prediction_summary(evaluation_audit: DataFrame) -> DataFrame:
+    """A16 + P21: the newest chronological evaluation, or a ``not_evaluated`` row with null
+    metrics when the audit is empty. Newest by ``evaluated_at`` via ``max_by`` (no sort)."""
+    cols = ["model_name", "evaluation_rows", "mae", "rmse", "baseline_mae", "accepted_for_prediction"]
+    newest = evaluation_audit.agg(
+        F.max_by(F.struct(*cols), F.struct("evaluated_at", "model_version")).alias("r"),
+        F.max("evaluated_at").alias("evaluated_at"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    return newest.select(
+        F.when(F.col("_n") > 0, F.lit(STATE_READY)).otherwise(F.lit(STATE_NOT_EVALUATED)).alias("state"),
+        *[F.col(f"r.{c}").alias(c) for c in cols],
+        F.col("evaluated_at").alias("last_successful_pipeline_at"),
+    )

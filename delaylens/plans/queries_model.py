@@ -144,6 +144,33 @@ def q_model_evaluation_audit(spark, sf_dir):
     return spark.read.parquet(root)
 
 
+@register("prediction_summary", oracle(HOLDOUT_DATE_SQL + HOLDOUT_ROW_SQL + f"""
+, tr AS (SELECT * FROM h WHERE split = 'train'), te AS (SELECT * FROM h WHERE split = 'test'),
+means2 AS (SELECT train_number, station_code, avg(arrival_delay_minutes) AS prediction FROM tr GROUP BY 1, 2),
+gm2 AS (SELECT avg(arrival_delay_minutes) AS global_mean FROM tr),
+scored2 AS (SELECT t.*, coalesce(m.prediction, g.global_mean) AS prediction, g.global_mean
+            FROM te t CROSS JOIN gm2 g
+            LEFT JOIN means2 m ON t.train_number = m.train_number AND t.station_code = m.station_code)
+SELECT 'ready' AS state, e.model_name, e.evaluation_rows, e.mae, e.rmse, e.baseline_mae, e.accepted_for_prediction
+FROM ({EVAL_SQL.replace("FROM scored", "FROM scored2")}) e""", "observed"), "A16 P21 K6")
+def q_prediction_summary(spark, sf_dir):
+    """Two evaluations appended to the audit in turn (by date, then by row); the summary shows
+    the newest. ``evaluated_at`` is when the row was written, so it is left out of the result."""
+    fact = _shared_fact(spark, sf_dir)
+    root = scratch_path(spark, "evaluation_audit")
+    by_date = baseline.evaluate_holdout_by_date(fact).select(
+        "*", F.lit("chronological_v1").alias("model_version"), F.localtimestamp().alias("evaluated_at"))
+    by_date.write.mode("append").parquet(root)
+    obs = fact.where(F.col("arrival_delay_minutes").isNotNull()).select(*STOP_KEYS, "arrival_delay_minutes")
+    split = baseline.holdout_by_row(obs, ROW_ORDER)
+    means, g = baseline.fit_means(split.where("split = 'train'"))
+    by_row = baseline.evaluate(baseline.predict(split.where("split = 'test'"), means, g)).select(
+        "*", F.lit("holdout_by_row_v1").alias("model_version"), F.localtimestamp().alias("evaluated_at"))
+    by_row.write.mode("append").parquet(root)
+    from delaylens.operators import kpi
+    return kpi.prediction_summary(spark.read.parquet(root)).drop("last_successful_pipeline_at")
+
+
 @register("baseline_report", oracle(HOLDOUT_ROW_SQL + """
 , tr AS (SELECT * FROM h WHERE split = 'train'), te AS (SELECT * FROM h WHERE split = 'test'),
 means AS (SELECT train_number, station_code, avg(arrival_delay_minutes) AS prediction FROM tr GROUP BY 1, 2),
