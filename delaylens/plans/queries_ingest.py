@@ -557,3 +557,10 @@ def q_dashboard_snapshot(spark, sf_dir):
                                         fixtures.load(spark, sf_dir, "ingestion_audit"), "synthetic_events")
     path = load_run.export_snapshot(overview, scratch_path(spark, "dashboard_snapshot"))
     return load_run.read_snapshot(spark, path, overview.schema)
+
+
+@register("archive_counters", oracle("""
+SELECT CAST(count_if(http_status = 200) AS BIGINT) AS received, CAST(count_if(http_status <> 200) AS BIGINT) AS rejected
+FROM snapshot_payload""", "snapshot_payload"), "S4 T20")
+def q_archive_counters(spark, sf_dir):
+    return payloads.live_status_counts(fixtures.load(spark, sf_dir, "snapshot_payload"))
