@@ -39,6 +39,30 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized to the input volume (for a cluster run; local tests use the defaults).
+
+    Shuffle partitions ~ input / 256 MB (at least 2 waves of the cluster's cores), so a
+    partition fits executor memory without spilling at any scale; input splits of 256 MB;
+    AQE coalesces small partitions and splits skewed ones (a partition 5x the median and over
+    1 GB is split). For 100 TB this gives ~400k shuffle partitions.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+        # Broadcast only below a runtime-checked size; above it AQE keeps the sort-merge join.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting a local one only when unset.
 

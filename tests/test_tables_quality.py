@@ -121,3 +121,13 @@ def test_incremental_runs_equal_full_rebuild(spark, refresh):
     full = Models(raw).fact_station_arrival
     drop = () if refresh else ("previous_station_arrival_delay_minutes",)
     assert _fact_rows(target, drop) == _fact_rows(full, drop)
+
+
+def test_watchlist_range_check_and_scale_conf(spark):
+    from delaylens.operators import kpi
+    from delaylens.session import scale_conf
+    fact = spark.createDataFrame([("1", dt.date(2024, 9, 1))], "train_number string, journey_date date")
+    with pytest.raises(ValueError):
+        kpi.watchlist_top_k(fact, "2024-10-01", "2024-09-01")
+    conf = scale_conf(100 * 1024 ** 4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
