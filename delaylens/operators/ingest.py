@@ -45,7 +45,7 @@ def route_lookup(routes: DataFrame) -> DataFrame:
     return best.select("train_key", "station_key", F.col("best.station_sequence").alias("station_sequence"))
 
 
-def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str = "rstgcn_sep2024") -> DataFrame:
+def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str = "delay_csv_feed") -> DataFrame:
     """Delay CSV rows -> canonical running-event records with a stop sequence (0 on a miss).
 
     A left join on (train, station) keys against a lookup holding one row per key, so no

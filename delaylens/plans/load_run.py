@@ -101,7 +101,7 @@ def prepare(delays: DataFrame, routes: DataFrame, source_name: str) -> DataFrame
 
 
 def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths: LoadPaths,
-                    source_name: str = "rstgcn_sep2024", run_id: str | None = None) -> dict:
+                    source_name: str = "delay_csv_feed", run_id: str | None = None) -> dict:
     """Run one load; returns the counters (one small row brought to the driver)."""
     run_id = run_id or str(uuid.uuid4())
     audit_event(spark, paths, run_id, source_name, "running")

@@ -213,7 +213,7 @@ LOAD_HASH_COLS = sorted(["train_number", "journey_date_text", "station_code", "s
 
 
 def _load_hash_sql() -> str:
-    extra = {"status": "'observed'", "source_name": "'rstgcn_sep2024'"}
+    extra = {"status": "'observed'", "source_name": "'delay_csv_feed'"}
     parts = [f"coalesce(CAST({extra.get(c, c)} AS VARCHAR), '~')" for c in LOAD_HASH_COLS]
     return "sha256(concat_ws('|', " + ", ".join(parts) + "))"
 
@@ -383,7 +383,7 @@ SELECT train_number, journey_date, station_code, station_sequence, arrival_delay
 FROM running_accepted
 UNION ALL BY NAME
 SELECT train_number, TRY_CAST(journey_date_text AS DATE) AS journey_date, station_code, station_sequence,
-       arrival_delay_minutes, 'rstgcn_sep2024' AS source_name, source_scheduled_arrival_time,
+       arrival_delay_minutes, 'delay_csv_feed' AS source_name, source_scheduled_arrival_time,
        source_actual_arrival_time
 FROM attached""", "running_accepted", "delay_csv", "route_csv"), "K8")
 def q_schema_evolution_union(spark, sf_dir):
@@ -529,7 +529,7 @@ SELECT 'run-2', 'succeeded', received, valid, rejected, distinct_valid, CAST(0 A
                                     "delay_csv", "route_csv"), "K4 K1 K3 A10 J1 J2 S2 S3 P20 W4")
 def q_historical_load(spark, sf_dir):
     from delaylens.plans import load_run
-    landing = scratch_path(spark, "rstgcn_landing")
+    landing = scratch_path(spark, "delay_landing")
     files.write_csv(fixtures.load(spark, sf_dir, "delay_csv"), f"{landing}/delays")
     files.write_csv(fixtures.load(spark, sf_dir, "route_csv"), f"{landing}/routes")
     delay_path, route_path = f"{landing}/delays", f"{landing}/routes"
