@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import quality
+from delaylens.llm import ngram_join, quality
 from delaylens.llm.common import table
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,6 +31,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """Name -> (query, DuckDB SQL or None)."""
     return {
+        "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
         "pipeline": (pipeline, None),
     }
