@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.session import scratch_path
@@ -117,21 +117,27 @@ def _batch(block: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(list(c), type=f.type) for c, f in zip(zip(*block), schema)], schema=schema)
 
 
-def native_words(text: Column) -> Column:
-    """The words of a text as an array, by built-in functions; empty for null or no words."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(parts, lambda w: w != "")
+def with_native_shingles(df: DataFrame, text_col: str, out: str, size_out: str | None = None) -> DataFrame:
+    """Add ``out``: 64-bit hashes of the five-word shingles in text order, by built-in functions.
 
-
-def native_shingles(word_array: Column, size: int = SHINGLE_WORDS) -> Column:
-    """64-bit hashes of the word shingles in text order, by built-in functions.
-
-    Fewer than ``size`` words give one shingle of all of them, no words give an empty array.
+    Words are lower-case runs of letters and digits. Fewer than five words give one shingle of all
+    of them; null or no words give an empty array. ``size_out`` is the number of words. Neighbours
+    are paired by shifted arrays, so the work is in proportion to the text.
     """
-    hashes = F.transform(word_array, lambda w: F.xxhash64(w))
-    n = F.size(hashes)
-    runs = F.transform(F.sequence(F.lit(1), n - F.lit(size - 1)),
-                       lambda i: F.xxhash64(F.slice(hashes, i, F.lit(size))))
-    return (F.when(n >= size, runs)
-            .when(n > 0, F.array(F.xxhash64(hashes)))
-            .otherwise(F.array().cast("array<bigint>")))
+    w, a, n, two, four = (f"__{x}_{out}" for x in ("words", "hashes", "size", "two", "four"))
+    pair = lambda x, y: F.xxhash64(x, y)
+    parts = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+")
+    shifted = lambda c, k: F.slice(F.col(c), F.lit(k), F.col(n))
+    out_df = (df.withColumn(w, F.filter(parts, lambda x: x != ""))
+              .withColumn(a, F.transform(F.col(w), lambda x: F.xxhash64(x)))
+              .withColumn(n, F.size(a))
+              .withColumn(two, F.zip_with(F.col(a), shifted(a, 2), pair))
+              .withColumn(four, F.zip_with(F.col(two), shifted(two, 3), pair))
+              .withColumn(out, F.when(F.col(n) >= SHINGLE_WORDS,
+                                      F.slice(F.zip_with(F.col(four), shifted(a, 5), pair), F.lit(1),
+                                              F.greatest(F.col(n) - 4, F.lit(0))))
+                          .when(F.col(n) > 0, F.array(F.xxhash64(F.concat_ws(" ", F.col(w)))))
+                          .otherwise(F.array().cast("array<bigint>"))))
+    if size_out:
+        out_df = out_df.withColumn(size_out, F.col(n))
+    return out_df.drop(w, a, n, two, four)

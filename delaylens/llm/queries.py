@@ -10,10 +10,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import ngram_join, quality
+from delaylens.llm import decontaminate, ngram_join, quality
 from delaylens.llm.common import table
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it contains."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_found", "n_shingles", "containment")
+
+
+#: Distinct five-word shingles of (id, text): words are lower-case runs of letters and digits.
+_SHINGLES_SQL = """
+  SELECT DISTINCT id, CASE WHEN len(w) >= 5 THEN array_to_string(w[k : k + 4], ' ') ELSE array_to_string(w, ' ') END AS sh
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k
+        FROM (SELECT id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+              FROM (%s)) WHERE len(w) > 0)
+"""
+
+OP5_SQL = f"""
+WITH d AS ({_SHINGLES_SQL % "SELECT doc_id AS id, text FROM documents"}),
+i AS ({_SHINGLES_SQL % "SELECT item_id AS id, text FROM benchmark"}),
+q AS (SELECT id, count(*) AS n FROM i GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, CAST(count(*) AS INT) AS n_found, CAST(any_value(q.n) AS INT) AS n_shingles,
+       count(*) / any_value(q.n) AS containment
+FROM d JOIN i USING (sh) JOIN q ON q.id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(q.n) - 1e-9
+"""
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -31,6 +56,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """Name -> (query, DuckDB SQL or None)."""
     return {
+        "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
         "pipeline": (pipeline, None),
