@@ -8,12 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from delaylens.llm import decontaminate, ngram_join, quality
+from delaylens.llm import bpe, decontaminate, ngram_join, quality
 from delaylens.llm.common import table
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(bpe_round_trip(table(spark, sf_dir, "documents")))
+
+
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    """(doc_id, ids, decoded) of all documents."""
+    return bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+
+
+def bpe_digests(coded: DataFrame) -> DataFrame:
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it contains."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -56,6 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     """Name -> (query, DuckDB SQL or None)."""
     return {
+        "op2_byte_bpe": (op2_byte_bpe, None),
         "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
