@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, decontaminate, ngram_join, quality
+from delaylens.llm import bpe, decontaminate, ngram_join, quality, sharding, token_files
 from delaylens.llm.common import table
 
 
@@ -35,6 +35,11 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_digests(manifest)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it contains."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,6 +73,28 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Bytes of text of a shard.
+SHARD_BYTES = 1 << 20
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+#: Bucket sizes at every depth up to 40 bits; a document's shard is the first prefix that fits.
+OP10_SQL = f"""
+WITH t AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+x AS (SELECT doc_id, n_bytes, d, h >> (60 - d) AS p FROM t, (SELECT CAST(unnest(range(0, 41)) AS INT) AS d)),
+b AS (SELECT d, p, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows FROM x GROUP BY d, p),
+leaf AS (SELECT x.doc_id, min(x.d) AS d FROM x JOIN b ON x.d = b.d AND x.p = b.p
+         WHERE b.shard_bytes <= {SHARD_BYTES} OR b.shard_rows = 1 GROUP BY x.doc_id)
+SELECT x.doc_id, x.n_bytes, CASE WHEN x.d = 0 THEN 's' ELSE 's' || lpad(bin(x.p), x.d, '0') END AS shard,
+       x.d AS depth, b.shard_bytes, b.shard_rows
+FROM leaf JOIN x ON x.doc_id = leaf.doc_id AND x.d = leaf.d JOIN b ON b.d = x.d AND b.p = x.p
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,8 +105,10 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
     """Name -> (query, DuckDB SQL or None)."""
     return {
         "op2_byte_bpe": (op2_byte_bpe, None),
+        "op4_token_files": (op4_token_files, None),
         "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
+        "op10_sharding": (op10_sharding, OP10_SQL),
         "pipeline": (pipeline, None),
     }
