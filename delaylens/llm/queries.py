@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, chat, decontaminate, ngram_join, quality, sharding, token_files
+from delaylens.llm import bpe, chat, decontaminate, embedding_join, licenses, ngram_join, quality, sharding, token_files
 from delaylens.llm.common import table
 
 
@@ -76,6 +76,10 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_digests(manifest)
@@ -106,6 +110,32 @@ GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(q.n) - 1e-9
 """
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and license notice in it."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _op7_sql() -> str:
+    quoted = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+    runs = """SELECT id, unnest(list_transform(range(0, greatest(len(w) - 4, 1)), lambda k: struct_pack(
+                pos := k, sh := array_to_string(CASE WHEN len(w) >= 5 THEN w[k + 1 : k + 5] ELSE w END, ' ')))) AS r
+              FROM (SELECT id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+                    FROM (%s)) WHERE len(w) > 0"""
+    return f"""
+WITH tpl(k, name, body) AS (VALUES {quoted}),
+t AS (SELECT DISTINCT id, r.sh AS sh FROM ({runs % "SELECT k AS id, body AS text FROM tpl"})),
+q AS (SELECT id, count(*) AS n, CAST(power(2, ceil(log2(count(*)))) AS BIGINT) AS c FROM t GROUP BY id),
+d AS (SELECT id, r.pos AS pos, r.sh AS sh FROM ({runs % "SELECT doc_id AS id, text FROM documents"})),
+h AS (SELECT d.id, d.pos, d.sh, q.id AS k, q.n, q.c FROM d JOIN t USING (sh) JOIN q ON q.id = t.id),
+w AS (SELECT *, pos // c AS win FROM h UNION ALL SELECT *, pos // c - 1 FROM h WHERE pos >= c),
+m AS (SELECT id, k, n, win * c AS first_word, count(DISTINCT sh) AS found FROM w GROUP BY id, k, n, win, c
+      HAVING count(DISTINCT sh) >= 0.8 * n - 1e-9)
+SELECT m.id AS doc_id, tpl.name AS license, CAST(max(found) AS INT) AS n_found, CAST(m.n AS INT) AS n_shingles,
+       max(found) / m.n AS containment, CAST(min(first_word) AS INT) AS first_word
+FROM m JOIN tpl USING (k) GROUP BY m.id, tpl.name, m.n
+"""
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -147,8 +177,10 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
     return {
         "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
         "op2_byte_bpe": (op2_byte_bpe, None),
+        "op3_embedding_near_duplicates": (op3_embedding_near_duplicates, None),
         "op4_token_files": (op4_token_files, None),
         "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+        "op7_license_scan": (op7_license_scan, _op7_sql()),
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
         "op10_sharding": (op10_sharding, OP10_SQL),
