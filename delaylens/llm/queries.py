@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, chat, decontaminate, embedding_join, licenses, ngram_join, quality, sharding, token_files
+from delaylens.llm import bpe, chat, decontaminate, embedding_join, html_text, licenses, ngram_join, quality, sharding, token_files
 from delaylens.llm.common import table
 
 
@@ -110,6 +110,10 @@ GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(q.n) - 1e-9
 """
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and license notice in it."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -180,6 +184,7 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
         "op3_embedding_near_duplicates": (op3_embedding_near_duplicates, None),
         "op4_token_files": (op4_token_files, None),
         "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+        "op6_html_extraction": (op6_html_extraction, None),
         "op7_license_scan": (op7_license_scan, _op7_sql()),
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
