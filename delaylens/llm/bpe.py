@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from delaylens.llm.common import splitmix, strings
+from delaylens.llm.common import arrow_map, splitmix, strings
 
 #: A block of texts that is looked up together holds about so many characters.
 BLOCK_CHARS = 2_000_000
@@ -154,7 +154,7 @@ def pieces(text: str, size: int) -> Iterator[str]:
 class Encoder:
     """The two-tier lookup of one vocabulary."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 400_000):
+    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 200_000):
         import xxhash
 
         self.split = Splitter(pattern)
@@ -243,7 +243,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     pa.array(np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=sum(map(len, lists)))))
                 yield pa.RecordBatch.from_arrays([some.column(0), ids], names=["id", "ids"])
 
-    return slim.mapInArrow(encoded, f"id {id_type}, ids array<int>").toDF(id_col, out)
+    return slim.transform(arrow_map, encoded, f"id {id_type}, ids array<int>").toDF(id_col, out)
 
 
 def _blocks(part: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
@@ -275,4 +275,4 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str =
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, type=pa.binary())],
                                              names=[*part.schema.names, out])
 
-    return encoded.mapInArrow(decoded, schema)
+    return encoded.transform(arrow_map, decoded, schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import batches, written
+from delaylens.llm.common import arrow_map, batches, written
 from delaylens.llm.components import components
 
 
@@ -65,7 +65,7 @@ def _clean(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
         yield from batches(rows(), _CLEAN)
 
-    return written(slim.mapInArrow(unit, "id long, row long, v binary"), "range-vectors")
+    return written(slim.transform(arrow_map, unit, "id long, row long, v binary"), "range-vectors")
 
 
 def _pivots(clean: DataFrame, count: int, p: RangeParams) -> np.ndarray:
@@ -108,7 +108,7 @@ def _cells(clean: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
                     [pa.array(cell.astype(np.int32)), pa.array(cell == home[i]), some.column(0).take(pa.array(i)),
                      some.column(1).take(pa.array(i))], schema=schema)
 
-    return clean.select("row", "v").mapInArrow(placed, "cell int, home boolean, row long, v binary")
+    return clean.select("row", "v").transform(arrow_map, placed, "cell int, home boolean, row long, v binary")
 
 
 def _tiles(cells: DataFrame, p: RangeParams) -> DataFrame:
@@ -184,7 +184,7 @@ def links(clean: DataFrame, p: RangeParams) -> DataFrame:
 
         yield from batches(rows(), _LINKED)
 
-    return written(dealt.mapInArrow(compared, schema), "range-links")
+    return written(dealt.transform(arrow_map, compared, schema), "range-links")
 
 
 def near_duplicates(vectors: DataFrame, p: RangeParams = RangeParams(), id_col: str = "vec_id",

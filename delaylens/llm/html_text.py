@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import strings
+from delaylens.llm.common import arrow_map, strings
 
 # Element names of HTML by their role in layout.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -426,4 +426,4 @@ def extract(pages: DataFrame, field: Field | None = None, id_col: str = "page_id
                     [some.column(0), some.column(1), pa.array(texts, type=pa.string()),
                      pa.array([len(t) for t in texts], type=pa.int64())], names=["id", "url", "text", "n_chars"])
 
-    return slim.mapInArrow(extracted, f"id {id_type}, url string, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")
+    return slim.transform(arrow_map, extracted, f"id {id_type}, url string, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import NEAR, WordHashes, batches, seeds, shingles, strings, written
+from delaylens.llm.common import NEAR, WordHashes, arrow_map, batches, seeds, shingles, strings, written
 from delaylens.llm.components import components
 
 
@@ -98,7 +98,7 @@ def prepare(docs: DataFrame, id_col: str, text_col: str, p: JoinParams) -> DataF
                      pa.array(sigs, type=pa.list_(pa.int32()))], schema=_PREPARED)
 
     slim = docs.select(F.col(id_col).cast("long").alias("id"), _text_hash(text_col), F.col(text_col).alias("text"))
-    return written(slim.mapInArrow(prepared, "id long, th long, fp binary, n int, sig array<int>"), "join-sets")
+    return written(slim.transform(arrow_map, prepared, "id long, th long, fp binary, n int, sig array<int>"), "join-sets")
 
 
 def _text_hash(text_col: str):
@@ -243,7 +243,7 @@ def candidates(classes: DataFrame, p: JoinParams) -> DataFrame:
 
         yield from batches(rows(), _ACTIVE)
 
-    return written(dealt.mapInArrow(active, "node long, ti int, tj int, place int, fp binary, partners binary"),
+    return written(dealt.transform(arrow_map, active, "node long, ti int, tj int, place int, fp binary, partners binary"),
                    "join-active")
 
 
@@ -323,7 +323,7 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
 
         yield from batches(rows(), _LINKED)
 
-    return written(dealt.mapInArrow(linked, "fp binary, links long, root binary"), "join-links")
+    return written(dealt.transform(arrow_map, linked, "fp binary, links long, root binary"), "join-links")
 
 
 def _solve(docs: DataFrame, id_col: str, text_col: str, p: JoinParams) -> tuple[DataFrame, DataFrame]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import seeds, splitmix, strings, written
+from delaylens.llm.common import arrow_map, seeds, splitmix, strings, written
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+|\n")
 
@@ -51,14 +51,14 @@ class QualityParams:
 
 
 class _Buckets(dict):
-    """Memo token -> bucket, emptied at 300,000 entries."""
+    """Memo token -> bucket, emptied at 100,000 entries."""
 
     def __init__(self, buckets: int):
         super().__init__()
         self.mask = buckets
 
     def __missing__(self, token: str) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         value = zlib.crc32(token.encode("utf-8", "surrogatepass")) % self.mask
         if len(token) <= 64:
@@ -119,7 +119,7 @@ def word_vectors(docs: DataFrame, text_col: str, p: QualityParams) -> np.ndarray
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some.astype(np.int32)), *(pa.array(table[some, j]) for j in range(p.dim))], schema=schema)
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(
+    parts = docs.select(F.col(text_col).alias("text")).transform(arrow_map,
         gather, "bucket int, " + ", ".join(f"{n} int" for n in names))
     # At most ``buckets`` rows reach the driver, whatever the input.
     rows = parts.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names)).collect()
@@ -258,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams(),
                 [part.column(0).cast(pa.int64()), part.column(1).cast(pa.int32()),
                  pa.array([r.tobytes() for r in x], type=pa.binary())], schema=schema)
 
-    rows = (texts.mapInArrow(features, "id long, y int, x binary").dropDuplicates(["id"])
+    rows = (texts.transform(arrow_map, features, "id long, y int, x binary").dropDuplicates(["id"])
             .orderBy("id").collect())
     if not rows:
         return vectors, None
@@ -284,7 +284,7 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network | None, p: QualityP
                 s = net.scores(pool(texts, vectors, memo).astype(np.float64))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s)], names=[id_col, "score"])
 
-    return (slim.mapInArrow(scored, f"`{id_col}` {id_type}, score double")
+    return (slim.transform(arrow_map, scored, f"`{id_col}` {id_type}, score double")
             .withColumn("predicted", F.when(F.col("score") >= p.threshold, 1).otherwise(0)))
 
 
@@ -314,4 +314,4 @@ def keep(docs: DataFrame, vectors: np.ndarray, net: Network | None, p: QualityPa
                 part = part.filter(pa.array(s >= p.threshold))
             yield part
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.transform(arrow_map, kept, docs.schema)

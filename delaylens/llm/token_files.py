@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import batches, written
+from delaylens.llm.common import arrow_map, batches, written
 from delaylens.session import scratch_path
 
 MAGIC = b"TOKENEF1"
@@ -46,7 +46,7 @@ SAMPLE = 256
 @dataclass(frozen=True)
 class FileParams:
     file_ids: int = 8_000_000    # a file is closed once it has so many ids
-    memo_size: int = 300_000     # words a task remembers
+    memo_size: int = 200_000     # words a task remembers
 
 
 def pack(ends: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -249,7 +249,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
     tie = F.xxhash64("text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = slim.repartitionByRange(parts, "id", tie).sortWithinPartitions("id", tie)
-    made = written(dealt.mapInArrow(files, "path string, part int, seq int, n_docs long, n_ids long, n_bytes long"),
+    made = written(dealt.transform(arrow_map, files, "path string, part int, seq int, n_docs long, n_ids long, n_bytes long"),
                    "token-manifest")
     # One row per file of ``file_ids`` ids: a running sum over parts, then within a part.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -292,4 +292,4 @@ def _documents(manifest: DataFrame, ddl: str, derive, fields: list) -> DataFrame
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A file is a unit of work; files are dealt evenly over the tasks.
     listed = manifest.select("path", "start").repartition(parts, "path")
-    return listed.mapInArrow(documents, f"doc_id long, start long, n_tokens long, {ddl}")
+    return listed.transform(arrow_map, documents, f"doc_id long, start long, n_tokens long, {ddl}")
