@@ -21,7 +21,8 @@ DELAY_BANDS = [
     (60, "31–60 min"),
     (None, "60+ min"),
 ]
-NULL_MARKER = "~"
+NULL_MARKER = "-"
+NUMBER_PATTERN = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 FIVE_DIGIT_TRAIN_PATTERN = r"^[0-9]{5}$"
 
@@ -30,46 +31,59 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c: str | Column) -> Column:
+    """Text without white space at both ends: tabs, line ends and no-break spaces too."""
+    return F.regexp_replace(col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def blank_to_null(c: str | Column) -> Column:
     """Stripped text, or null when nothing is left."""
-    return F.nullif(F.trim(col(c)), F.lit(""))
+    return F.nullif(strip(c), F.lit(""))
 
 
 def normalize_id(c: str | Column) -> Column:
     """Identifier as the contract stores it: stripped and upper-cased."""
-    return F.upper(F.trim(col(c)))
+    return F.upper(strip(c))
 
 
 def normalize_key(c: str | Column) -> Column:
     """Join key clean-up for CSV identifiers: strip, upper-case, drop one trailing '.0'."""
-    return F.regexp_replace(F.upper(F.trim(F.coalesce(col(c), F.lit("")))), r"\.0$", "")
+    return F.regexp_replace(F.upper(strip(F.coalesce(col(c), F.lit("")))), r"\.0$", "")
+
+
+def _number(text: Column) -> Column:
+    """The number, or null: a cast alone would take suffixes such as ``5d`` too."""
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def optional_number(c: str | Column) -> Column:
     """Blank -> null, otherwise the number; unparsable text -> null (flag with ``not_a_number``)."""
-    return blank_to_null(c).try_cast("double")
+    return _number(blank_to_null(c))
 
 
 def not_a_number(c: str | Column) -> Column:
     """True where the text is present but does not parse as a number."""
     text = blank_to_null(c)
-    return text.isNotNull() & text.try_cast("double").isNull()
+    return text.isNotNull() & _number(text).isNull()
 
 
 def sequence_from_text(c: str | Column) -> Column:
     """``int(float(text))``: parse as double, truncate toward zero; bad text, NaN or an
     out-of-range value -> null (the row is then skipped or quarantined, never a failed job)."""
-    return blank_to_null(c).try_cast("double").try_cast("int")
+    return _number(blank_to_null(c)).try_cast("int")
 
 
 def record_hash(*columns: str | Column) -> Column:
-    """SHA-256 (hex) of the columns in the given order, '|' separated, nulls marked.
+    """SHA-256 (hex) of the columns in the given order, each as ``length:text``, nulls as ``-``.
+
+    The lengths make the joined text readable in one way only, so different records differ.
 
     Callers pass the canonical column list sorted by name, so equal content gives an equal
     hash whatever the source column order.
     """
-    parts = [F.coalesce(col(c).cast("string"), F.lit(NULL_MARKER)) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    texts = [col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARKER)) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def minutes_between(start: str | Column, end: str | Column) -> Column:

@@ -15,6 +15,7 @@ from delaylens.functions.expressions import (
     ID_MAX_LENGTH,
     ISO_DATE_PATTERN,
     SOURCE_NAME_MAX_LENGTH,
+    strip,
 )
 
 # Rule codes in the order they are reported.
@@ -30,7 +31,7 @@ RULE_CODES = [
 
 
 def _length_fails(c: Column, max_len: int) -> Column:
-    text = F.trim(c)
+    text = strip(c)
     return c.isNull() | (F.length(text) < 1) | (F.length(text) > max_len)
 
 
@@ -42,7 +43,7 @@ def _delay_fails(c: Column) -> Column:
 def _date_fails(c: Column, is_text: bool) -> Column:
     if not is_text:
         return c.isNull()
-    text = F.trim(c)
+    text = strip(c)
     return c.isNull() | ~text.rlike(ISO_DATE_PATTERN) | text.try_cast("date").isNull()
 
 

@@ -12,14 +12,13 @@ from delaylens.functions import expressions as E
 def daily_weather(rows: DataFrame) -> DataFrame:
     """One row per (station, day) from flattened payload rows (error rows left out).
 
-    Several payloads may cover the same station-day; they are combined by a partial
-    aggregate (mean temperature, summed precipitation, the highest weather code).
+    Several payloads may cover the same station-day: the one requested last holds, whole.
     """
-    return rows.where(F.col("error").isNull()).groupBy("station_code", "weather_date").agg(
-        E.round6(F.avg("temperature_2m_mean")).alias("temperature_2m_mean"),
-        E.round6(F.sum("precipitation_sum")).alias("precipitation_sum"),
-        F.max("weather_code").alias("weather_code"),
-    )
+    measures = ["temperature_2m_mean", "precipitation_sum", "weather_code"]
+    latest = rows.where(F.col("error").isNull()).groupBy("station_code", "weather_date").agg(
+        F.max_by(F.struct(*measures), "request_id").alias("m"))
+    return latest.select("station_code", "weather_date", E.round6(F.col("m.temperature_2m_mean")).alias("temperature_2m_mean"),
+                         E.round6(F.col("m.precipitation_sum")).alias("precipitation_sum"), "m.weather_code")
 
 
 def enrich_with_weather(fact: DataFrame, weather: DataFrame, lag_days: int = 1) -> DataFrame:

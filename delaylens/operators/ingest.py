@@ -55,12 +55,14 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
     lookup = route_lookup(routes)
     d = delays.select(
         E.normalize_key("train").alias("train_number"),
-        F.trim(F.col("date")).alias("journey_date_text"),
+        E.strip("date").alias("journey_date_text"),
         E.normalize_key("station").alias("station_code"),
         E.optional_number("arr_delay").alias("arrival_delay_minutes"),
         E.optional_number("dep_delay").alias("departure_delay_minutes"),
         E.not_a_number("arr_delay").alias("arrival_delay_not_a_number"),
         E.not_a_number("dep_delay").alias("departure_delay_not_a_number"),
+        F.col("arr_delay").alias("source_arrival_delay_text"),
+        F.col("dep_delay").alias("source_departure_delay_text"),
         E.blank_to_null("sch_arr").alias("source_scheduled_arrival_time"),
         E.blank_to_null("act_arr").alias("source_actual_arrival_time"),
         E.blank_to_null("sch_dep").alias("source_scheduled_departure_time"),
@@ -91,6 +93,8 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
         "source_actual_arrival_time",
         "source_scheduled_departure_time",
         "source_actual_departure_time",
+        "source_arrival_delay_text",
+        "source_departure_delay_text",
     )
 
 
@@ -103,18 +107,21 @@ def with_rule_check(df: DataFrame, date_is_text: bool = False) -> DataFrame:
             ("arrival_delay_not_a_number", F.col("arrival_delay_not_a_number")),
             ("departure_delay_not_a_number", F.col("departure_delay_not_a_number")),
         ]
-    return df.withColumn("rules_ok", rules_pass(rules)).withColumn("errors", failed_rules(rules))
+    ok, errors = rules_pass(rules), failed_rules(rules)
+    if "invalid_times" in df.columns:  # names of the contract's timestamps that don't parse
+        ok, errors = ok & (F.size("invalid_times") == 0), F.concat(errors, F.col("invalid_times"))
+    return df.withColumn("rules_ok", ok).withColumn("errors", errors)
 
 
 def normalize_accepted(df: DataFrame) -> DataFrame:
     """Contract normalization of accepted rows: strip strings, upper-case identifiers."""
     out = df.withColumn("train_number", E.normalize_id("train_number")) \
             .withColumn("station_code", E.normalize_id("station_code")) \
-            .withColumn("source_name", F.trim("source_name"))
+            .withColumn("source_name", E.strip("source_name"))
     if "status" in df.columns:
-        out = out.withColumn("status", F.trim("status"))
+        out = out.withColumn("status", E.strip("status"))
     if "journey_date_text" in df.columns:
-        out = out.withColumn("journey_date", F.trim("journey_date_text").try_cast("date")) \
+        out = out.withColumn("journey_date", E.strip("journey_date_text").try_cast("date")) \
                  .drop("journey_date_text")
     return out
 
@@ -133,8 +140,9 @@ def validate(df: DataFrame, date_is_text: bool = False) -> tuple[DataFrame, Data
 
 # --------------------------------------------------------------------------- K3
 def quarantine_records(rejected: DataFrame, hash_columns: list[str] | None = None) -> DataFrame:
-    """Quarantine rows: the whole record as JSON, the failed rule codes and the record hash."""
-    record_cols = [c for c in rejected.columns if c != "errors"]
+    """Quarantine rows: the whole record as JSON (texts as they came), the failed rule codes and the
+    record hash; the checks' own columns are left out."""
+    record_cols = [c for c in rejected.columns if c not in ("errors", "rules_ok") and not c.endswith("_not_a_number")]
     hash_columns = hash_columns or sorted(c for c in record_cols if c in CANONICAL_EVENT_COLUMNS)
     out = rejected.select(
         F.to_json(F.struct(*record_cols), {"ignoreNullFields": "false"}).alias("record"),
@@ -202,3 +210,21 @@ def preflight_counts(events: DataFrame, date_is_text: bool = False) -> DataFrame
         F.count_if(F.col("rules_ok")).cast("long").alias("accepted_count"),
         F.count_if(~F.col("rules_ok")).cast("long").alias("rejected_count"),
     )
+
+
+# --------------------------------------------------------------------------- P16
+def train_numbers(requests: DataFrame, column: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Distinct requested train numbers as (valid, invalid); valid are exactly five digits.
+
+    ``strict`` stops with the list of the invalid ones, or if none is given.
+    """
+    given = requests.select(E.strip(column).alias("train_number")).distinct()
+    fits = F.coalesce(F.col("train_number").rlike(E.FIVE_DIGIT_TRAIN_PATTERN), F.lit(False))
+    valid, invalid = given.where(fits), given.where(~fits)
+    if strict:
+        # A request names a handful of trains; what is wrong with it is told whole.
+        state = given.agg(F.count(F.lit(1)).alias("n"), F.concat_ws(", ", F.sort_array(F.collect_list(
+            F.when(~fits, F.coalesce("train_number", F.lit("(null)")))))).alias("bad"))
+        state.select(F.when(F.col("n") == 0, F.raise_error(F.lit("no train number is given")))
+                     .when(F.col("bad") != "", F.raise_error(F.concat(F.lit("train numbers need five digits: "), "bad")))).first()
+    return valid, invalid

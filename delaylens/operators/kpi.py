@@ -1,8 +1,7 @@
 """Dashboard KPI queries over the fact table (and the audit / archive tables).
 
-All are aggregates with partial (map-side) aggregation; the results are tiny. Exact medians
-keep a value->count map per group; delays are whole minutes in [-1440, 10080], so the map is
-bounded by 11,521 entries per group whatever the data volume.
+All are aggregates with partial (map-side) aggregation; the results are tiny. Exact medians are read
+off counts per delay value (``marts.delay_summary``), so no group's rows meet in one task.
 """
 
 from __future__ import annotations
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
-from delaylens.operators.marts import observed
+from delaylens.operators.marts import delay_summary, observed
+
 
 def _delay():
     return F.col("arrival_delay_minutes").cast("double")
@@ -37,26 +37,23 @@ def last_successful_run(audit: DataFrame, source_name: str) -> DataFrame:
 def network_overview(fact: DataFrame, dim_station: DataFrame, audit: DataFrame, source_name: str) -> DataFrame:
     """A1 + A17 + A16: one row of network KPIs.
 
-    The distinct journey count is a two-level aggregate on (train, date); the station count
-    and the last successful run are scalar subqueries, so no join is planned.
+    Journeys are counted apart from the delays, and the delays from counts per value; the station
+    count, the journeys and the last successful run are scalar subqueries, so no join is planned.
     """
-    delay = _delay()
     o = observed(fact)
-    return o.agg(
-        F.count_distinct("train_number", "journey_date").cast("long").alias("journeys_analysed"),
-        E.round6(F.avg(delay)).alias("average_arrival_delay_minutes"),
-        E.round6(F.median(delay)).alias("median_arrival_delay_minutes"),
-        E.round6(E.percent_where(delay <= E.ON_TIME_MAX_MINUTES)).alias("on_time_or_early_percent"),
-        F.count(F.lit(1)).cast("long").alias("station_stop_observations"),
-        F.min("journey_date").alias("coverage_start_date"),
-        F.max("journey_date").alias("coverage_end_date"),
-    ).select(
-        F.when(F.col("station_stop_observations") > 0, F.lit(STATE_READY))
-         .otherwise(F.lit(STATE_AWAITING)).alias("state"),
-        "journeys_analysed",
+    journeys = o.select("train_number", "journey_date").distinct().agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.min("journey_date").alias("first"), F.max("journey_date").alias("last"))).scalar()
+    delays = delay_summary(o).withColumn("j", journeys)
+    known = F.coalesce(F.col("observations"), F.lit(0))
+    return delays.select(
+        F.when(known > 0, F.lit(STATE_READY)).otherwise(F.lit(STATE_AWAITING)).alias("state"),
+        F.col("j.n").cast("long").alias("journeys_analysed"),
         dim_station.agg(F.count(F.lit(1)).cast("long")).scalar().alias("stations"),
-        "average_arrival_delay_minutes", "median_arrival_delay_minutes", "on_time_or_early_percent",
-        "station_stop_observations", "coverage_start_date", "coverage_end_date",
+        E.round6(F.col("mean")).alias("average_arrival_delay_minutes"),
+        E.round6(F.col("median")).alias("median_arrival_delay_minutes"),
+        E.round6(F.col("on_time")).alias("on_time_or_early_percent"),
+        known.cast("long").alias("station_stop_observations"),
+        F.col("j.first").alias("coverage_start_date"), F.col("j.last").alias("coverage_end_date"),
         last_successful_run(audit, source_name).scalar().alias("last_successful_pipeline_at"),
     )
 
@@ -72,32 +69,25 @@ def delay_distribution(fact: DataFrame) -> DataFrame:
 
 def station_hotspots(fact: DataFrame, limit: int = HOTSPOT_DEFAULT_LIMIT) -> DataFrame:
     """Stations with >= 30 observations, top ``limit`` by mean delay (ties: count, code)."""
-    delay = _delay()
     if not 1 <= limit <= HOTSPOT_MAX_LIMIT:
         raise ValueError(f"limit must be within 1..{HOTSPOT_MAX_LIMIT}")
-    agg = observed(fact).groupBy("station_code").agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.avg(delay).alias("_avg"),
-        F.median(delay).alias("_median"),
-        E.percent_where(delay <= E.ON_TIME_MAX_MINUTES).alias("_on_time"),
-    ).where(F.col("observations") >= HOTSPOT_MIN_OBSERVATIONS)
-    top = agg.orderBy(F.col("_avg").desc(), F.col("observations").desc(), F.col("station_code").asc()) \
+    agg = delay_summary(observed(fact), "station_code").where(F.col("observations") >= HOTSPOT_MIN_OBSERVATIONS)
+    top = agg.orderBy(F.col("mean").desc(), F.col("observations").desc(), F.col("station_code").asc()) \
              .limit(limit)
     return top.select(
         "station_code", "observations",
-        E.round6(F.col("_avg")).alias("average_delay_minutes"),
-        E.round6(F.col("_median")).alias("median_delay_minutes"),
-        E.round6(F.col("_on_time")).alias("on_time_percent"),
+        E.round6(F.col("mean")).alias("average_delay_minutes"),
+        E.round6(F.col("median")).alias("median_delay_minutes"),
+        E.round6(F.col("on_time")).alias("on_time_percent"),
     )
 
 
 def daily_trend(fact: DataFrame) -> DataFrame:
     """Per journey date: observations, mean and median delay."""
-    delay = _delay()
-    return observed(fact).groupBy("journey_date").agg(
-        F.count(F.lit(1)).alias("observations"),
-        E.round6(F.avg(delay)).alias("average_delay_minutes"),
-        E.round6(F.median(delay)).alias("median_delay_minutes"),
+    return delay_summary(observed(fact), "journey_date").select(
+        "journey_date", "observations",
+        E.round6(F.col("mean")).alias("average_delay_minutes"),
+        E.round6(F.col("median")).alias("median_delay_minutes"),
     ).orderBy("journey_date")
 
 
@@ -156,7 +146,8 @@ def archive_summary(snapshots: DataFrame) -> DataFrame:
 
 
 def pipeline_health(audit: DataFrame, dataset: str, source_name: str) -> DataFrame:
-    """Newest run (by start) of a dataset and source with its counters.
+    """Newest run (by start) of a dataset and source with its counters; without any run, one
+    row whose state says so.
 
     The newest row is found with ``max_by`` (a partial aggregate) instead of a sort.
     """
@@ -164,8 +155,8 @@ def pipeline_health(audit: DataFrame, dataset: str, source_name: str) -> DataFra
     newest = rows.agg(F.max_by(F.struct("status", "records_received", "records_rejected", "completed_at"),
                                F.struct("started_at", "run_id")).alias("r"),
                       F.count(F.lit(1)).alias("_n"))
-    return newest.where(F.col("_n") > 0).select(
-        F.lit(STATE_READY).alias("state"),
+    return newest.select(
+        F.when(F.col("_n") > 0, F.lit(STATE_READY)).otherwise(F.lit(STATE_AWAITING)).alias("state"),
         F.col("r.status").alias("last_run_status"),
         F.col("r.records_received").cast("long").alias("records_received"),
         F.col("r.records_rejected").cast("long").alias("records_rejected"),

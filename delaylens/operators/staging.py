@@ -52,7 +52,8 @@ def stg_train_running(raw: DataFrame) -> DataFrame:
         "source_record_hash",
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
-    return latest_per_key(typed, RUNNING_KEY)
+    # Dealt by journey, which serves this window and that of the previous stop (W5) alike.
+    return latest_per_key(typed.repartition(*JOURNEY_KEY), RUNNING_KEY)
 
 
 def stg_train_schedule(raw: DataFrame) -> DataFrame:

@@ -1,16 +1,18 @@
 """Table writes: insert-only merge (K1), keyed upsert (K2), additive schema (K8), incremental
-window (P14/P15), and versioned Parquet publishing (no table format is assumed).
+window (P14/P15).
 
-A table is a folder of versions ``<root>/v=<n>``; a write produces a new version and then
-publishes it by writing a small ``_CURRENT`` pointer, so readers never see a half-written
-version and a Parquet path is never overwritten while it is read (T25). Re-running a failed
-job rewrites its own, unpublished version.
+An append-only table is a folder partitioned by date, then by batch: a batch writes its own
+partitions, so a retry rewrites what it wrote before and nothing else, and a reader of a few dates
+lists the folders of those dates only. No path is overwritten while it is read (T25).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from delaylens.session import scratch_path
 
 DEFAULT_OVERLAP_HOURS = 48
 FLOOR_TIMESTAMP = "1900-01-01 00:00:00"
@@ -24,31 +26,54 @@ def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: computed once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --------------------------------------------------------------------------- dated tables
+def dates(df: DataFrame, date_col: str) -> list:
+    """The distinct dates of a batch: one row per calendar day at most."""
+    return sorted(r[0] for r in df.select(date_col).distinct().collect() if r[0] is not None)
+
+
+def append_batch(df: DataFrame, root: str, date_col: str, batch_id: int) -> None:
+    """Write a batch into its partitions ``date_col=<date>/batch_id=<id>``, replacing only those."""
+    rebalanced(df.withColumn("batch_id", F.lit(batch_id).cast("long")), date_col).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(date_col, "batch_id").parquet(root)
+
+
+def read_dates(spark: SparkSession, root: str, schema: T.StructType, date_col: str, days: list) -> DataFrame:
+    """Rows of the given dates: only their folders are listed and read. Columns as in ``schema``."""
+    found = [f for f in (f"{root.rstrip('/')}/{date_col}={d}" for d in days) if path_exists(spark, f)]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*found)
+
+
 # --------------------------------------------------------------------------- K1
 def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
-                implied_by_key: list[str] | None = None) -> DataFrame:
+                implied_by_key: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (one per key). Re-running adds nothing.
 
     ``dropDuplicates`` collapses repeated keys map-side; the ``left_anti`` join against the
     target's key column is a shuffle on the key (AQE broadcasts the smaller side when small).
 
-    ``implied_by_key`` names columns the key determines (the content hash covers the journey
-    date, so equal hashes have equal dates). The target is then first narrowed to the batch's
-    values of those columns: a semi join against the batch's distinct values (one row per
-    calendar day, a proven small set, broadcast), which becomes dynamic partition pruning when
-    the target is partitioned by them. A daily batch then reads the target's few matching
-    partitions instead of the whole table.
+    ``implied_by_key`` names a date column that the key determines (the content hash covers the
+    journey date, so equal hashes have equal dates). The target is then narrowed to the batch's
+    dates by a literal filter, which prunes its partitions; the batch is read for that first, so it
+    should be materialized.
     """
     batch = batch.dropDuplicates([key])
-    tkeys = target.select(key, *(implied_by_key or []))
     if implied_by_key:
-        values = batch.select(*implied_by_key).distinct()
-        tkeys = tkeys.join(F.broadcast(values), implied_by_key, "left_semi")
-    return batch.join(tkeys.select(key), key, "left_anti")
+        target = target.where(F.col(implied_by_key).isin(dates(batch, implied_by_key)))
+    return batch.join(target.select(key), key, "left_anti")
 
 
 def merge_insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
-                      implied_by_key: list[str] | None = None) -> DataFrame:
+                      implied_by_key: str | None = None) -> DataFrame:
     """The target after the merge: target rows plus the new ones (by column name)."""
     return target.unionByName(insert_only(target, batch, key, implied_by_key), allowMissingColumns=True)
 
@@ -68,22 +93,17 @@ def upsert_partitions(spark: SparkSession, root: str, stage: str, rebuilt: DataF
     """K2 at scale: rewrite only the ``partition_col`` partitions a batch touches.
 
     ``rebuilt`` holds the new rows of every touched group (``touched``: distinct group keys,
-    which include ``partition_col``). Step 1 stages the full new content of the touched
-    partitions (rebuilt rows + untouched groups of those partitions) under ``stage``; step 2
-    copies the stage over the table with dynamic partition overwrite. A retry finds the stage
-    complete (``_SUCCESS``) and only repeats step 2, so the table is never rebuilt from a
-    half-overwritten partition.
+    which include ``partition_col``, materialized). Step 1 stages the full new content of the touched
+    partitions (rebuilt rows + untouched groups of those partitions, the only ones that are listed
+    and read) under ``stage``; step 2 copies the stage over the table with dynamic partition
+    overwrite. A retry finds the stage complete (``_SUCCESS``) and only repeats step 2, so the table
+    is never rebuilt from a half-overwritten partition.
     """
     if not path_exists(spark, f"{stage}/_SUCCESS"):
-        staged = rebuilt
-        if path_exists(spark, root):
-            current = spark.read.parquet(root)
-            dates = touched.select(partition_col).distinct()
-            kept = current.join(F.broadcast(dates), partition_col, "left_semi") \
-                          .join(touched, keys, "left_anti")
-            staged = rebuilt.unionByName(kept.select(*rebuilt.columns))
-        staged.write.mode("overwrite").parquet(stage)
-    rebalanced(spark.read.parquet(stage), partition_col).write.mode("overwrite") \
+        current = read_dates(spark, root, rebuilt.schema, partition_col, dates(touched, partition_col))
+        kept = current.join(touched, keys, "left_anti")
+        rebuilt.unionByName(kept.select(*rebuilt.columns)).write.mode("overwrite").parquet(stage)
+    rebalanced(spark.read.schema(rebuilt.schema).parquet(stage), partition_col).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root)
 
 
@@ -97,7 +117,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def extraction_start(watermark: Column, overlap_hours: int = DEFAULT_OVERLAP_HOURS) -> Column:
     """Watermark minus the overlap; a null watermark stays null."""
     if overlap_hours < 0:
-        raise ValueError("overlap_hours must be non-negative")
+        raise ValueError("the overlap can't be less than zero hours")
     return watermark - F.make_dt_interval(F.lit(0), F.lit(overlap_hours))
 
 
@@ -109,7 +129,7 @@ def incremental_window(batch: DataFrame, target: DataFrame, column: str = "inges
     Parquet footers where possible), evaluated once and used as a pushed-down filter.
     """
     if overlap_hours < 0:
-        raise ValueError("overlap_hours must be non-negative")
+        raise ValueError("the overlap can't be less than zero hours")
     high = target.agg(F.coalesce(F.max(column).cast("timestamp_ntz"),
                                  F.lit(FLOOR_TIMESTAMP).cast("timestamp_ntz")).alias("m"))
     bound = high.select(extraction_start(F.col("m"), overlap_hours)).scalar()
@@ -120,35 +140,3 @@ def incremental_window(batch: DataFrame, target: DataFrame, column: str = "inges
 def evolve_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Additive schema change: columns new on either side are added with nulls."""
     return existing.unionByName(incoming, allowMissingColumns=True)
-
-
-# --------------------------------------------------------------------------- versions
-def _current_pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_CURRENT"
-
-
-def current_version(spark: SparkSession, root: str) -> int | None:
-    try:
-        rows = spark.read.text(_current_pointer(root)).collect()  # one line
-    except Exception:  # noqa: BLE001 - absent table
-        return None
-    return int(rows[0][0]) if rows else None
-
-
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    v = current_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/v={v}")
-
-
-def publish(spark: SparkSession, df: DataFrame, root: str, partition_by: list[str] | None = None) -> int:
-    """Write ``df`` as the next version of the table at ``root`` and publish it."""
-    v = (current_version(spark, root) or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{root.rstrip('/')}/v={v}")
-    spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-         .write.mode("overwrite").text(_current_pointer(root))
-    return v

@@ -59,10 +59,10 @@ class LoadPaths:
 
 # --------------------------------------------------------------------------- K4 audit
 def audit_event(spark: SparkSession, paths: LoadPaths, run_id: str, source_name: str, status: str,
-                counters: dict | None = None, error: str | None = None) -> None:
+                counters: dict | None = None, error: str | None = None, dataset: str = DATASET) -> None:
     """Append one status event for a run (append-only; latest event per run wins on read)."""
     c = counters or {}
-    row = (run_id, PIPELINE_NAME, DATASET, source_name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+    row = (run_id, PIPELINE_NAME, dataset, source_name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
            status, c.get("received"), c.get("valid"), c.get("rejected"), c.get("distinct_valid"),
            c.get("inserted"), c.get("already_present"), error)
     spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(paths.audit_root)
@@ -86,7 +86,7 @@ def read_raw(spark: SparkSession, paths: LoadPaths, schema: T.StructType) -> Dat
     ok = read_audit(spark, paths.audit_root).where(F.col("status") == "succeeded").select("run_id")
     raw = spark.read.schema(T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])) \
                     .parquet(paths.raw_root)
-    return raw.join(F.broadcast(ok), "run_id", "left_semi").drop("run_id")
+    return raw.join(ok, "run_id", "left_semi").drop("run_id")
 
 
 _exists = tables.path_exists
@@ -105,12 +105,13 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
     """Run one load; returns the counters (one small row brought to the driver)."""
     run_id = run_id or str(uuid.uuid4())
     audit_event(spark, paths, run_id, source_name, "running")
+    counters = None  # whatever a failed run has counted is kept
     try:
         delays = files.read_delay_csv(spark, delay_path)
         routes = files.read_route_csv(spark, route_path)
         # Materialized once in the shared checkpoint folder: quarantine, accepted rows and
         # counters all read it, and the CSVs are parsed and joined a single time.
-        checked = prepare(delays, routes, source_name).checkpoint(eager=True)
+        checked = tables.materialized(prepare(delays, routes, source_name), "load-checked")
 
         rejected = checked.where(~F.col("rules_ok"))
         ingest.quarantine_records(rejected).write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
@@ -120,14 +121,59 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
         target = read_raw(spark, paths, accepted.schema)
         counters = ingest.load_counters(checked, target).first().asDict()
         # The hash covers the journey date: only the target's partitions for this load's dates
-        # are read for the anti join (dynamic partition pruning on journey_date).
-        new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted), implied_by_key=["journey_date"])
+        # are read for the anti join.
+        new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted), implied_by_key="journey_date")
         tables.rebalanced(new_rows, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
               .parquet(f"{paths.raw_root}/run_id={run_id}")
         audit_event(spark, paths, run_id, source_name, "succeeded", counters)
         return {"run_id": run_id, **counters}
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
-        audit_event(spark, paths, run_id, source_name, "failed", error=str(exc)[:2000])
+        audit_event(spark, paths, run_id, source_name, "failed", counters=counters, error=str(exc))
+        raise
+
+
+# --------------------------------------------------------------------------- schedule load
+SCHEDULE_DATASET = "train_schedule_stops"
+SCHEDULE_HASH_COLUMNS = sorted(["train_number", "train_name", "station_code", "station_name", "station_sequence",
+                                "schedule_arrival_time", "schedule_departure_time", "distance_km", "source_name"])
+
+
+def schedule_stops(routes: DataFrame, source_name: str) -> DataFrame:
+    """Route CSV rows -> typed schedule stops with their hash (T10: the content alone, not the load
+    time); ``rules_ok`` asks for a train, a station and a positive sequence."""
+    sequence = E.sequence_from_text("stnSerialNumber")
+    typed = routes.select(
+        E.normalize_key("trainNumber").alias("train_number"), E.blank_to_null("trainName").alias("train_name"),
+        F.lit(None).cast("string").alias("train_type"), F.lit(None).cast("string").alias("source_station_code"),
+        F.lit(None).cast("string").alias("destination_station_code"),
+        E.normalize_key("station_code").alias("station_code"), E.blank_to_null("station_name").alias("station_name"),
+        sequence.alias("station_sequence"), E.blank_to_null("arrivalTime").alias("schedule_arrival_time"),
+        E.blank_to_null("departureTime").alias("schedule_departure_time"),
+        F.lit(None).cast("int").alias("journey_day_number"), E.optional_number("distance").alias("distance_km"),
+        F.lit(source_name).alias("source_name"))
+    return typed.withColumn("source_record_hash", E.record_hash(*SCHEDULE_HASH_COLUMNS)).withColumn(
+        "rules_ok", (F.col("train_number") != "") & (F.col("station_code") != "")
+        & F.coalesce(F.col("station_sequence") > 0, F.lit(False)))
+
+
+def schedule_load(spark: SparkSession, route_path: str, paths: LoadPaths, source_name: str = "route_csv_feed",
+                  run_id: str | None = None) -> dict:
+    """Route CSV -> schedule table: insert-only by hash, quarantine, audit. Returns the counters."""
+    run_id = run_id or str(uuid.uuid4())
+    audit_event(spark, paths, run_id, source_name, "running", dataset=SCHEDULE_DATASET)
+    counters = None
+    try:
+        checked = tables.materialized(schedule_stops(files.read_route_csv(spark, route_path), source_name), "schedule-checked")
+        checked.where(~F.col("rules_ok")).drop("rules_ok").write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
+        loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        accepted = checked.where("rules_ok").drop("rules_ok").withColumn("ingested_at", F.lit(loaded_at).cast("timestamp_ntz"))
+        target = read_raw(spark, paths, accepted.schema)
+        counters = ingest.load_counters(checked, target).first().asDict()
+        tables.insert_only(target, accepted).write.mode("overwrite").parquet(f"{paths.raw_root}/run_id={run_id}")
+        audit_event(spark, paths, run_id, source_name, "succeeded", counters, dataset=SCHEDULE_DATASET)
+        return {"run_id": run_id, **counters}
+    except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
+        audit_event(spark, paths, run_id, source_name, "failed", counters, str(exc), SCHEDULE_DATASET)
         raise
 
 

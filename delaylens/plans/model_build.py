@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.operators import ingest, marts, staging
+from delaylens.operators import ingest, marts, staging, tables
 from delaylens.sources import fixtures
 
 
@@ -64,15 +64,15 @@ class Models:
         return marts.mart_train_punctuality(self.fact_station_arrival)
 
     def materialized(self, *names: str) -> "Models":
-        """Checkpoint the named models (in order) and use the written copies from here on.
+        """Write the named models (in order) as Parquet and use the written copies from here on.
 
         For jobs that read a model several times (the data tests, the holdout evaluation):
-        the model is computed once, written to the shared checkpoint folder (lineage cut, so
+        the model is computed once, written below the shared checkpoint folder (lineage cut, so
         a lost executor re-reads it instead of re-running the scan and the windows), and the
         models built on it are derived from the written copy.
         """
         for name in names:
-            self.__dict__[name] = getattr(self, name).checkpoint(eager=True)
+            self.__dict__[name] = tables.materialized(getattr(self, name), name)
         return self
 
 
@@ -87,10 +87,11 @@ def raw_running_from_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted
 
 
-def from_fixtures(spark: SparkSession, sf_dir: str) -> Models:
+def from_fixtures(spark: SparkSession, sf_dir: str, schedule: str = "schedule_raw", validated: bool = True) -> Models:
+    """Models over the fixtures; unvalidated raw rows are for the checks that look for their faults."""
     return Models(
-        raw_running=raw_running_from_fixture(spark, sf_dir),
-        raw_schedule=fixtures.load(spark, sf_dir, "schedule_raw"),
+        raw_running=raw_running_from_fixture(spark, sf_dir) if validated else fixtures.load(spark, sf_dir, "running_raw"),
+        raw_schedule=fixtures.load(spark, sf_dir, schedule),
     )
 
 

@@ -23,6 +23,13 @@ HASHED_COLS = ["train_number", "journey_date", "station_code", "station_sequence
 HASHED_SQL = ", ".join(HASHED_COLS)
 
 
+def hash_sql(values: list[str]) -> str:
+    """P7 in DuckDB: every value as length:text, nulls as a dash."""
+    texts = [f"CAST({v} AS VARCHAR)" for v in values]
+    return "sha256(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts) + "))"
+
+
+
 # ----------------------------------------------------------------------- CSV scans
 GENERIC_CSV_SQL = """
 SELECT train_number, CAST(journey_date AS STRING) AS journey_date,
@@ -156,9 +163,14 @@ def q_optional_number(spark, sf_dir):
 SELECT DISTINCT trim(train) AS train_number FROM delay_csv
 WHERE regexp_matches(trim(train), '^[0-9]{5}$')""", "delay_csv"), "P16")
 def q_valid_train_numbers(spark, sf_dir):
-    d = fixtures.load(spark, sf_dir, "delay_csv")
-    t = F.trim("train")
-    return d.where(t.rlike(E.FIVE_DIGIT_TRAIN_PATTERN)).select(t.alias("train_number")).distinct()
+    return ingest.train_numbers(fixtures.load(spark, sf_dir, "delay_csv"), "train")[0]
+
+
+@register("invalid_train_numbers", oracle("""
+SELECT DISTINCT trim(train) AS train_number FROM delay_csv
+WHERE NOT regexp_matches(trim(train), '^[0-9]{5}$')""", "delay_csv"), "P16")
+def q_invalid_train_numbers(spark, sf_dir):
+    return ingest.train_numbers(fixtures.load(spark, sf_dir, "delay_csv"), "train")[1]
 
 
 # ----------------------------------------------------------------------- stop-sequence lookup
@@ -198,10 +210,10 @@ attached AS (
 
 @register("route_sequence_lookup", oracle(LOOKUP_SQL + """
 SELECT train_number, journey_date_text, station_code, station_sequence, arrival_delay_minutes,
-       departure_delay_minutes FROM attached""", "delay_csv", "route_csv"), "J1 P1 P5 T7")
+       departure_delay_minutes FROM attached""", "delay_csv", "route_csv", replace={"route_csv": "route_gaps"}), "J1 P1 P5 T7")
 def q_route_sequence_lookup(spark, sf_dir):
     a = ingest.attach_stop_sequence(fixtures.load(spark, sf_dir, "delay_csv"),
-                                    fixtures.load(spark, sf_dir, "route_csv"))
+                                    fixtures.load(spark, sf_dir, "route_gaps"))
     return a.select("train_number", "journey_date_text", "station_code", "station_sequence",
                     "arrival_delay_minutes", "departure_delay_minutes")
 
@@ -214,8 +226,7 @@ LOAD_HASH_COLS = sorted(["train_number", "journey_date_text", "station_code", "s
 
 def _load_hash_sql() -> str:
     extra = {"status": "'observed'", "source_name": "'delay_csv_feed'"}
-    parts = [f"coalesce(CAST({extra.get(c, c)} AS VARCHAR), '~')" for c in LOAD_HASH_COLS]
-    return "sha256(concat_ws('|', " + ", ".join(parts) + "))"
+    return hash_sql([extra.get(c, c) for c in LOAD_HASH_COLS])
 
 
 @register("quarantine_rows", oracle(LOOKUP_SQL + f"""
@@ -238,10 +249,10 @@ WHERE length(train_number) NOT BETWEEN 1 AND 16 OR length(station_code) NOT BETW
    OR TRY_CAST(journey_date_text AS DATE) IS NULL
    OR (arrival_delay_minutes IS NOT NULL AND NOT (arrival_delay_minutes BETWEEN -1440 AND 10080))
    OR (departure_delay_minutes IS NOT NULL AND NOT (departure_delay_minutes BETWEEN -1440 AND 10080))
-""", "delay_csv", "route_csv"), "K3 P6 J1")
+""", "delay_csv", "route_csv", replace={"route_csv": "route_gaps"}), "K3 P6 J1")
 def q_quarantine_rows(spark, sf_dir):
     a = ingest.attach_stop_sequence(fixtures.load(spark, sf_dir, "delay_csv"),
-                                    fixtures.load(spark, sf_dir, "route_csv"))
+                                    fixtures.load(spark, sf_dir, "route_gaps"))
     a = a.withColumn("source_record_hash", E.record_hash(*LOAD_HASH_COLS))
     _accepted, rejected = ingest.validate(a, date_is_text=True)
     q = ingest.quarantine_records(rejected)
@@ -271,11 +282,10 @@ EVENT_HASH_PRESENT = ["actual_arrival_at", "arrival_delay_minutes", "departure_d
                       "train_number"]
 
 
-@register("record_hash", oracle("SELECT train_number, journey_date, station_code, station_sequence, sha256(concat_ws('|', "
-                                + ", ".join(
-                                    "coalesce(CAST(" + (c if c in EVENT_HASH_PRESENT else "NULL") + " AS VARCHAR), '~')"
-                                    for c in ingest.CANONICAL_EVENT_COLUMNS)
-                                + ")) AS content_hash FROM running_accepted", "running_accepted"), "P7 T6 T12")
+@register("record_hash", oracle(
+    "SELECT train_number, journey_date, station_code, station_sequence, "
+    + hash_sql([c if c in EVENT_HASH_PRESENT else "NULL" for c in ingest.CANONICAL_EVENT_COLUMNS])
+    + " AS content_hash FROM running_accepted", "running_accepted"), "P7 T6 T12")
 def q_record_hash(spark, sf_dir):
     acc = raw_running_from_fixture(spark, sf_dir)
     cols = [F.col(c) if c in acc.columns else F.lit(None) for c in ingest.CANONICAL_EVENT_COLUMNS]
@@ -324,12 +334,13 @@ def q_load_counters(spark, sf_dir):
 
 
 def _merged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted = raw_running_from_fixture(spark, sf_dir).select(*HASHED_COLS)
+    accepted = raw_running_from_fixture(spark, sf_dir).select(*HASHED_COLS, "ingested_at")
     root = scratch_path(spark, "raw_running_events")
-    tables.publish(spark, _previous_load(accepted), root)
-    merged = tables.merge_insert_only(tables.read_table(spark, root), accepted)
-    tables.publish(spark, merged, root)
-    return tables.read_table(spark, root)
+    batch = tables.materialized(accepted, "raw_batch")
+    tables.append_batch(_previous_load(batch), root, "journey_date", 0)
+    present = tables.read_dates(spark, root, batch.schema, "journey_date", tables.dates(batch, "journey_date"))
+    tables.append_batch(tables.insert_only(present, batch), root, "journey_date", 1)
+    return spark.read.parquet(root).select(*HASHED_COLS)
 
 
 @register("merge_insert_only", oracle(PREV_SQL + f"""
@@ -449,11 +460,9 @@ SNAP_SQL = """
          CAST(retrieved_at AS TIMESTAMP) AS retrieved_at
   FROM snapshot_payload WHERE http_status = 200),
 snap_h AS (
-  SELECT *, sha256(concat_ws('|', coalesce(current_station_code, '~'), coalesce(CAST(delay_minutes AS VARCHAR), '~'),
-            coalesce(CAST(journey_date AS VARCHAR), '~'), coalesce(journey_status, '~'),
-            coalesce(next_station_code, '~'), coalesce(next_station_name, '~'),
-            coalesce(provider_updated_at, '~'), strftime(retrieved_at, '%Y-%m-%d %H:%M:%S.%f'),
-            coalesce(train_number, '~'))) AS source_record_hash
+  SELECT *, """ + hash_sql(["current_station_code", "delay_minutes", "journey_date", "journey_status", "next_station_code",
+                            "next_station_name", "provider_updated_at", "strftime(retrieved_at, '%Y-%m-%d %H:%M:%S.%f')",
+                            "train_number"]) + """ AS source_record_hash
   FROM snap)
 """
 
@@ -526,12 +535,12 @@ SELECT 'run-1' AS run_id, 'succeeded' AS status, received AS records_received, v
        CAST(0 AS BIGINT) AS records_already_present FROM c
 UNION ALL
 SELECT 'run-2', 'succeeded', received, valid, rejected, distinct_valid, CAST(0 AS BIGINT), distinct_valid FROM c""",
-                                    "delay_csv", "route_csv"), "K4 K1 K3 A10 J1 J2 S2 S3 P20 W4")
+                                    "delay_csv", "route_csv", replace={"route_csv": "route_gaps"}), "K4 K1 K3 A10 J1 J2 S2 S3 P20 W4")
 def q_historical_load(spark, sf_dir):
     from delaylens.plans import load_run
     landing = scratch_path(spark, "delay_landing")
     files.write_csv(fixtures.load(spark, sf_dir, "delay_csv"), f"{landing}/delays")
-    files.write_csv(fixtures.load(spark, sf_dir, "route_csv"), f"{landing}/routes")
+    files.write_csv(fixtures.load(spark, sf_dir, "route_gaps"), f"{landing}/routes")
     delay_path, route_path = f"{landing}/delays", f"{landing}/routes"
     paths = load_run.LoadPaths(scratch_path(spark, "raw_running"), scratch_path(spark, "quarantine"),
                                scratch_path(spark, "ingestion_audit"))
@@ -542,6 +551,56 @@ def q_historical_load(spark, sf_dir):
                         F.col("records_distinct_valid"), "records_inserted", "records_already_present")
 
 
+SCHEDULE_SQL = r"""
+, typed AS (
+  SELECT regexp_replace(upper(trim(coalesce(trainNumber, ''))), '\.0$', '') AS train_number,
+         regexp_replace(upper(trim(coalesce(station_code, ''))), '\.0$', '') AS station_code,
+         NULLIF(trim(station_name), '') AS station_name, TRY_CAST(stnSerialNumber AS INTEGER) AS station_sequence,
+         TRY_CAST(NULLIF(distance, '') AS DOUBLE) AS distance_km FROM route_csv),
+fine AS (SELECT DISTINCT * FROM typed WHERE train_number <> '' AND station_code <> '' AND station_sequence > 0)
+"""
+
+
+def _loaded_schedule(spark: SparkSession, sf_dir: str):
+    """Two runs of the schedule load over the route file; returns the paths."""
+    from delaylens.plans import load_run
+    route_path = _written_csv(spark, fixtures.load(spark, sf_dir, "route_csv"), "routes")
+    paths = load_run.LoadPaths(scratch_path(spark, "raw_schedule"), scratch_path(spark, "schedule_quarantine"),
+                               scratch_path(spark, "schedule_audit"))
+    for run in ("run-1", "run-2"):
+        load_run.schedule_load(spark, route_path, paths, run_id=run)
+    return paths
+
+
+@register("schedule_load", oracle(SCHEDULE_SQL + """
+, c AS (SELECT (SELECT count(*) FROM typed) AS received,
+               (SELECT count(*) FROM typed WHERE train_number <> '' AND station_code <> '' AND station_sequence > 0) AS valid,
+               (SELECT count(*) FROM fine) AS distinct_valid)
+SELECT 'run-1' AS run_id, 'train_schedule_stops' AS dataset, 'succeeded' AS status, received AS records_received,
+       valid AS records_valid, received - valid AS records_rejected, distinct_valid AS records_distinct_valid,
+       distinct_valid AS records_inserted, CAST(0 AS BIGINT) AS records_already_present FROM c
+UNION ALL
+SELECT 'run-2', 'train_schedule_stops', 'succeeded', received, valid, received - valid, distinct_valid, CAST(0 AS BIGINT),
+       distinct_valid FROM c""", "route_csv"), "K1 K4 S3 T10")
+def q_schedule_load(spark, sf_dir):
+    from delaylens.plans import load_run
+    audit = load_run.read_audit(spark, _loaded_schedule(spark, sf_dir).audit_root)
+    return audit.select("run_id", "dataset", "status", "records_received", "records_valid", "records_rejected",
+                        "records_distinct_valid", "records_inserted", "records_already_present")
+
+
+@register("schedule_dimensions", oracle(SCHEDULE_SQL + """
+SELECT train_number, station_code, station_sequence, CAST(CAST(distance_km AS DECIMAL(12,2)) AS DOUBLE) AS distance_km,
+       'route_csv_feed' AS source_name FROM fine""", "route_csv"), "K1 O6 W2")
+def q_schedule_dimensions(spark, sf_dir):
+    from delaylens.operators import marts, staging
+    from delaylens.plans import load_run
+    paths = _loaded_schedule(spark, sf_dir)
+    schema = spark.read.parquet(paths.raw_root).drop("run_id").schema
+    stops = marts.dim_route_stop(staging.stg_train_schedule(load_run.read_raw(spark, paths, schema)))
+    return stops.select("train_number", "station_code", "station_sequence", "distance_km", "source_name")
+
+
 def _network_overview_oracle() -> str:
     from delaylens.plans.queries_core import NETWORK_OVERVIEW_ORACLE
     return NETWORK_OVERVIEW_ORACLE

@@ -281,9 +281,10 @@ def q_prediction_monitoring(spark, sf_dir):
 
 # ----------------------------------------------------------------------- weather enrichment
 @register("weather_enrichment", oracle(WEATHER_SQL + """
-, wd AS (SELECT station_code, weather_date, round(avg(temperature_2m_mean), 6) AS temperature_2m_mean,
-                round(sum(precipitation_sum), 6) AS precipitation_sum, max(weather_code) AS weather_code
-         FROM wf WHERE error IS NULL GROUP BY 1, 2)
+, wd AS (SELECT station_code, weather_date, round(temperature_2m_mean, 6) AS temperature_2m_mean,
+                round(precipitation_sum, 6) AS precipitation_sum, weather_code
+         FROM wf WHERE error IS NULL QUALIFY row_number() OVER (PARTITION BY station_code, weather_date
+                                                               ORDER BY request_id DESC) = 1)
 SELECT f.train_number, f.journey_date, f.station_code, f.station_sequence, w.weather_date,
        CASE WHEN CAST(w.weather_date + 1 AS TIMESTAMP) <= f.scheduled_arrival_at THEN w.temperature_2m_mean END
            AS temperature_2m_mean,

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from delaylens.operators import ingest, quality
 from delaylens.plans.catalog import register
 from delaylens.plans.model_build import from_fixtures
-from delaylens.plans.oracle_views import oracle
+from delaylens.plans.oracle_views import UNVALIDATED, oracle
 
 
-def _models(spark, sf_dir):
-    # Raw, staging and fact are each read by several tests: computed once, then checkpointed.
-    m = from_fixtures(spark, sf_dir).materialized("raw_running", "stg_train_running", "fact_station_arrival",
+def _models(spark, sf_dir, schedule="schedule_raw"):
+    """Models over the rows as they come, so that the tests find what validation removes.
+
+    Raw, staging and fact are each read by several tests: computed once and written.
+    """
+    m = from_fixtures(spark, sf_dir, schedule, validated=False).materialized("raw_running", "stg_train_running", "fact_station_arrival",
                                                   "stg_train_schedule")
     return {
         "stg_train_running": m.stg_train_running,
@@ -27,7 +30,8 @@ def _models(spark, sf_dir):
 
 ORACLE_MODELS = {
     "stg_train_running": "stg_train_running",
-    "raw_train_running_events": "running_accepted",
+    "raw_train_running_events": "(SELECT * FROM running_accepted QUALIFY row_number() OVER "
+                                "(PARTITION BY source_record_hash) = 1)",
     "dim_train": "dim_train",
     "dim_station": "dim_station",
     "dim_route_stop": "dim_route_stop",
@@ -67,7 +71,7 @@ FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_route_stop s WHERE f.train_numbe
 ALL_VIEWS = ("stg_train_running", "running_accepted", "dim_train", "dim_station", "dim_route_stop", "fact")
 
 
-@register("dq_not_null", oracle(_not_null_sql(), *ALL_VIEWS), "Q1")
+@register("dq_not_null", oracle(_not_null_sql(), *ALL_VIEWS, replace=UNVALIDATED), "Q1")
 def q_dq_not_null(spark, sf_dir):
     ms = _models(spark, sf_dir)
     from functools import reduce
@@ -76,7 +80,7 @@ def q_dq_not_null(spark, sf_dir):
                                           for m, cols in quality.NOT_NULL_COLUMNS.items()])
 
 
-@register("dq_unique", oracle(_unique_sql(quality.UNIQUE_COLUMNS), *ALL_VIEWS), "Q2 T9")
+@register("dq_unique", oracle(_unique_sql(quality.UNIQUE_COLUMNS), *ALL_VIEWS, replace=UNVALIDATED), "Q2 T9")
 def q_dq_unique(spark, sf_dir):
     ms = _models(spark, sf_dir)
     from functools import reduce
@@ -85,7 +89,7 @@ def q_dq_unique(spark, sf_dir):
                                           for m, c in quality.UNIQUE_COLUMNS.items()])
 
 
-@register("dq_unique_combination", oracle(_unique_sql(quality.UNIQUE_COMBINATIONS), *ALL_VIEWS), "Q3")
+@register("dq_unique_combination", oracle(_unique_sql(quality.UNIQUE_COMBINATIONS), *ALL_VIEWS, replace=UNVALIDATED), "Q3")
 def q_dq_unique_combination(spark, sf_dir):
     ms = _models(spark, sf_dir)
     from functools import reduce
@@ -96,17 +100,17 @@ def q_dq_unique_combination(spark, sf_dir):
 
 @register("dq_actual_without_schedule", oracle("""
 SELECT train_number, journey_date, station_code, station_sequence FROM stg_train_running
-WHERE actual_arrival_at IS NOT NULL AND scheduled_arrival_at IS NULL""", "stg_train_running"), "Q4")
+WHERE actual_arrival_at IS NOT NULL AND scheduled_arrival_at IS NULL""", "stg_train_running", replace=UNVALIDATED), "Q4")
 def q_dq_actual_without_schedule(spark, sf_dir):
-    return quality.actual_without_schedule(from_fixtures(spark, sf_dir).stg_train_running).select(
+    return quality.actual_without_schedule(from_fixtures(spark, sf_dir, validated=False).stg_train_running).select(
         "train_number", "journey_date", "station_code", "station_sequence")
 
 
 @register("dq_nonpositive_sequence", oracle("""
 SELECT train_number, journey_date, station_code, station_sequence FROM stg_train_running
-WHERE station_sequence <= 0""", "stg_train_running"), "Q5")
+WHERE station_sequence <= 0""", "stg_train_running", replace=UNVALIDATED), "Q5")
 def q_dq_nonpositive_sequence(spark, sf_dir):
-    return quality.nonpositive_sequence(from_fixtures(spark, sf_dir).stg_train_running).select(
+    return quality.nonpositive_sequence(from_fixtures(spark, sf_dir, validated=False).stg_train_running).select(
         "train_number", "journey_date", "station_code", "station_sequence")
 
 
@@ -114,9 +118,10 @@ def q_dq_nonpositive_sequence(spark, sf_dir):
 SELECT f.train_number, f.journey_date, f.station_code, f.station_sequence FROM fact f
 LEFT JOIN dim_route_stop s ON f.train_number = s.train_number AND f.station_code = s.station_code
      AND f.station_sequence = s.station_sequence
-WHERE s.train_number IS NULL""", "fact", "dim_route_stop"), "Q6 J4")
+WHERE s.train_number IS NULL""", "fact", "dim_route_stop",
+          replace={"schedule_raw": "schedule_gaps"}), "Q6 J4")
 def q_dq_fact_without_schedule(spark, sf_dir):
-    m = from_fixtures(spark, sf_dir)
+    m = from_fixtures(spark, sf_dir, "schedule_gaps")
     return quality.fact_without_schedule(m.fact_station_arrival, m.dim_route_stop).select(
         "train_number", "journey_date", "station_code", "station_sequence")
 
@@ -130,9 +135,10 @@ UNION ALL
 UNION ALL
 {SINGULAR_SQL})
 SELECT test_name, 'error' AS severity, failed_count,
-       CASE WHEN failed_count = 0 THEN 'pass' ELSE 'fail' END AS status FROM r""", *ALL_VIEWS), "Q7")
+       CASE WHEN failed_count = 0 THEN 'pass' ELSE 'fail' END AS status FROM r""", *ALL_VIEWS,
+                              replace=UNVALIDATED | {"schedule_raw": "schedule_gaps"}), "Q7")
 def q_dq_report(spark, sf_dir):
-    return quality.quality_report(_models(spark, sf_dir))
+    return quality.quality_report(_models(spark, sf_dir, "schedule_gaps"))
 
 
 @register("leakage_violations", oracle("""

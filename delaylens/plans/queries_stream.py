@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from delaylens.operators.marts import FACT_COLUMNS
 from delaylens.plans.catalog import register
-from delaylens.plans.model_build import from_fixtures
 from delaylens.plans.oracle_views import oracle
 from delaylens.plans.queries_ingest import HASHED_COLS, HASHED_SQL, SNAP_SQL
 from delaylens.session import scratch_path
@@ -31,7 +30,7 @@ def q_stream_snapshot_archive(spark, sf_dir):
 def q_stream_dedupe(spark, sf_dir):
     landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "dedupe", 4)
     sink = scratch_path(spark, "dedupe_sink")
-    jobs.late_correction_dedupe(spark, landing, sink, scratch_path(spark, "ckpt-dedupe"), schema)
+    jobs.late_correction_dedupe(spark, landing, sink, scratch_path(spark, "ckpt-dedupe"), schema, max_files=1)
     return spark.read.parquet(sink).select(*HASHED_COLS)
 
 
@@ -49,9 +48,9 @@ SELECT journey_date, count(*) AS observations, round(avg(arrival_delay_minutes),
        round(median(arrival_delay_minutes), 6) AS median_delay_minutes
 FROM observed GROUP BY journey_date""", "observed"), "R4 A7")
 def q_stream_daily_trend(spark, sf_dir):
-    fact = from_fixtures(spark, sf_dir).fact_station_arrival
-    landing, schema = _landing(spark, fact, "trend", 6)
+    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "trend", 6)
     out = scratch_path(spark, "daily_trend_stream")
-    jobs.daily_trend_stream(spark, landing, out, scratch_path(spark, "ckpt-trend"), schema, max_files=2)
+    jobs.daily_trend_stream(spark, landing, scratch_path(spark, "raw_trend"), scratch_path(spark, "fact_trend"),
+                            scratch_path(spark, "stage_trend"), out, scratch_path(spark, "ckpt-trend"), schema, max_files=2)
     return spark.read.parquet(out).select("journey_date", F.col("observations").cast("long").alias("observations"),
                                           "average_delay_minutes", "median_delay_minutes")

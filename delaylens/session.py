@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,8 +67,9 @@ def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 *
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting a local one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store) folder and is
-    used as is. Only a session without it (tests, local runs) gets a folder under /tmp.
+    On a cluster ``spark.checkpoint.dir`` must name a shared (HDFS/object store) folder, which
+    is used as is; without it a cluster job stops here. Only a session whose executors are this
+    process (tests, local runs) gets a folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="delaylens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,39 +19,55 @@ ROUTE_OPTIONAL = ["trainName", "station_name", "arrivalTime", "departureTime", "
 BASELINE_REQUIRED = ["journey_date", "train_number", "station_code", "arrival_delay_minutes"]
 BASELINE_MIN_ROWS = 10
 
-CSV_READ_OPTIONS = {"header": "true", "encoding": "UTF-8", "mode": "PERMISSIVE"}
+# A quote inside a quoted field is doubled; every file's header is checked against the schema.
+CSV_READ_OPTIONS = {"header": "true", "encoding": "UTF-8", "mode": "PERMISSIVE", "escape": '"', "enforceSchema": "false"}
 # Writing keeps whitespace as is (Spark trims by default on write) so a round trip is exact.
-CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 class ContractError(ValueError):
     pass
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Header of a CSV source (no inference: only the first line is parsed per file)."""
-    return spark.read.options(**CSV_READ_OPTIONS).csv(path).columns
-
+def header_groups(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(columns, files) for each different header among the files of a CSV source.
 
-def read_csv_contract(spark: SparkSession, path: str, required: list[str],
-                      optional: list[str] | None = None, label: str = "file") -> DataFrame:
-    """All-string read with an explicit schema after checking the header.
-
-    A missing required column fails the scan and names the columns (sorted). Optional
-    columns that are absent come back as nulls; extra columns are ignored. A UTF-8 BOM on the
-    header is dropped by the reader.
+    The first line of every file is found by one pass over the first block of each; the few
+    different headers and the file names (which a scan lists anyway) reach the driver.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("line"))
+    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return [([c.strip() for c in next(csv.reader([g.header.lstrip("\ufeff")]))], sorted(g.files))
+            for g in sorted(groups, key=lambda g: g.header)]
+
+
+def read_csv_contract(spark: SparkSession, path: str, required: list[str], optional: list[str] | None = None,
+                      label: str = "file", multi_line: bool = False) -> DataFrame:
+    """All-string read with an explicit schema after checking every file's header.
+
+    A missing required column fails the scan and names the columns (sorted). Files may have their
+    columns in different order, and optional columns may be absent from some (nulls then); other
+    columns are ignored. A UTF-8 BOM on the header is dropped. ``multi_line`` is for feeds with line
+    ends inside quoted fields; it makes each file the work of one task.
     """
-    header = [c.lstrip("﻿") for c in header_columns(spark, path)]
-    missing = sorted(set(required) - set(header))
-    if missing:
-        raise ContractError(f"{label} missing columns: {', '.join(missing)}")
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    df = spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
+    groups = header_groups(spark, path)
+    for header, _files in groups or [([], [])]:
+        if missing := sorted(set(required) - set(header)):
+            raise ContractError(f"{label}: no column {', '.join(missing)}")
     wanted = list(required) + [c for c in (optional or []) if c not in required]
-    return df.select(*[(F.col(c) if c in header else F.lit(None).cast("string")).alias(c) for c in wanted]
-                     + [F.col(c) for c in header if c not in wanted and c in EVENT_OPTIONAL])
+    parts = []
+    for header, names in groups:
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+        df = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", multi_line).schema(schema).csv(names)
+        parts.append(df.select(*[(F.col(f"`{c}`") if c in header else F.lit(None).cast("string")).alias(c) for c in wanted]))
+    return reduce(DataFrame.unionByName, parts)
 
 
+EVENT_TIMES = ["source_observed_at", "scheduled_arrival_at", "actual_arrival_at", "scheduled_departure_at",
+               "actual_departure_at"]
 EVENT_OPTIONAL = ["scheduled_arrival_at", "actual_arrival_at", "scheduled_departure_at", "actual_departure_at",
                   "arrival_delay_minutes", "departure_delay_minutes", "status", "source_observed_at"]
 
@@ -77,7 +96,7 @@ def read_baseline_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
     """
     df = read_csv_contract(spark, path, BASELINE_REQUIRED, None, "baseline file")
     obs = df.where(E.blank_to_null("arrival_delay_minutes").isNotNull()).select(
-        F.col("journey_date").cast("date").alias("journey_date"),
+        E.strip("journey_date").try_cast("date").alias("journey_date"),
         F.upper("train_number").alias("train_number"),
         F.upper("station_code").alias("station_code"),
         F.col("arrival_delay_minutes").cast("double").alias("arrival_delay_minutes"),
@@ -101,6 +120,9 @@ def events_from_generic_csv(df: DataFrame) -> DataFrame:
         E.optional_number("departure_delay_minutes").alias("departure_delay_minutes"),
         E.not_a_number("arrival_delay_minutes").alias("arrival_delay_not_a_number"),
         E.not_a_number("departure_delay_minutes").alias("departure_delay_not_a_number"),
+        *[E.blank_to_null(c).try_cast("timestamp_ntz").alias(c) for c in EVENT_TIMES],
+        F.array_compact(F.array(*[F.when(E.blank_to_null(c).isNotNull() & E.blank_to_null(c).try_cast("timestamp_ntz").isNull(),
+                                         F.lit(f"{c}_invalid")) for c in EVENT_TIMES])).alias("invalid_times"),
         E.blank_to_null("status").alias("status"),
         "source_name",
         *(["source_record_hash"] if "source_record_hash" in df.columns else []),
@@ -120,5 +142,5 @@ def find_single_file(spark: SparkSession, directory: str, glob: str) -> str:
     files = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
                       .text(directory).inputFiles()
     if len(files) != 1:
-        raise ContractError(f"Expected exactly one {glob} file; found {len(files)}")
+        raise ContractError(f"{glob} names {len(files)} files under {directory}, not one")
     return files[0]

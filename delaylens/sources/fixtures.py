@@ -4,6 +4,7 @@ Each fixture is written once as SQL for both engines. Markers are replaced per d
 
 - ``@TS@``                    TIMESTAMP_NTZ (Spark) / TIMESTAMP (DuckDB)
 - ``@SHA@(`` ... ``@SHA2@)``  ``sha2(..., 256)`` (Spark) / ``sha256(...)`` (DuckDB)
+- ``@COPIES@``                every 50th order's rows twice (a generator, so that it is one scan)
 - ``{lineitem}`` etc.         a parquet path (Spark) / the pre-registered view (DuckDB)
 
 The fixtures only reshape the driver tables into the transit schemas; every operator that is
@@ -25,7 +26,7 @@ FIXTURE_SQL["running_raw"] = """
 WITH base AS (
   SELECT CAST(10000 + l_suppkey AS STRING) AS train_number,
          DATE '2024-09-01' + CAST(l_orderkey % 30 AS INT) AS journey_date,
-         concat('S', CAST(l_partkey % 40 AS STRING)) AS station_code,
+         CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE concat('S', CAST(l_partkey % 40 AS STRING)) END AS station_code,
          CAST(CASE WHEN l_partkey % 97 = 0 THEN 0 ELSE l_linenumber END AS INT) AS station_sequence,
          CASE WHEN l_tax = 0.0 THEN NULL WHEN l_partkey % 89 = 0 THEN 20000.0
               ELSE l_quantity * 3 - 40 END AS arrival_delay_minutes,
@@ -38,7 +39,8 @@ WITH base AS (
   FROM {lineitem}),
 timed AS (
   SELECT *,
-         CAST(journey_date AS @TS@) + (station_sequence * 2820 + 59) * INTERVAL '1' SECOND AS scheduled_arrival_at,
+         CASE WHEN l_partkey % 83 = 0 THEN NULL
+              ELSE CAST(journey_date AS @TS@) + (station_sequence * 2820 + 59) * INTERVAL '1' SECOND END AS scheduled_arrival_at,
          CASE WHEN l_partkey % 5 = 0 THEN NULL
               ELSE CAST(journey_date AS @TS@) + (station_sequence * 2820 + 59 + true_delay * 60 + 2) * INTERVAL '1' SECOND
          END AS actual_arrival_at
@@ -53,9 +55,7 @@ hashed AS (
                coalesce(CAST(CAST(departure_delay_minutes AS BIGINT) AS STRING), '~'),
                status, CAST(CAST(ingested_at AS DATE) AS STRING))@SHA2@) AS source_record_hash
   FROM timed)
-SELECT * FROM hashed
-UNION ALL
-SELECT * FROM hashed WHERE l_orderkey % 50 = 0
+SELECT hashed.* FROM hashed @COPIES@
 """
 
 FIXTURE_SQL["schedule_raw"] = """
@@ -78,9 +78,13 @@ SELECT CAST(10000 + l_suppkey AS STRING) AS train_number,
        @SHA@(concat_ws('|', CAST(l_suppkey AS STRING), CAST(l_partkey AS STRING),
              CAST(l_linenumber AS STRING), CAST(CAST(l_shipdate AS DATE) AS STRING))@SHA2@) AS source_record_hash
 FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey
-WHERE l_partkey % 53 <> 0
 """
 
+# The schedule with one stop in 53 under another code, for the checks that look for orphans.
+FIXTURE_SQL["schedule_gaps"] = FIXTURE_SQL["schedule_raw"].replace(
+    "concat('S', CAST(l_partkey % 40 AS STRING)) AS station_code",
+    "concat(CASE WHEN l_partkey % 53 = 0 THEN 'X' ELSE 'S' END, CAST(l_partkey % 40 AS STRING)) AS station_code")
+
 FIXTURE_SQL["delay_csv"] = """
 SELECT concat(CAST(10000 + l_suppkey AS STRING), CASE WHEN l_orderkey % 3 = 0 THEN '.0' ELSE '' END) AS train,
        CAST(DATE '2024-09-01' + CAST(l_orderkey % 30 AS INT) AS STRING) AS date,
@@ -101,10 +105,14 @@ SELECT CAST(min(l_linenumber) AS STRING) AS stnSerialNumber,
        concat('S', CAST(l_partkey % 40 AS STRING)) AS station_name,
        CAST((l_partkey % 40) * 12 AS STRING) AS distance
 FROM {lineitem}
-WHERE l_partkey % 40 <> 39
 GROUP BY l_suppkey, l_partkey % 40
 """
 
+# The route file with station 39 under another code and name, for lookups that miss.
+FIXTURE_SQL["route_gaps"] = FIXTURE_SQL["route_csv"].replace(
+    "concat('S', CAST(l_partkey % 40 AS STRING))",
+    "concat(CASE WHEN l_partkey % 40 = 39 THEN 'X' ELSE 'S' END, CAST(l_partkey % 40 AS STRING))")
+
 FIXTURE_SQL["snapshot_payload"] = """
 SELECT event_id, ts AS retrieved_at,
        CAST(CASE WHEN event_type = 'error' AND event_id % 5 = 0 THEN 429 ELSE 200 END AS INT) AS http_status,
@@ -175,35 +183,23 @@ def fixture_sql(name: str, dialect: str, sf_dir: str | None = None) -> str:
     if dialect == "spark":
         if sf_dir is None:
             raise ValueError("spark fixtures need sf_dir")
+        sql = sql.replace("@COPIES@", "LATERAL VIEW explode(CASE WHEN l_orderkey % 50 = 0 THEN array(1, 2) "
+                          "ELSE array(1) END) copies AS copy")
         sql = sql.replace("@TS@", "TIMESTAMP_NTZ").replace("@SHA@(", "sha2(").replace("@SHA2@)", ", 256)")
         return _TABLE_RE.sub(lambda m: _view_name(sf_dir, m.group(1)), sql)
     if dialect == "duckdb":
+        sql = sql.replace("@COPIES@", ", unnest(CASE WHEN l_orderkey % 50 = 0 THEN [1, 2] ELSE [1] END) AS copies(copy)")
         sql = sql.replace("@TS@", "TIMESTAMP").replace("@SHA@(", "sha256(").replace("@SHA2@)", ")")
         return _TABLE_RE.sub(lambda m: m.group(1), sql)
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
-def read_base(spark: SparkSession, path: str) -> DataFrame:
-    """A driver table. When the scan has fewer input splits than the cluster has cores (a
-    small table stored as one Parquet row group), rows are spread round-robin so the
-    row-wise work before the first shuffle runs on every core. Large inputs (many files /
-    row groups) have enough splits and are read as they are, with no extra shuffle.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        # Hash of the table's first (key) column: deterministic on retry without the
-        # per-partition sort round-robin needs, and pruning keeps only that extra column.
-        df = df.repartition(cores, df.columns[0])
-    return df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture as a lazy DataFrame over the parquet files of ``sf_dir``."""
     for table in _TABLE_RE.findall(FIXTURE_SQL[name]):
         view = _view_name(sf_dir, table)
         if not spark.catalog.tableExists(view):
-            read_base(spark, f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(view)
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(view)
     return spark.sql(fixture_sql(name, "spark", sf_dir))
 
 

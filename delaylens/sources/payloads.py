@@ -49,7 +49,7 @@ def flatten_live_status(payloads: DataFrame) -> DataFrame:
     ok = payloads.where(F.col("http_status") == 200)
     p = F.from_json("payload", LIVE_STATUS_SCHEMA).getField("data")
     flat = ok.select(
-        F.coalesce(p.getField("trainNumber"), F.col("requested_train_number")).alias("train_number"),
+        F.coalesce(E.blank_to_null(p.getField("trainNumber")), F.col("requested_train_number")).alias("train_number"),
         p.getField("startDate").try_cast("date").alias("journey_date"),
         p.getField("lastUpdatedAt").alias("provider_updated_at"),
         p.getField("status").alias("journey_status"),

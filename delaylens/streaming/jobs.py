@@ -6,29 +6,30 @@ idempotent per micro-batch id, so a batch replayed after a failure rewrites exac
 wrote before:
 
 - R1 snapshot archive: each batch is flattened, de-duplicated against earlier batches by
-  content hash (K1), and written to ``batch_id=<id>`` (overwrite).
-- R2 late corrections: ``withWatermark(48 h)`` + ``dropDuplicatesWithinWatermark`` on the
-  content hash; state is kept for the watermark delay only. File sink (exactly once).
+  content hash (K1), and written to its own partitions.
+- R2 late corrections: rows whose content hash was never seen before are kept, however late they
+  come; repeats are dropped against the stored rows of the batch's dates.
 - R3 fact upsert: the batch's accepted rows go to the raw table (K1); every journey (train,
   date) the batch touches is rebuilt from the raw table and upserted into the fact table,
   partitioned by journey date, rewriting only the touched date partitions (staged first, so
   a replay copies the same staged rows).
-- R4 daily trend: tumbling one-day windows, complete output mode, rewritten per batch.
+- R4 daily trend: R3's fact, with the trend of the touched dates computed anew after each batch, so
+  a corrected stop counts once, with its latest record.
+
+A batch is written once below the shared folder and read from there. Its dates (one row per calendar
+day) name the folders of the stored tables that are listed and read.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaylens.functions import expressions as E
-from delaylens.operators import ingest, tables
+from delaylens.operators import ingest, kpi, tables
 from delaylens.plans.model_build import Models
 from delaylens.sources import payloads
 
-LATE_CORRECTION_DELAY = "48 hours"
 JOURNEY_KEY = ["train_number", "journey_date"]
 
 
@@ -56,17 +57,17 @@ def _run(writer, checkpoint: str, available_now: bool = True):
     return q
 
 
-_exists = tables.path_exists
+def _earlier(spark: SparkSession, root: str, schema: T.StructType, date_col: str, days: list, batch_id: int) -> DataFrame:
+    """Rows that batches before this one stored for the given dates."""
+    rows = tables.read_dates(spark, root, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]), date_col, days)
+    return rows.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
-def _earlier(spark: SparkSession, root: str, schema: T.StructType, batch_id: int, inclusive: bool = False) -> DataFrame:
-    """Rows committed by earlier batches of a ``batch_id``-partitioned table (never the
-    current batch's own, possibly half-written, folder)."""
-    if not _exists(spark, root):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema.add("batch_id", T.LongType())).parquet(root)
-    cond = F.col("batch_id") <= batch_id if inclusive else F.col("batch_id") < batch_id
-    return df.where(cond).drop("batch_id")
+def _store_new(spark: SparkSession, batch: DataFrame, root: str, date_col: str, batch_id: int,
+               key: str = "source_record_hash") -> None:
+    """K1 for a materialized batch: append the rows whose key no earlier batch has stored."""
+    present = _earlier(spark, root, batch.schema, date_col, tables.dates(batch, date_col), batch_id)
+    tables.append_batch(tables.insert_only(present, batch, key), root, date_col, batch_id)
 
 
 # --------------------------------------------------------------------------- R1
@@ -77,98 +78,68 @@ def snapshot_archive(spark: SparkSession, landing: str, archive: str, checkpoint
     stream = _stream(spark, landing, landing_schema, max_files)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
-        # The hash covers retrieved_at: the anti join reads earlier snapshots of the same
-        # retrieval days only (the archive is partitioned by that day).
+        # The hash covers retrieved_at: earlier snapshots of the same retrieval days are enough.
         flat = payloads.flatten_live_status(batch).withColumn("retrieved_date", F.to_date("retrieved_at"))
-        present = _earlier(spark, archive, T.StructType(flat.schema.fields[:]), batch_id)
-        new = tables.insert_only(present, flat, implied_by_key=["retrieved_date"])
-        tables.rebalanced(new, "retrieved_date").write.mode("overwrite").partitionBy("retrieved_date") \
-              .parquet(f"{archive}/batch_id={batch_id}")
+        _store_new(spark, tables.materialized(flat, "snapshot-batch"), archive, "retrieved_date", batch_id)
 
     return _run(stream.writeStream.foreachBatch(archive_batch), checkpoint, available_now)
 
 
 # --------------------------------------------------------------------------- R2
 def late_correction_dedupe(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                           landing_schema: T.StructType, event_time: str = "ingested_at",
+                           landing_schema: T.StructType, date_col: str = "journey_date",
                            key: str = "source_record_hash", max_files: int | None = None,
                            available_now: bool = True):
-    """R2: drop repeated content hashes among rows within 48 h of event time.
+    """R2: the first row of every content hash; a new hash is kept however late it comes.
 
-    The watermark needs a TIMESTAMP; the NTZ event time is taken as UTC (zone-independent).
-    Rows older than the watermark when they arrive are left out, as the 48 h re-read window
-    of the batch job leaves them out.
+    ``date_col`` is a date the hash covers; rows without it are stored under the null date and
+    compared there.
     """
     stream = _stream(spark, landing, landing_schema, max_files)
-    # NTZ wall-clock read as UTC: cast under the session zone, then shift back by that zone.
-    evt = F.to_utc_timestamp(F.col(event_time).cast("timestamp_ntz").cast("timestamp"),
-                             spark.conf.get("spark.sql.session.timeZone"))
-    deduped = stream.withColumn("_event_time", evt) \
-                    .withWatermark("_event_time", LATE_CORRECTION_DELAY) \
-                    .dropDuplicatesWithinWatermark([key]) \
-                    .drop("_event_time")
-    writer = deduped.writeStream.format("parquet").option("path", sink).outputMode("append")
-    return _run(writer, checkpoint, available_now)
+
+    def dedupe_batch(batch: DataFrame, batch_id: int) -> None:
+        _store_new(spark, tables.materialized(batch, "dedupe-batch"), sink, date_col, batch_id, key)
+
+    return _run(stream.writeStream.foreachBatch(dedupe_batch), checkpoint, available_now)
 
 
 # --------------------------------------------------------------------------- R3
 def fact_upsert(spark: SparkSession, landing: str, raw_root: str, fact_root: str, stage_root: str,
                 checkpoint: str, landing_schema: T.StructType, max_files: int | None = None,
-                available_now: bool = True):
-    """Incremental fact maintenance, one upsert per micro-batch (idempotent by batch id)."""
+                available_now: bool = True, after=None):
+    """Incremental fact maintenance, one upsert per micro-batch (idempotent by batch id).
+
+    ``after(fact, days, batch_id)`` is called with the fact rows of the dates a batch has touched.
+    """
     stream = _stream(spark, landing, landing_schema, max_files)
     checked = ingest.with_rule_check(stream)
     accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok"))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read four times (raw insert, touched journeys, rebuild, kept rows):
-        # persisted once (memory, spilling to disk) instead of re-reading and re-validating.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _upsert_batch(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        raw_schema = T.StructType(batch.schema.fields[:])
-        # K1 into the raw table (partitioned by journey date; the hash implies the date, so
-        # only the batch's dates of earlier batches are read for the anti join).
-        present = _earlier(spark, raw_root, raw_schema, batch_id)
-        new = tables.insert_only(present, batch, implied_by_key=["journey_date"])
-        tables.rebalanced(new, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
-              .parquet(f"{raw_root}/batch_id={batch_id}")
-        touched = batch.select(*JOURNEY_KEY).distinct()
-        raw_all = _earlier(spark, raw_root, raw_schema, batch_id, inclusive=True)
-        rebuilt = Models(raw_all.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
+        batch = tables.materialized(batch, "upsert-batch")
+        days = tables.dates(batch, "journey_date")
+        _store_new(spark, batch, raw_root, "journey_date", batch_id)
+        touched = tables.materialized(batch.select(*JOURNEY_KEY).distinct(), "upsert-journeys")
+        raw = _earlier(spark, raw_root, batch.schema, "journey_date", days, batch_id + 1)
+        rebuilt = Models(raw.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
         tables.upsert_partitions(spark, fact_root, f"{stage_root}/batch_id={batch_id}", rebuilt, touched,
                                  JOURNEY_KEY, "journey_date")
+        if after:
+            after(tables.read_dates(spark, fact_root, rebuilt.schema, "journey_date", days), days, batch_id)
 
     return _run(accepted.writeStream.foreachBatch(upsert_batch), checkpoint, available_now)
 
 
 # --------------------------------------------------------------------------- R4
-def daily_trend_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                       landing_schema: T.StructType, max_files: int | None = None,
+def daily_trend_stream(spark: SparkSession, landing: str, raw_root: str, fact_root: str, stage_root: str, out: str,
+                       checkpoint: str, landing_schema: T.StructType, max_files: int | None = None,
                        available_now: bool = True):
-    """A7 as a streaming aggregate over tumbling one-day windows (complete mode).
-
-    Event time is the journey date taken as a UTC day (``timestamp_seconds``), so windows line
-    up with dates whatever the session zone. Exact medians keep a bounded value map per day.
+    """A7 kept up to date from raw events: the trend of each touched date is replaced.
     """
-    stream = _stream(spark, landing, landing_schema, max_files)
-    d = F.col("arrival_delay_minutes").cast("double")
-    day = F.timestamp_seconds(F.unix_date("journey_date").cast("long") * 86400)
-    agg = stream.where(d.isNotNull()).groupBy(F.window(day, "1 day").alias("w")).agg(
-        F.count(F.lit(1)).alias("observations"),
-        E.round6(F.avg(d)).alias("average_delay_minutes"),
-        E.round6(F.median(d)).alias("median_delay_minutes"),
-    )
-    result = agg.select(
-        F.date_from_unix_date((F.unix_seconds(F.col("w.start")) / 86400).cast("int")).alias("journey_date"),
-        "observations", "average_delay_minutes", "median_delay_minutes")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    return _run(result.writeStream.outputMode("complete").foreachBatch(write_batch), checkpoint, available_now)
 
+    def replace_trend(fact: DataFrame, days: list, batch_id: int) -> None:
+        trend = kpi.daily_trend(fact)
+        trend.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("journey_date").parquet(out)
+
+    return fact_upsert(spark, landing, raw_root, fact_root, stage_root, checkpoint, landing_schema, max_files,
+                       available_now, replace_trend)

@@ -143,3 +143,69 @@ def test_live_status_flatten_null_safe(spark):
     assert len(rows) == 1 and rows[0].train_number == "12345" and rows[0].current_station_code is None
     c = payloads.live_status_counts(df).first()
     assert (c.received, c.rejected) == (1, 1)
+
+
+def test_csv_parts_with_other_column_order_quotes_and_line_ends(spark, scratch):
+    parts = ["train_number,journey_date,station_code,station_sequence,status\n1,2024-09-01,HWH,1,\"a \"\"b\"\", c\"\n",
+             "station_code,extra,train_number,station_sequence,journey_date\nNDLS,x,2,3,2024-09-02\n",
+             "train_number,journey_date,station_code,station_sequence,status\n3,2024-09-03,BCT,4,\"two\nlines\"\n"]
+    for k, text in enumerate(parts):
+        with open(os.path.join(scratch, f"p{k}.csv"), "w", encoding="utf-8-sig", newline="") as fh:
+            fh.write(text)
+    df = files.read_csv_contract(spark, scratch, files.EVENT_REQUIRED, files.EVENT_OPTIONAL, multi_line=True)
+    got = sorted((r.train_number, r.station_code, r.station_sequence, r.status) for r in df.collect())
+    assert got == [("1", "HWH", "1", 'a "b", c'), ("2", "NDLS", "3", None), ("3", "BCT", "4", "two\nlines")]
+
+
+def test_generic_csv_keeps_the_five_times_and_names_bad_ones(spark):
+    cols = [*files.EVENT_REQUIRED, *files.EVENT_OPTIONAL, "source_name"]
+    base = dict.fromkeys(cols) | {"train_number": "1", "journey_date": "2024-09-01", "station_code": "A",
+                                  "station_sequence": "1", "source_name": "src", "scheduled_arrival_at": "2024-09-01 08:00:00"}
+    rows = [base, base | {"actual_arrival_at": "soon"}]
+    df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], ",".join(f"{c} string" for c in cols))
+    accepted, rejected = ingest.validate(files.events_from_generic_csv(df), date_is_text=True)
+    assert accepted.first().scheduled_arrival_at == dt.datetime(2024, 9, 1, 8)
+    assert [r.errors for r in rejected.collect()] == [["actual_arrival_at_invalid"]]
+
+
+def test_record_hash_tells_records_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("~", "x"), (None, "x"), ("-", "x"), ("1:a", ""), ("1", ":a")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    assert df.select(E.record_hash("p", "q").alias("h")).distinct().count() == len(rows)
+
+
+def test_strip_and_numbers_as_the_contract_reads_them(spark):
+    df = spark.createDataFrame([("HWH\t", "5d"), (" hwh\n", "5f"), (" HWH", "1e2")], "k string, n string")
+    out = df.select(E.normalize_key("k").alias("k"), E.optional_number("n").alias("n"), E.not_a_number("n").alias("bad")).collect()
+    assert [tuple(r) for r in out] == [("HWH", None, True), ("HWH", None, True), ("HWH", 100.0, False)]
+
+
+def test_quarantine_keeps_the_text_of_a_bad_number(spark):
+    delays = spark.createDataFrame([("12345", "2024-09-01", "HWH", "", "", "abc", "", "", "")],
+                                   ",".join(f"{c} string" for c in files.DELAY_REQUIRED))
+    routes = spark.createDataFrame([("1", "12345", "HWH", "H")],
+                                   "stnSerialNumber string, trainNumber string, station_code string, station_name string")
+    _ok, rejected = ingest.validate(ingest.attach_stop_sequence(delays, routes), date_is_text=True)
+    row = ingest.quarantine_records(rejected).first()
+    record = json.loads(row.record)
+    assert record["source_arrival_delay_text"] == "abc" and "arrival_delay_not_a_number" not in record
+    assert row.errors == ["arrival_delay_not_a_number"]
+
+
+def test_train_numbers_are_listed_when_wrong(spark):
+    df = spark.createDataFrame([("12345 ",), ("12x",), ("99999",)], "t string")
+    valid, invalid = ingest.train_numbers(df, "t")
+    assert sorted(r[0] for r in valid.collect()) == ["12345", "99999"] and [r[0] for r in invalid.collect()] == ["12x"]
+    with pytest.raises(Exception, match="12x"):
+        ingest.train_numbers(df, "t", strict=True)
+    with pytest.raises(Exception, match="no train number"):
+        ingest.train_numbers(df.limit(0), "t", strict=True)
+
+
+def test_latest_weather_payload_holds(spark):
+    from delaylens.operators.enrich import daily_weather
+    d = dt.date(2024, 9, 1)
+    rows = spark.createDataFrame([(1, "A", d, 20.0, 5.0, 1, None), (2, "A", d, 21.0, 5.0, 2, None), (3, "A", None, None, None, None, "x")],
+                                 "request_id long, station_code string, weather_date date, temperature_2m_mean double, "
+                                 "precipitation_sum double, weather_code int, error string")
+    assert [tuple(r) for r in daily_weather(rows).collect()] == [("A", d, 21.0, 5.0, 2)]

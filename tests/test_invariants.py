@@ -40,7 +40,7 @@ def test_flagship_plan_shape(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     formatted = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "WindowGroupLimit" in plan and "Partial" in formatted
+    assert "WindowGroupLimit" in plan and plan.count("REPARTITION_BY_COL") == 1
     assert "PythonUDF" not in formatted and "BatchEvalPython" not in formatted
     read_schemas = [line for line in formatted.splitlines() if line.startswith("ReadSchema")]
     assert read_schemas and all("l_extendedprice" not in s and "l_comment" not in s for s in read_schemas)

@@ -17,7 +17,7 @@ def _paths(scratch):
 def _inputs(spark, scratch):
     d, r = os.path.join(scratch, "delays"), os.path.join(scratch, "routes")
     files.write_csv(fixtures.load(spark, SMOKE, "delay_csv"), d)
-    files.write_csv(fixtures.load(spark, SMOKE, "route_csv"), r)
+    files.write_csv(fixtures.load(spark, SMOKE, "route_gaps"), r)
     return d, r
 
 

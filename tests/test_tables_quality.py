@@ -47,11 +47,17 @@ def test_incremental_window_uses_target_max(spark):
     assert tables.incremental_window(batch, empty).count() == 2
 
 
-def test_versioned_publish(spark, scratch):
+def test_appended_batches_are_read_by_date(spark, scratch):
     root = os.path.join(scratch, "t")
-    tables.publish(spark, spark.range(3), root)
-    tables.publish(spark, tables.read_table(spark, root).where("id > 0"), root)
-    assert tables.current_version(spark, root) == 2 and tables.read_table(spark, root).count() == 2
+    schema = "k int, d date"
+    day = lambda n: dt.date(2024, 9, n)
+    tables.append_batch(spark.createDataFrame([(1, day(1)), (2, day(2))], schema), root, "d", 0)
+    for _ in range(2):  # a retry replaces its own rows only
+        tables.append_batch(spark.createDataFrame([(3, day(2)), (4, day(3))], schema), root, "d", 1)
+    rows = tables.read_dates(spark, root, spark.createDataFrame([], schema).schema, "d", [day(2), day(9)])
+    assert sorted(r.k for r in rows.collect()) == [2, 3]
+    assert all("d=2024-09-02" in f for f in rows.inputFiles())
+    assert spark.read.parquet(root).count() == 4
 
 
 def test_reconciliation_flags(spark):
@@ -75,20 +81,20 @@ def test_leakage_guard(spark):
     assert quality.leakage_violations(ok, "observed", "predicted", strict=True).count() == 0
 
 
-def test_stream_dedupe_drops_rows_later_than_watermark(spark, scratch):
-    schema = "source_record_hash string, ingested_at timestamp_ntz"
+def test_stream_dedupe_keeps_first_seen_rows_however_late(spark, scratch):
+    schema = "source_record_hash string, journey_date date"
     land = os.path.join(scratch, "land")
-    base = dt.datetime(2024, 9, 10)
-    spark.createDataFrame([("a", base), ("a", base), ("b", base)], schema).coalesce(1).write.parquet(land + "/1")
+    day = dt.date(2024, 9, 10)
+    spark.createDataFrame([("a", day), ("a", day), ("b", day)], schema).coalesce(1).write.parquet(land + "/1")
     sink, ck = os.path.join(scratch, "sink"), os.path.join(scratch, "ck")
     st = spark.createDataFrame([], schema).schema
     jobs.late_correction_dedupe(spark, land + "/*", sink, ck, st)
-    # Second arrival: a repeat inside the window, a new row inside it, a row 3 days late.
-    spark.createDataFrame([("a", base + dt.timedelta(hours=1)), ("c", base + dt.timedelta(hours=2)),
-                           ("d", base - dt.timedelta(days=3))], schema).coalesce(1).write.parquet(land + "/2")
+    # Second arrival: a repeat, a new row, a new row of a day long past.
+    spark.createDataFrame([("a", day), ("c", day), ("d", day - dt.timedelta(days=30))], schema) \
+        .coalesce(1).write.parquet(land + "/2")
     jobs.late_correction_dedupe(spark, land + "/*", sink, ck, st)
     got = sorted(r.source_record_hash for r in spark.read.parquet(sink).collect())
-    assert got == ["a", "b", "c"]
+    assert got == ["a", "b", "c", "d"]
 
 
 def test_fixture_running_raw_has_duplicates_and_rejects(spark):
@@ -109,15 +115,15 @@ def test_incremental_runs_equal_full_rebuild(spark, refresh):
     """SURVEY 7.4: loads applied in ingestion order, each an incremental run + upsert, end
     equal to a full rebuild; the default may differ only in the previous-stop delay."""
     from delaylens.plans.model_build import Models, incremental_fact_batch, raw_running_from_fixture
-    raw = raw_running_from_fixture(spark, SMOKE).checkpoint()
+    raw = tables.materialized(raw_running_from_fixture(spark, SMOKE), "t")
     cuts = ["1995-06-01", "1997-01-01", "1998-06-01", "2100-01-01"]
     loaded = raw.where(F.col("ingested_at") < F.lit(cuts[0]).cast("timestamp_ntz"))
-    target = Models(loaded).fact_station_arrival.checkpoint()
+    target = tables.materialized(Models(loaded).fact_station_arrival, "t")
     for cut in cuts[1:]:
         loaded = raw.where(F.col("ingested_at") < F.lit(cut).cast("timestamp_ntz"))
         batch = incremental_fact_batch(loaded, target, refresh_journeys=refresh)
         keys = ["train_number", "journey_date", "station_code", "station_sequence"]
-        target = tables.upsert(target, batch, keys).checkpoint()
+        target = tables.materialized(tables.upsert(target, batch, keys), "t")
     full = Models(raw).fact_station_arrival
     drop = () if refresh else ("previous_station_arrival_delay_minutes",)
     assert _fact_rows(target, drop) == _fact_rows(full, drop)
@@ -131,3 +137,27 @@ def test_watchlist_range_check_and_scale_conf(spark):
         kpi.watchlist_top_k(fact, "2024-10-01", "2024-09-01")
     conf = scale_conf(100 * 1024 ** 4, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_checks_find_violations(spark):
+    t = dt.datetime(2024, 9, 1)
+    rows = spark.createDataFrame([("1", 1, t, t), (None, 0, t, None), ("2", -1, None, None)],
+                                 "k string, station_sequence int, actual_arrival_at timestamp, scheduled_arrival_at timestamp")
+    assert quality.not_null_failures(rows, "m", ["k"]).first().failed_count == 1
+    assert quality.actual_without_schedule(rows).count() == 1 and quality.nonpositive_sequence(rows).count() == 2
+
+
+def test_fact_has_one_exchange_and_medians_no_percentile(spark):
+    from delaylens.plans.model_build import from_fixtures
+    m = from_fixtures(spark, SMOKE)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(m.fact_station_arrival).count("Exchange hashpartitioning") == 1
+    for df in (m.mart_station_delay, m.mart_train_punctuality):
+        assert "percentile(" not in plan(df) and " median(" not in plan(df)
+
+
+def test_previous_stop_median_of_even_and_odd_counts(spark):
+    from delaylens.operators.marts import delay_summary
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 9.0), ("b", 5.0), ("b", 7.0), ("b", 8.0), ("c", 3.0), ("c", 6.0)],
+                                 "k string, arrival_delay_minutes double")
+    assert {r.k: r.median for r in delay_summary(rows, "k").collect()} == {"a": 2.0, "b": 7.0, "c": 4.5}
