@@ -32,10 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from delaylens.llm.common import arrow_map, splitmix, strings
-
-#: A block of texts that is looked up together holds about so many characters.
-BLOCK_CHARS = 2_000_000
+from delaylens.llm.common import BLOCK_CHARS, arrow_map, blocks_of, splitmix, strings
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -236,7 +233,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
         for part in parts:
-            for some in _blocks(part, 1):
+            for some in blocks_of(part, 1):
                 lists = encoder.encode(strings(some.column(1)))
                 ids = pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0, *map(len, lists)]), type=pa.int32()),
@@ -246,18 +243,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return slim.transform(arrow_map, encoded, f"id {id_type}, ids array<int>").toDF(id_col, out)
 
 
-def _blocks(part: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``BLOCK_CHARS`` bytes of text each, one row at least."""
-    import pyarrow.compute as pc
-
-    sizes = pc.fill_null(pc.binary_length(part.column(text_at)), 0).to_numpy()
-    block = np.cumsum(sizes) // BLOCK_CHARS
-    edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), part.num_rows]
-    for a, b in zip(edges[:-1], edges[1:]):
-        if b > a:
-            yield part.slice(a, b - a)
-
-
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its ids in one more column."""
     shared = encoded.sparkSession.sparkContext.broadcast(tuple(read_ranks(ranks_path)))

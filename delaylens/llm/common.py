@@ -106,6 +106,22 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str | None]:
     return column.to_pylist()
 
 
+#: A block of texts that is looked up together holds about so many characters.
+BLOCK_CHARS = 2_000_000
+
+
+def blocks_of(part: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``BLOCK_CHARS`` bytes of text each, one row at least."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(part.column(text_at)), 0).to_numpy()
+    block = np.cumsum(sizes) // BLOCK_CHARS
+    edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), part.num_rows]
+    for a, b in zip(edges[:-1], edges[1:]):
+        if b > a:
+            yield part.slice(a, b - a)
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Tuples to record batches of bounded length."""
     block: list[tuple] = []

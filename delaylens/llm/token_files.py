@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import arrow_map, batches, written
+from delaylens.llm.common import arrow_map, batches, blocks_of, written
 from delaylens.session import scratch_path
 
 MAGIC = b"TOKENEF1"
@@ -159,35 +159,74 @@ def _tokenizer(raw: str, memo_size: int) -> "WordIds":
 
 
 class WordIds:
-    """Ids of a text by the tokenizers library, with a memo of what lies between white space.
+    """Ids of texts by the tokenizers library, with memos of what lies between white space.
 
     The tokenizer replaces white space by one space, drops it when it cuts a text, and its
-    normalization and cuts don't reach across it; so a text's ids are those of its parts.
+    normalization and cuts don't reach across it; so a text's ids are those of its parts. It also
+    lower-cases and cuts between letters and other signs; so a part that is a word of Latin letters,
+    perhaps with one stop or comma, has the ids that its model gives the lower-case word, then those of
+    the sign. Such words go straight to the model, all other parts through the whole tokenizer.
     """
 
     def __init__(self, raw: str, memo_size: int):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.memo_size = memo_size
+        self.memo: dict[str, bytes] = {}      # part -> ids
+        self.plain: dict[str, bytes] = {}     # lower-case word -> ids
+        self.memo_size, self.plain_size = memo_size, 3 * memo_size
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-
-    def encode(self, text: str) -> bytes:
-        """The ids as bytes of the file's id width."""
-        parts = text.replace("\n", " ").replace("\t", " ").split(" ")
-        memo = self.memo
-        if new := set(parts).difference(memo):
-            if len(memo) > self.memo_size:
-                memo.clear()
-                new = set(parts)
-            new = list(new)
-            for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                memo[word] = np.array(e.ids, dtype=self.kind).tobytes()
-        return b"".join(map(memo.__getitem__, parts))
+        # What the shortcut relies on; another kind of tokenizer takes every part as a whole.
+        probe = ["été", "Straße", "the", "NIÑO"]
+        self.direct = [[t.id for t in self.model.tokenize(w.lower().encode().decode("latin-1").translate(self.letters))] for w in probe] == [
+            e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+        self.signs = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,"}
+        self.signs = {x: np.array(ids, dtype=self.kind).tobytes() for x, ids in self.signs.items()}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of the file's id width."""
+        parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.memo) > self.memo_size:
+            self.memo.clear()
+        self._resolve(set().union(*parts).difference(self.memo))
+        look = self.memo.__getitem__
+        return [b"".join(map(look, p)) for p in parts]
+
+    def _resolve(self, new: set[str]) -> None:
+        """Put the ids of new parts into the memo."""
+        if len(self.plain) > self.plain_size:
+            self.plain.clear()
+        plain, rest = self.plain, []
+        for part in new:
+            word, end = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
+            if self.direct and word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+                word = word.lower()
+                ids = plain.get(word)
+                if ids is None:
+                    raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                    ids = plain[word] = np.array([t.id for t in self.model.tokenize(raw)], dtype=self.kind).tobytes()
+                self.memo[part] = ids + self.signs[end] if end else ids
+            else:
+                rest.append(part)
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
+            for part, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+                self.memo[part] = np.array(e.ids, dtype=self.kind).tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers write bytes as letters: printable ones stand for themselves, the
+    others follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 _MANIFEST = pa.schema([("path", pa.string()), ("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()),
@@ -233,13 +272,15 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
         def rows() -> Iterator[tuple]:
             nonlocal held, names, size, seq
             for part in parts:
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    held.append(tokenizer.encode(text or "") + end)
-                    names.append(NULL_ID if doc is None else doc)
-                    size += len(held[-1]) // width
-                    if size >= p.file_ids:
-                        yield close()
-                        held, names, size, seq = [], [], 0, seq + 1
+                for some in blocks_of(part, 1):
+                    coded = tokenizer.encode([t or "" for t in some.column(1).to_pylist()])
+                    for doc, ids in zip(some.column(0).to_pylist(), coded):
+                        held.append(ids + end)
+                        names.append(NULL_ID if doc is None else doc)
+                        size += len(held[-1]) // width
+                        if size >= p.file_ids:
+                            yield close()
+                            held, names, size, seq = [], [], 0, seq + 1
             if held:
                 yield close()
 

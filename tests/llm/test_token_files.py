@@ -21,9 +21,9 @@ def library(text):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.text() | st.text(alphabet=" \t\n\x1c\x85  '’stmreld0½Ⅷéßñ中😀ΣσİÅ̈́.,!-<|>endoftx"))
+@given(st.text() | st.lists(st.sampled_from(["The", "the.", "THE,", "a..", ".", ",", "it's.", "A1.", "É.", "x.,", "ÇAàß,", "ǅŉİ.", "ĲŒſ", "ªº."])).map(" ".join) | st.text(alphabet=" \t\n\x1c\x85  '’stmreld0½Ⅷéßñ中😀ΣσİÅ̈́.,!-<|>endoftx"))
 def test_ids_of_the_library(text):
-    assert np.frombuffer(WORDS.encode(text), dtype=WORDS.kind).tolist() == library(text)
+    assert [np.frombuffer(x, dtype=WORDS.kind).tolist() for x in WORDS.encode([text, "", text])] == [library(text), [], library(text)]
 
 
 @settings(max_examples=200, deadline=None)
