@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import NEAR, with_native_shingles
+from delaylens.llm.common import NEAR, with_native_shingles, written
 
 #: Names and public notices of licenses.
 TEMPLATES = (
@@ -108,6 +108,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, p: ScanParams = ScanParams(), id_
     count = F.greatest(F.ceil(F.size("runs") / p.segment), F.lit(1)).cast("int")
     segments = (runs.withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * p.segment)))
                 .select("id", "at", F.slice("runs", F.col("at") + 1, p.segment + window).alias("runs")))
+    # The documents are read and cut once for all classes; only those with an anchor are kept.
+    segments = written(segments, "license-segments")
     per_class = []
     for size in classes:
         here = [(i, name, sh, least) for i, (c, name, sh, least) in enumerate(known) if c == size]
