@@ -66,7 +66,10 @@ def _size_class(n: int) -> int:
 
 def _templates(spark: SparkSession, templates, p: ScanParams) -> list[tuple[int, str, list[int], list[int]]]:
     """(size class, name, distinct shingles, smallest shingle per band) of each template."""
-    raw = spark.createDataFrame(list(templates), "name string, text string")
+    if not templates:
+        return []
+    raw = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(text).alias("text"))
+                                                    for name, text in templates))).alias("t")).select("t.*")
     sets = with_native_shingles(raw, "text", "runs").select("name", F.array_sort(F.array_distinct("runs")).alias("sh"))
     out = []
     for name, sh in sorted(set((r.name, tuple(r.sh)) for r in sets.collect() if r.sh)):
