@@ -122,7 +122,7 @@ def watchlist_top_k(fact: DataFrame, start_date: str, end_date: str, k: int = WA
                     strict: bool = False) -> DataFrame:
     """A14 + P17: top ``k`` trains by observations in [start, end), ties by train number."""
     if start_date >= end_date:
-        raise ValueError("start date must be before end date")
+        raise ValueError("the range ends before it starts")
     rows = fact.where((F.col("journey_date") >= F.lit(start_date).cast("date")) &
                       (F.col("journey_date") < F.lit(end_date).cast("date")))
     top = rows.groupBy("train_number").agg(F.count(F.lit(1)).cast("long").alias("observations")) \

@@ -118,7 +118,7 @@ def reconcile_counts(counts: DataFrame) -> DataFrame:
     cols = ["source_count", "raw_count", "staging_count", "mart_count", "rejected_count", "duplicate_count"]
     nonneg = reduce(lambda a, b: a & b, [F.col(c) >= 0 for c in cols])
     return counts.select(
-        F.coalesce(F.assert_true(nonneg, F.lit("reconciliation counts cannot be negative")),
+        F.coalesce(F.assert_true(nonneg, F.lit("a layer has a count below zero")),
                    F.col("source_count")).alias("source_count"),
         *cols[1:],
         (F.col("source_count") == F.col("raw_count") + F.col("rejected_count") + F.col("duplicate_count"))
@@ -137,5 +137,5 @@ def leakage_violations(df: DataFrame, observed_at: str | Column, prediction_at:
     if strict:
         n = bad.agg(F.count(F.lit(1))).scalar()
         bad = bad.withColumn(obs_name, F.coalesce(F.assert_true(n == 0, F.lit(
-            "feature observation occurs after prediction time (target leakage risk)")), obs))
+            "leakage: a feature was seen later than its prediction")), obs))
     return bad

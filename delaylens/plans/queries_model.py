@@ -61,17 +61,17 @@ def q_holdout_by_row(spark, sf_dir):
 
 
 HOLDOUT_DATE_SQL = """
-, dates AS (SELECT journey_date, row_number() OVER (ORDER BY journey_date) - 1 AS i, count(*) OVER () AS n
-            FROM (SELECT DISTINCT journey_date FROM observed) d),
-start AS (SELECT journey_date AS test_start FROM dates WHERE i = greatest(1, floor(n * CAST(0.8 AS DOUBLE)))),
-training AS (SELECT * FROM observed WHERE journey_date < (SELECT test_start FROM start)),
+, start AS (SELECT d[greatest(1, CAST(floor(len(d) * CAST(0.8 AS DOUBLE)) AS INT)) + 1] AS test_start
+           FROM (SELECT list_sort(list_distinct(list(journey_date))) AS d FROM observed)),
+labelled AS (SELECT o.*, o.journey_date < start.test_start AS seen FROM observed o, start),
+training AS (SELECT * EXCLUDE (seen) FROM labelled WHERE seen),
+holdout AS (SELECT * EXCLUDE (seen) FROM labelled WHERE NOT seen),
 means AS (SELECT train_number, station_code, avg(arrival_delay_minutes) AS prediction, count(*) AS observations
-          FROM training GROUP BY 1, 2),
-gm AS (SELECT avg(arrival_delay_minutes) AS global_mean FROM training),
-holdout AS (SELECT * FROM observed WHERE journey_date >= (SELECT test_start FROM start)),
-scored AS (SELECT h.*, coalesce(m.prediction, g.global_mean) AS prediction, g.global_mean
-           FROM holdout h CROSS JOIN gm g
-           LEFT JOIN means m ON h.train_number = m.train_number AND h.station_code = m.station_code)
+          FROM training GROUP BY ALL),
+gm AS (SELECT avg(arrival_delay_minutes) FILTER (seen) AS global_mean FROM labelled),
+scored AS (SELECT h.*, coalesce((SELECT avg(t.arrival_delay_minutes) FROM training t WHERE t.train_number = h.train_number
+                                 AND t.station_code = h.station_code), (SELECT global_mean FROM gm)) AS prediction,
+                  (SELECT global_mean FROM gm) AS global_mean FROM holdout h)
 """
 
 

@@ -51,12 +51,12 @@ def gate_sources(events: DataFrame, manifests: DataFrame, strict: bool = False)
 
     A ``left_semi`` join on source name: the manifest side is a handful of rows, so the
     planner broadcasts it and the event side is never shuffled. ``strict`` fails the job when
-    any event row's source is not ingestible (the reference raises before reading).
+    any event row's source is not ingestible (a job that reads such rows stops).
     """
     allowed = check_manifests(manifests).where("ingestible").select("source_name").distinct()
     gated = events.join(allowed, "source_name", "left_semi")
     if strict:
         blocked = events.join(allowed, "source_name", "left_anti").agg(F.count(F.lit(1))).scalar()
         gated = gated.withColumn("source_name", F.coalesce(
-            F.assert_true(blocked == 0, F.lit("source is not approved for local processing")), F.col("source_name")))
+            F.assert_true(blocked == 0, F.lit("not approved: the events hold a source without a manifest that permits processing")), F.col("source_name")))
     return gated
