@@ -178,3 +178,27 @@ def prediction_summary(evaluation_audit: DataFrame) -> DataFrame:
         *[F.col(f"r.{c}").alias(c) for c in cols],
         F.col("evaluated_at").alias("last_successful_pipeline_at"),
     )
+
+
+# --------------------------------------------------------------------------- P21
+STATE_MESSAGES = {
+    STATE_READY: "the figures cover all loaded events",
+    STATE_AWAITING: "no approved source has been loaded for this yet",
+    STATE_NOT_FOUND: "no observed stop of this train",
+    STATE_NOT_EVALUATED: "no chronological evaluation has been run yet",
+}
+
+
+def envelope(name: str, rows: DataFrame, audit: DataFrame, source_name: str) -> DataFrame:
+    """One row about a KPI: its state, what that means, and the last successful run.
+
+    KPIs with a state of their own (one row, or one per asked-for train) pass it on; a KPI that is a
+    set of rows is ready as soon as it has one.
+    """
+    if "state" in rows.columns:
+        state = rows.agg(F.coalesce(F.max("state"), F.lit(STATE_AWAITING)).alias("state"))
+    else:
+        state = rows.limit(1).agg(F.when(F.count(F.lit(1)) > 0, F.lit(STATE_READY)).otherwise(F.lit(STATE_AWAITING)).alias("state"))
+    message = F.create_map(*[F.lit(x) for pair in STATE_MESSAGES.items() for x in pair])[F.col("state")]
+    return state.select(F.lit(name).alias("kpi"), "state", message.alias("message"),
+                        last_successful_run(audit, source_name).scalar().alias("last_successful_pipeline_at"))

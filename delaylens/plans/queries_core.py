@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.operators import kpi, marts
@@ -201,6 +204,50 @@ def q_train_profile(spark, sf_dir):
     return kpi.train_profile(fact, requests)
 
 
+ENVELOPE_SQL = f"""
+, last AS (SELECT max(completed_at) AS finished FROM ingestion_audit WHERE status = 'succeeded' AND source_name = '{AUDIT_SOURCE}'),
+k(kpi, state) AS (
+  SELECT 'network_overview', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END FROM observed
+  UNION ALL SELECT 'delay_distribution', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END FROM observed
+  UNION ALL SELECT 'station_hotspots', CASE WHEN max(n) >= 30 THEN 'ready' ELSE 'awaiting_approved_source' END
+            FROM (SELECT count(*) AS n FROM observed GROUP BY station_code)
+  UNION ALL SELECT 'daily_trend', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END FROM observed
+  UNION ALL SELECT 'train_profile', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'not_found' END
+            FROM observed WHERE train_number = '{UNKNOWN_TRAIN}'
+  UNION ALL SELECT 'watchlist', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END
+            FROM fact WHERE journey_date >= DATE '2030-01-01' AND journey_date < DATE '2030-02-01'
+  UNION ALL SELECT 'pipeline_health', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'awaiting_approved_source' END
+            FROM ingestion_audit WHERE dataset = '{RUNNING_DATASET}' AND source_name = '{AUDIT_SOURCE}'
+  UNION ALL SELECT 'prediction_summary', 'not_evaluated')
+SELECT kpi, state, CASE state WHEN 'ready' THEN 'the figures cover all loaded events'
+         WHEN 'awaiting_approved_source' THEN 'no approved source has been loaded for this yet'
+         WHEN 'not_found' THEN 'no observed stop of this train'
+         ELSE 'no chronological evaluation has been run yet' END AS message, finished AS last_successful_pipeline_at
+FROM k, last"""
+
+
+@register("kpi_envelopes", oracle(ENVELOPE_SQL, "fact", "observed", "ingestion_audit"), "P21 A16")
+def q_kpi_envelopes(spark, sf_dir):
+    """The envelope of all eight KPIs; an unknown train, a month without events and an evaluation
+    that has not been run show the states other than ready."""
+    m = from_fixtures(spark, sf_dir).materialized("fact_station_arrival")
+    fact, audit = m.fact_station_arrival, fixtures.load(spark, sf_dir, "ingestion_audit")
+    unknown = spark.range(1).select(F.lit(UNKNOWN_TRAIN).alias("train_number"))
+    never = spark.createDataFrame([], "model_name string, evaluation_rows long, mae double, rmse double, baseline_mae double, "
+                                      "accepted_for_prediction boolean, evaluated_at timestamp_ntz, model_version string")
+    rows = {
+        "network_overview": kpi.network_overview(fact, m.dim_station, audit, AUDIT_SOURCE),
+        "delay_distribution": kpi.delay_distribution(fact),
+        "station_hotspots": kpi.station_hotspots(fact),
+        "daily_trend": kpi.daily_trend(fact),
+        "train_profile": kpi.train_profile(fact, unknown),
+        "watchlist": kpi.watchlist_top_k(fact, "2030-01-01", "2030-02-01"),
+        "pipeline_health": kpi.pipeline_health(audit, RUNNING_DATASET, AUDIT_SOURCE),
+        "prediction_summary": kpi.prediction_summary(never),
+    }
+    return reduce(DataFrame.unionByName, [kpi.envelope(n, df, audit, AUDIT_SOURCE) for n, df in rows.items()])
+
+
 @register("pipeline_health", oracle(f"""
 SELECT 'ready' AS state, status AS last_run_status, CAST(records_received AS BIGINT) AS records_received,
        CAST(records_rejected AS BIGINT) AS records_rejected, completed_at
