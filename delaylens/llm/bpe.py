@@ -151,7 +151,7 @@ def pieces(text: str, size: int) -> Iterator[str]:
 class Encoder:
     """The two-tier lookup of one vocabulary."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 200_000):
+    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 100_000):
         import xxhash
 
         self.split = Splitter(pattern)
@@ -239,6 +239,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     pa.array(np.cumsum([0, *map(len, lists)]), type=pa.int32()),
                     pa.array(np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=sum(map(len, lists)))))
                 yield pa.RecordBatch.from_arrays([some.column(0), ids], names=["id", "ids"])
+        encoder.memo.clear()  # the worker process lives on, perhaps idle
 
     return slim.transform(arrow_map, encoded, f"id {id_type}, ids array<int>").toDF(id_col, out)
 

@@ -107,7 +107,7 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str | None]:
 
 
 #: A block of texts that is looked up together holds about so many characters.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 
 
 def blocks_of(part: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
