@@ -50,7 +50,8 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 LIST_SCOPE = frozenset("ul ol dl table menu dir".split())
 
 _MARK = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*'|["'])*)>""")
-_ATTR = re.compile(r"""([a-zA-Z][\w-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Names and values together, as browsers read them; a name may stand without a value.
+_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -84,8 +85,8 @@ def _element(tag: str, attributes: str, above: Element | None, number: int) -> E
                 seen = False
             elif name == "aria-hidden" and value == "true":
                 own.append("hidden")
-        if re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes):
-            seen = False
+            elif name == "hidden":
+                seen = False
     up = above.all if above else frozenset()
     if tag in ("header", "footer", "ul", "h1", "h2") and up & {"article", "main"}:
         own.append(f"{tag} in article")

@@ -56,6 +56,15 @@ def test_pages(page, want):
     assert say(page) == want
 
 
+@pytest.mark.parametrize("attributes, seen", [
+    ('title="The hidden life of trees"', True), ("aria-label='A hidden gem'", True), ('class="md hidden lg:block"', True),
+    ('data-x="a hidden"', True), ("alt=hidden", True), ('title="a" data-hidden', True), ("hidden", False), ("id=x HIDDEN", False),
+    ('class="a"hidden', False), ('hidden="until-found" class=b', False), ("hidden = ''", False),
+])
+def test_only_an_attribute_named_hidden_hides(attributes, seen):
+    assert say(f"<article {attributes}><p>All of the text is here.</p></article>") == ("All of the text is here." if seen else "")
+
+
 def test_long_page_and_edge_rows(workers):
     long = "<article>" + "<p>some words here.</p>" * 20_000 + "</article>"
     rows = [(None, None, None), (1, "u", ""), (2, None, long), (2, None, long), (3, "u", "<" * 3000 + "'\"" * 3000)]
