@@ -15,7 +15,7 @@ space, blocks joined by one space in page order.
 Defined results: null or empty html, and pages without an article, give an empty text; rows are
 extracted one by one, so repeated rows and null ids or urls come back as they are; unclosed and stray
 tags are read as browsers do for blocks (a paragraph ends where the next block starts, an end tag
-closes what is open inside). Only id, url and html are read.
+closes what is open inside, a head ends at the first tag or text that it can't hold). Only id, url and html are read.
 """
 
 from __future__ import annotations
@@ -48,10 +48,15 @@ TELLING = frozenset(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
 LIST_SCOPE = frozenset("ul ol dl table menu dir".split())
-
-_MARK = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*'|["'])*)>""")
-# Names and values together, as browsers read them; a name may stand without a value.
-_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
+
+# Names and values together, as browsers read them; a name may stand without a value. A quote opens a
+# value only after an equals sign, and only if the page closes it; any other is a character like others.
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))"""
+_ATTR = re.compile(rf"([^\s/>][^\s/>=]*)(?:{_VALUE})?")
+_MARK = re.compile(
+    r"<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"
+    rf"((?>[\s/]+|[^\s/>][^\s/>=]*(?:{_VALUE.replace('([', '(?:[')})?)*)>")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -113,6 +118,8 @@ def blocks(html: str) -> list[Block]:
 
     def say(piece: str) -> None:
         nonlocal linked
+        if stack and stack[-1].tag == "head" and piece.strip():
+            close(len(stack) - 1)
         if piece and (not stack or stack[-1].seen):
             piece = html_lib.unescape(piece)
             text.append(piece)
@@ -141,6 +148,8 @@ def blocks(html: str) -> list[Block]:
             elif tag == "p":
                 flush()
             continue
+        if stack and stack[-1].tag == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag in _RAW_END:
             end = _RAW_END[tag].search(html, at)
             at = end.end() if end else len(html)
@@ -158,8 +167,6 @@ def blocks(html: str) -> list[Block]:
                     break
                 if stack[k].tag in LIST_SCOPE:
                     break
-            if tag == "body":
-                close(next((k for k, e in enumerate(stack) if e.tag == "head"), len(stack)))
         if tag not in VOID and not m[3].endswith("/"):
             number += 1
             stack.append(_element(tag, m[3], stack[-1] if stack else None, number))

@@ -65,6 +65,35 @@ def test_only_an_attribute_named_hidden_hides(attributes, seen):
     assert say(f"<article {attributes}><p>All of the text is here.</p></article>") == ("All of the text is here." if seen else "")
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><p title="a"">Lost text here.</p><p class="b">kept</p></article>', "Lost text here. kept"),
+    ("<article><p title=don't>Lost one.</p><p>It's kept</p></article>", "Lost one. It's kept"),
+    ("<article><p a'b>One.</p><p c\"d>It's \"two\".</p></article>", "One. It's \"two\"."),
+    ('<article><p title=a="b>One.</p><p title="c">Two.</p></article>', "One. Two."),
+    ("<article><p title = 'a > b' id=\"c > 'd\">kept</p></article>", "kept"),
+    ('<article><p title="a>One.</p><p>Two.</p></article>', "One. Two."),
+    ("<article><p title=>One.</p><p =\"x>Two.</p></article>", "One. Two."),
+    ("<article><p>One.</p title='x>'><p>Two.</article>", "One. Two."),
+])
+def test_quotes_in_tags(page, want):
+    assert say(page) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><meta charset=utf-8><title>T</title><article><p>The text.</p></article>", "The text."),
+    ("<head><link rel=x><script>var a='<p>';</script>\n<style>p{}</style><article><p>The text.</article>", "The text."),
+    ("<head><title>T</title><body><article><p>The text.</p></article></body>", "The text."),
+    ("<head><title>T</title></head><body><article><p>The text.</p></article></body>", "The text."),
+    ("<head><title>T</title><noscript><p>no</p></noscript><meta name=x content=y></head><article><p>The text.", "The text."),
+])
+def test_head_ends_where_content_starts(page, want):
+    assert say(page) == want
+
+
+def test_text_in_an_open_head_is_read():
+    assert [b.text for b in H.blocks("<head><title>T</title> Bare text<p>and more")] == ["Bare text", "and more"]
+
+
 def test_long_page_and_edge_rows(workers):
     long = "<article>" + "<p>some words here.</p>" * 20_000 + "</article>"
     rows = [(None, None, None), (1, "u", ""), (2, None, long), (2, None, long), (3, "u", "<" * 3000 + "'\"" * 3000)]
