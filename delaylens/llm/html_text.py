@@ -85,7 +85,8 @@ def _element(tag: str, attributes: str, above: Element | None, number: int) -> E
         for name, a, b, c in _ATTR.findall(attributes):
             name, value = name.lower(), a or b or c
             if name in ("class", "id", "role", "aria-label"):
-                own += [f"{'role' if name == 'role' else 'is'}:{w.lower()}" for w in _PARTS.findall(value)[:12]]
+                words = dict.fromkeys(w.lower() for w in _PARTS.findall(value))
+                own += [f"{'role' if name == 'role' else 'is'}:{w}" for w in words]
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 seen = False
             elif name == "aria-hidden" and value == "true":

@@ -94,6 +94,14 @@ def test_text_in_an_open_head_is_read():
     assert [b.text for b in H.blocks("<head><title>T</title> Bare text<p>and more")] == ["Bare text", "and more"]
 
 
+def test_every_word_of_a_class_counts():
+    utility = "flex flex-col items-center justify-between px-4 py-2 mt-6 rounded-lg cookie-notice"
+    found = H.blocks(f'<div class="{utility}">We use cookies.</div>')
+    assert {"is:cookie", "is:notice", "is:flex", "is:lg"} <= found[0].features
+    found = H.blocks(f'<p class="{" ".join("x" * k + "-y" for k in range(1, 300))} telling">Text.</p>')
+    assert {"is:telling", "is:y", "is:" + "x" * 299} <= found[0].features
+
+
 def test_long_page_and_edge_rows(workers):
     long = "<article>" + "<p>some words here.</p>" * 20_000 + "</article>"
     rows = [(None, None, None), (1, "u", ""), (2, None, long), (2, None, long), (3, "u", "<" * 3000 + "'\"" * 3000)]
