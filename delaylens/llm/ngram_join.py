@@ -13,7 +13,8 @@ exact copies cost one row however many there are. Between classes, in ``runs`` i
   shingle sets of the whole texts.
 
 A pair of similarity s shares a leaf of one run with probability at least s**depth, more with the
-second places, so ``runs`` follows from the target recall (see ``runs_for``). A pair that shares
+second places; how many places of the signatures agree is the same in all runs. ``runs`` follows from
+the target recall and both (see ``runs_for``). A pair that shares
 several leaves is counted in the smallest one alone, so that numbers of links need no list of pairs.
 
 Defined results: null text is an empty text; texts without words have no shingles and link with
@@ -40,21 +41,29 @@ from delaylens.llm.components import components
 @dataclass(frozen=True)
 class JoinParams:
     similarity: float = NEAR
-    recall: float = 0.999      # target for a pair at the threshold
+    recall: float = 1 - 1e-6   # target for a pair at the threshold
     width: int = 64            # signature places
     leaf: int = 64             # brute force up to so many sets
     depth: int = 3             # splits before large nodes are cut in blocks
     block: int = 512           # sets of a block
-    slack: float = 0.25        # signature agreement may fall short of the similarity by this
+    slack: float = 0.3         # signature agreement may fall short of the similarity by this
 
     def runs_for(self) -> int:
-        """Runs until the target recall: a pair at the threshold survives a split with probability
-        1 - (3/4 (1-s) + 1/4 (1-s)^2 ...), carried through ``depth`` splits."""
-        s, live = self.similarity, 1.0
-        for _ in range(self.depth):
-            one = s * live
-            live = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - live))
+        """Runs until the target recall. A pair at the threshold agrees in a binomial number of
+        signature places, the same in all runs; with that share of places it survives a split with
+        probability 1 - (3/4 (1-s) + 1/4 (1-s)^2 ...), carried through ``depth`` splits."""
+        chances, lost = [], []
+        for k in range(self.width + 1):
+            s, live = k / self.width, 1.0
+            for _ in range(self.depth):
+                one = s * live
+                live = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)
+            chances.append(math.comb(self.width, k) * self.similarity**k * (1 - self.similarity) ** (self.width - k))
+            lost.append(1 - live)
+        runs = 1
+        while sum(c * x**runs for c, x in zip(chances, lost)) > 1 - self.recall:
+            runs += 1
+        return runs
 
 
 def _signatures(sets: list[np.ndarray], width: int) -> np.ndarray:

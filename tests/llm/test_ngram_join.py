@@ -56,6 +56,26 @@ def test_dense_group_is_cut_in_blocks_and_loses_no_link(workers):
     assert got == brute(rows)
 
 
+def crowded(n, seed):
+    """Copies of one text with four words replaced: nearly all pairs have similarities of 0.80 to 0.85."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(370)]
+    rows = []
+    for k in range(n):
+        copy = list(base)
+        for at in rng.sample(range(5, 365, 5), 4):
+            copy[at] = f"new{rng.randrange(10**9)}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+def test_crowded_group_at_the_threshold_loses_no_link(workers):
+    rows = crowded(400, seed=3)
+    df = workers.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in N.join(df).collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_edge_rows(workers):
     long = " ".join(f"t{k}" for k in range(30_000))
     rows = [(None, "a b c d e f g h"), (1, None), (2, ""), (3, "?!"), (4, "a b c d e f g h"), (4, "a b c d e f g h"),
@@ -70,3 +90,8 @@ def test_edge_rows(workers):
 
 def test_runs_follow_the_target():
     assert N.JoinParams(recall=0.9).runs_for() < N.JoinParams(recall=0.999).runs_for() <= 40
+
+
+def test_default_runs_count_the_spread_of_signatures():
+    p = N.JoinParams()
+    assert p.recall >= 1 - 1e-6 and p.runs_for() == 20
