@@ -1,13 +1,12 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
+"""Benchmark decontamination: MinHash containment search, verified exactly.
 
 An item (short) is contained in a document (long) if at least ``similarity`` of the item's distinct
 five-word shingles occur anywhere in the document. Jaccard MinHash is blind to that when sizes
 differ much, so the containment form is used:
 
-1. Items are partitioned by the number of their shingles, in powers of two. An item's sketch is its
-   ``sketch`` shingles of smallest hash. A partition asks for as many hits as a contained item
-   reaches but for a chance of ``miss``; items with no more shingles than the sketch are sketched
-   whole and lose nothing.
+1. An item's sketch is its ``sketch`` shingles of smallest hash. Items with no more shingles than the
+   sketch are sketched whole and lose nothing. All longer items, whatever their size class, need the
+   same number of hits: as many as a contained item reaches but for a chance of ``miss``.
 2. A document's shingles are looked up among the sketches; documents with enough hits of an item
    are its candidates.
 3. The candidates' shingle sets are intersected with the items' whole sets.
@@ -40,7 +39,7 @@ class ContainmentParams:
     broadcast_rows: int = 200_000  # sketches up to so many rows are broadcast (16 bytes each)
 
     def hits(self, size_class: int) -> int:
-        """Hits that an item of 2**size_class shingles or more needs, if sketched by a sample."""
+        """Hits that an item needs, if sketched by a sample: the same for every size class."""
         s, k = self.similarity, self.sketch
         below, m = 0.0, 0
         while m < k:
