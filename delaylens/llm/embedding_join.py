@@ -11,8 +11,8 @@ tasks. Tiles compare in single precision with a margin and decide in double prec
 Within a tile numbers of links are summed per vector and links are reduced to a star per component,
 so dense groups give no lists of pairs.
 
-Defined results: vectors that are null, empty, zero, of another length than the most common one, or
-hold null or non-finite components link with nothing and are components of their own; repeated ids
+Defined results: vectors that are null, empty, zero or hold null or non-finite components link with
+nothing and are components of their own; vectors link only with others of their length; repeated ids
 are joined as vectors of their own and then reported as rows of their own; null ids come back with a
 null component unless they link to a known id; an empty table gives no rows. Other columns are not
 read. In high dimensions without clusters no pivot can part anything: cells then see all vectors once
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -191,11 +192,10 @@ def near_duplicates(vectors: DataFrame, p: RangeParams = RangeParams(), id_col:
                     vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept): direct links, smallest id reachable, id = component_id."""
     clean = _clean(vectors, id_col, vec_col)
-    lengths = clean.where("v is not null").groupBy(F.length("v").alias("n")).count()
-    usual = lengths.orderBy(F.desc("count"), "n").first()
-    # Vectors of another length have no cosine with the rest.
-    usable = clean.where(F.length("v") == (usual["n"] if usual else 0))
-    found = links(usable, p)
+    lengths = clean.where("v is not null").groupBy(F.length("v").alias("n")).count().where("count > 1")
+    # Vectors of different lengths have no cosine; each length, of which there are few, is joined by itself.
+    joined = [links(clean.where(F.length("v") == r["n"]), p) for r in lengths.orderBy("n").collect()]
+    found = reduce(DataFrame.union, joined or [links(clean.limit(0), p)])
     counts = found.groupBy("row").agg(F.sum("links").alias("n_links"))
     tied = components(found.select(F.col("row").alias("u"), F.col("root").alias("v")), "range")
     marked = (clean.select("id", "row").join(counts, "row", "left")

@@ -56,3 +56,12 @@ def test_edge_rows(workers):
     df = workers.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, row string")
     assert got(df) == brute(rows)
     assert got(df.limit(0)) == [] and got(df.where("vec_id = 1")) == [(1, 0, 1, True)]
+
+
+def test_every_length_is_joined(workers):
+    rows = [(k, [1.0, 0.01 * k]) for k in range(5)] + [(10, [1.0, 0.0, 0.0]), (11, [1.0, 0.1, 0.0]), (12, [0.0, 0.0, 1.0]),
+                                                     (13, [3.0]), (14, [2.0]), (15, [1.0, 0.0, 0.0, 0.0])]
+    df = workers.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r[0]: r[1:3] for r in got(df)}
+    assert [found[k] for k in (10, 11, 12, 13, 14, 15)] == [(1, 10), (1, 10), (0, 12), (1, 13), (1, 13), (0, 15)]
+    assert all(found[k] == (4, 0) for k in range(5))
