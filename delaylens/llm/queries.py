@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import bpe, chat, decontaminate, embedding_join, html_text, licenses, ngram_join, quality, sharding, token_files
+from delaylens.llm import (bpe, chat, decontaminate, embedding_join, html_text, licenses, line_dedup, ngram_join, quality,
+                           sharding, token_files)
 from delaylens.llm.common import table
 
 
@@ -171,6 +172,25 @@ FROM leaf JOIN x ON x.doc_id = leaf.doc_id AND x.d = leaf.d JOIN b ON b.d = x.d
 """
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedupe(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP13_SQL = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM s),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key
+      FROM l),
+g AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> top) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (top IS NULL OR doc_id = top), '')) AS kept_sha256
+FROM k LEFT JOIN g USING (key) GROUP BY doc_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -190,5 +210,6 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
         "op10_sharding": (op10_sharding, OP10_SQL),
+        "op13_line_dedup": (op13_line_dedup, OP13_SQL),
         "pipeline": (pipeline, None),
     }
