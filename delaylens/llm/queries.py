@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.llm import (bpe, chat, decontaminate, embedding_join, html_text, licenses, line_dedup, ngram_join, quality,
-                           sharding, token_files)
+                           ranked_search, sharding, token_files)
 from delaylens.llm.common import table
 
 
@@ -172,13 +172,33 @@ FROM leaf JOIN x ON x.doc_id = leaf.doc_id AND x.d = leaf.d JOIN b ON b.d = x.d
 """
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, unnest({_TERMS_SQL}) AS term FROM documents),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+s AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+t AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM s),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, t GROUP BY term),
+r AS (SELECT i.item_id, f.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+      FROM i JOIN f USING (term) JOIN w USING (term) JOIN s USING (doc_id), t GROUP BY i.item_id, f.doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedupe(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 OP13_SQL = f"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM s),
@@ -210,6 +230,7 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
         "op8_ngram_jaccard_join": (op8_ngram_jaccard_join, None),
         "op9_quality_classifier": (op9_quality_classifier, None),
         "op10_sharding": (op10_sharding, OP10_SQL),
+        "op11_ranked_search": (op11_ranked_search, OP11_SQL),
         "op13_line_dedup": (op13_line_dedup, OP13_SQL),
         "pipeline": (pipeline, None),
     }
