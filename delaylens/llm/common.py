@@ -32,8 +32,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` in batches of at most 1,000 rows, so that texts in transit take little memory."""
+    """``mapInArrow`` in batches of at most 1,000 rows and 16 MB (a longer row is one by itself), so
+    that texts in transit take little memory. The plan reads both settings when it runs, so they stay set."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return df.mapInArrow(work, schema)
 
 

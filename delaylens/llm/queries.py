@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylens.llm import (bpe, chat, decontaminate, embedding_join, html_text, licenses, line_dedup, ngram_join, quality,
+from delaylens.llm import (bpe, chat, collocations, decontaminate, embedding_join, html_text, licenses, line_dedup, ngram_join, quality,
                            ranked_search, sharding, token_files)
 from delaylens.llm.common import table
 
@@ -194,6 +194,33 @@ FROM r WHERE score > 0 QUALIFY rank <= 50
 """
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+             SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+               translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+o AS (SELECT lang, size, unnest([array_to_string(w[k:k + size - 1], ' ') for k in range(1, len(w) - size + 2)]) AS phrase
+      FROM p, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size),
+f AS (SELECT lang, phrase, any_value(size) AS size, count(*) AS a FROM o GROUP BY lang, phrase HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+i AS (SELECT lang, a, unnest(flatten([[array_to_string(w[k:k + s - 1], ' ') for k in range(1, size - s + 2)] for s in range(2, size)])) AS phrase
+      FROM c WHERE size > 2),
+d AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN i ON c.lang = i.lang AND c.phrase = i.phrase AND 100::HUGEINT * i.a >= 80::HUGEINT * c.a),
+k AS (SELECT lang, phrase, a, w, unnest(range(1, size)) AS k FROM c ANTI JOIN d USING (lang, phrase)),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, x.a AS l, y.a AS r, ((2000000::HUGEINT * k.a) // (x.a::HUGEINT + y.a))::BIGINT AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ')
+             JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedupe(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -231,6 +258,7 @@ def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], s
         "op9_quality_classifier": (op9_quality_classifier, None),
         "op10_sharding": (op10_sharding, OP10_SQL),
         "op11_ranked_search": (op11_ranked_search, OP11_SQL),
+        "op12_phrase_collocations": (op12_phrase_collocations, OP12_SQL),
         "op13_line_dedup": (op13_line_dedup, OP13_SQL),
         "pipeline": (pipeline, None),
     }
