@@ -21,6 +21,9 @@ DELAY_BANDS = [
     (60, "31–60 min"),
     (None, "60+ min"),
 ]
+# What counts as white space at the ends of a value: the Unicode property and U+001C to U+001F.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 NULL_MARKER = "-"
 NUMBER_PATTERN = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
@@ -33,7 +36,7 @@ def col(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Text without white space at both ends: tabs, line ends and no-break spaces too."""
-    return F.regexp_replace(col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.trim(col(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:
