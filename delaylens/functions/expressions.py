@@ -35,8 +35,13 @@ def col(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Text without white space at both ends: tabs, line ends and no-break spaces too."""
-    return F.trim(col(c), F.lit(WHITE_SPACE))
+    """Text without white space at both ends: tabs, line ends and no-break spaces too.
+
+    Most values begin and end with a visible ASCII character and are taken as they are.
+    """
+    text = col(c)
+    visible = lambda x: F.ascii(x).between(0x21, 0x7E)
+    return F.when(visible(text) & visible(F.substring(text, -1, 1)), text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -51,7 +56,8 @@ def normalize_id(c: str | Column) -> Column:
 
 def normalize_key(c: str | Column) -> Column:
     """Join key clean-up for CSV identifiers: strip, upper-case, drop one trailing '.0'."""
-    return F.regexp_replace(F.upper(strip(F.coalesce(col(c), F.lit("")))), r"\.0$", "")
+    key = F.upper(strip(F.coalesce(col(c), F.lit(""))))
+    return F.when(F.endswith(key, F.lit(".0")), F.substring(key, F.lit(1), F.length(key) - 2)).otherwise(key)
 
 
 def _number(text: Column) -> Column:
@@ -61,19 +67,19 @@ def _number(text: Column) -> Column:
 
 def optional_number(c: str | Column) -> Column:
     """Blank -> null, otherwise the number; unparsable text -> null (flag with ``not_a_number``)."""
-    return _number(blank_to_null(c))
+    return _number(strip(c))
 
 
 def not_a_number(c: str | Column) -> Column:
     """True where the text is present but does not parse as a number."""
-    text = blank_to_null(c)
-    return text.isNotNull() & _number(text).isNull()
+    text = strip(c)
+    return text.isNotNull() & (text != "") & _number(text).isNull()
 
 
 def sequence_from_text(c: str | Column) -> Column:
     """``int(float(text))``: parse as double, truncate toward zero; bad text, NaN or an
     out-of-range value -> null (the row is then skipped or quarantined, never a failed job)."""
-    return _number(blank_to_null(c)).try_cast("int")
+    return _number(strip(c)).try_cast("int")
 
 
 def record_hash(*columns: str | Column) -> Column:
