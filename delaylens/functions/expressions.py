@@ -37,11 +37,10 @@ def col(c: str | Column) -> Column:
 def strip(c: str | Column) -> Column:
     """Text without white space at both ends: tabs, line ends and no-break spaces too.
 
-    Most values begin and end with a visible ASCII character and are taken as they are.
+    The text is named once: rules are pushed below the projection that makes a column, and every
+    mention of it there is that column's expression anew.
     """
-    text = col(c)
-    visible = lambda x: F.ascii(x).between(0x21, 0x7E)
-    return F.when(visible(text) & visible(F.substring(text, -1, 1)), text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
+    return F.trim(col(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:
