@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
 from delaylens.functions.rules import failed_rules, rules_pass, running_event_rules
+from delaylens.sources.files import FIELD_COUNT, MALFORMED
 
 # Canonical column list of a running event, sorted by name, used for the record hash.
 CANONICAL_EVENT_COLUMNS = sorted([
@@ -63,6 +64,7 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
         E.not_a_number("dep_delay").alias("departure_delay_not_a_number"),
         F.col("arr_delay").alias("source_arrival_delay_text"),
         F.col("dep_delay").alias("source_departure_delay_text"),
+        *[c for c in (MALFORMED,) if c in delays.columns],
         E.blank_to_null("sch_arr").alias("source_scheduled_arrival_time"),
         E.blank_to_null("act_arr").alias("source_actual_arrival_time"),
         E.blank_to_null("sch_dep").alias("source_scheduled_departure_time"),
@@ -95,6 +97,7 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
         "source_actual_departure_time",
         "source_arrival_delay_text",
         "source_departure_delay_text",
+        *[c for c in (MALFORMED,) if c in delays.columns],
     )
 
 
@@ -110,6 +113,9 @@ def with_rule_check(df: DataFrame, date_is_text: bool = False) -> DataFrame:
     ok, errors = rules_pass(rules), failed_rules(rules)
     if "invalid_times" in df.columns:  # names of the contract's timestamps that don't parse
         ok, errors = ok & (F.size("invalid_times") == 0), F.concat(errors, F.col("invalid_times"))
+    if MALFORMED in df.columns:  # of a row with a wrong number of fields, no field is judged
+        whole = F.col(MALFORMED).isNull()
+        ok, errors = whole & ok, F.when(whole, errors).otherwise(F.array(F.lit(FIELD_COUNT)))
     return df.withColumn("rules_ok", ok).withColumn("errors", errors)
 
 
@@ -183,9 +189,9 @@ def load_counters(checked: DataFrame, target: DataFrame, key: str = "source_reco
         F.count_if(~F.col("rules_ok")).alias("rejected"),
     )
     # Distinct valid hashes, each flagged when the target already holds it: one left join,
-    # then one small aggregate. The target side is reduced to its distinct keys first.
+    # then one small aggregate. The target holds a key once (K1).
     distinct_valid = checked.where(F.col("rules_ok")).select(key).distinct()
-    target_keys = target.select(key).distinct().withColumn("_present", F.lit(True))
+    target_keys = target.select(key).withColumn("_present", F.lit(True))
     flagged = distinct_valid.join(target_keys, key, "left")
     per_key = flagged.agg(
         F.count(F.lit(1)).alias("distinct_valid"),

@@ -8,12 +8,17 @@ lists the folders of those dates only. No path is overwritten while it is read (
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylens.session import scratch_path
 
+#: How the folder of the null partition is named.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 DEFAULT_OVERLAP_HOURS = 48
 FLOOR_TIMESTAMP = "1900-01-01 00:00:00"
 
@@ -35,8 +40,19 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- dated tables
 def dates(df: DataFrame, date_col: str) -> list:
-    """The distinct dates of a batch: one row per calendar day at most."""
-    return sorted(r[0] for r in df.select(date_col).distinct().collect() if r[0] is not None)
+    """The distinct dates of a batch, null (last) among them: one row per calendar day at most."""
+    return sorted((r[0] for r in df.select(date_col).distinct().collect()), key=lambda d: (d is None, d))
+
+
+def on_dates(date_col: str, days: list) -> Column:
+    """Rows of the given dates; None stands for the rows without one."""
+    found = F.col(date_col).isin([d for d in days if d is not None])
+    return found | F.col(date_col).isNull() if None in days else found
+
+
+def matching(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, null being equal to null."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def append_batch(df: DataFrame, root: str, date_col: str, batch_id: int) -> None:
@@ -46,8 +62,10 @@ def append_batch(df: DataFrame, root: str, date_col: str, batch_id: int) -> None
 
 
 def read_dates(spark: SparkSession, root: str, schema: T.StructType, date_col: str, days: list) -> DataFrame:
-    """Rows of the given dates: only their folders are listed and read. Columns as in ``schema``."""
-    found = [f for f in (f"{root.rstrip('/')}/{date_col}={d}" for d in days) if path_exists(spark, f)]
+    """Rows of the given dates (None: those without one): only their folders are listed and read.
+    Columns as in ``schema``."""
+    names = (f"{root.rstrip('/')}/{date_col}={NULL_PARTITION if d is None else d}" for d in days)
+    found = [f for f in names if path_exists(spark, f)]
     if not found:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*found)
@@ -64,11 +82,11 @@ def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_h
     ``implied_by_key`` names a date column that the key determines (the content hash covers the
     journey date, so equal hashes have equal dates). The target is then narrowed to the batch's
     dates by a literal filter, which prunes its partitions; the batch is read for that first, so it
-    should be materialized.
+    should be materialized. Rows without a date are compared with each other. Null keys are new.
     """
     batch = batch.dropDuplicates([key])
     if implied_by_key:
-        target = target.where(F.col(implied_by_key).isin(dates(batch, implied_by_key)))
+        target = target.where(on_dates(implied_by_key, dates(batch, implied_by_key)))
     return batch.join(target.select(key), key, "left_anti")
 
 
@@ -101,7 +119,7 @@ def upsert_partitions(spark: SparkSession, root: str, stage: str, rebuilt: DataF
     """
     if not path_exists(spark, f"{stage}/_SUCCESS"):
         current = read_dates(spark, root, rebuilt.schema, partition_col, dates(touched, partition_col))
-        kept = current.join(touched, keys, "left_anti")
+        kept = current.join(touched, matching(current, touched, keys), "left_anti")
         rebuilt.unionByName(kept.select(*rebuilt.columns)).write.mode("overwrite").parquet(stage)
     rebalanced(spark.read.schema(rebuilt.schema).parquet(stage), partition_col).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root)

@@ -4,6 +4,9 @@ Graph: delay + route CSV (S2, S3, S9) -> stop-sequence lookup (J1) -> content ha
 rule check (P6) materialized once -> quarantine JSON lines (K3) | accepted rows, one per hash
 (W4) -> insert-only append to the raw table (K1) -> counters (A10) -> run audit (K4).
 
+Rows are counted in the passes that write them (``Observation``, in the task that writes, so a
+repeated task counts once); stored keys are compared through ``operators.history`` (J2).
+
 Raw table layout: ``<raw_root>/run_id=<id>/`` holds the rows a run inserted. A run's rows
 become visible only when its audit status is ``succeeded`` (readers semi-join on the audit),
 so a failed or re-tried run never exposes half-written rows and a daily load appends without
@@ -17,12 +20,12 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylens.functions import expressions as E
-from delaylens.operators import ingest, tables
+from delaylens.operators import history, ingest, tables
 from delaylens.sources import files
 
 PIPELINE_NAME = "delaylens"
@@ -56,6 +59,11 @@ class LoadPaths:
     quarantine_root: str
     audit_root: str
 
+    @property
+    def keys(self) -> history.KeyHistory:
+        """The stored keys of the raw table."""
+        return history.KeyHistory(f"{self.raw_root.rstrip('/')}_keys")
+
 
 # --------------------------------------------------------------------------- K4 audit
 def audit_event(spark: SparkSession, paths: LoadPaths, run_id: str, source_name: str, status: str,
@@ -89,6 +97,22 @@ def read_raw(spark: SparkSession, paths: LoadPaths, schema: T.StructType) -> Dat
     return raw.join(ok, "run_id", "left_semi").drop("run_id")
 
 
+def succeeded_runs(spark: SparkSession, audit_root: str) -> DataFrame:
+    return read_audit(spark, audit_root).where(F.col("status") == "succeeded").select("run_id")
+
+
+def _counts(seen: Observation) -> dict:
+    """What a write has counted; a plan without rows may count nothing at all."""
+    return {k: v or 0 for k, v in seen.get.items()}
+
+
+def _checked_counts() -> list:
+    return [F.count(F.lit(1)).alias("received"), F.count_if("rules_ok").alias("valid"), F.count_if(~F.col("rules_ok")).alias("rejected")]
+
+
+_NO_ROWS = {"received": 0, "valid": 0, "rejected": 0, "distinct_valid": 0, "already_present": 0}
+
+
 _exists = tables.path_exists
 
 
@@ -101,30 +125,49 @@ def prepare(delays: DataFrame, routes: DataFrame, source_name: str) -> DataFrame
 
 
 def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths: LoadPaths,
-                    source_name: str = "delay_csv_feed", run_id: str | None = None) -> dict:
-    """Run one load; returns the counters (one small row brought to the driver)."""
+                    source_name: str = "delay_csv_feed", run_id: str | None = None,
+                    delay_glob: str | None = None, route_glob: str | None = None) -> dict:
+    """Run one load; returns the counters (one small row brought to the driver).
+
+    With a glob the path is a directory that holds exactly one such file (S9). Rows with a wrong number
+    of fields are rejected with their raw line; a route row of that kind is no lookup row and goes to
+    quarantine as well, but isn't counted.
+    """
     run_id = run_id or str(uuid.uuid4())
     audit_event(spark, paths, run_id, source_name, "running")
     counters = None  # whatever a failed run has counted is kept
     try:
-        delays = files.read_delay_csv(spark, delay_path)
-        routes = files.read_route_csv(spark, route_path)
-        # Materialized once in the shared checkpoint folder: quarantine, accepted rows and
-        # counters all read it, and the CSVs are parsed and joined a single time.
-        checked = tables.materialized(prepare(delays, routes, source_name), "load-checked")
-
-        rejected = checked.where(~F.col("rules_ok"))
-        ingest.quarantine_records(rejected).write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
-
-        accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok")) \
+        delay_path = files.find_single_file(spark, delay_path, delay_glob) if delay_glob else delay_path
+        route_path = files.find_single_file(spark, route_path, route_glob) if route_glob else route_path
+        delays = files.read_delay_csv(spark, delay_path, files.MALFORMED)
+        routes = files.read_route_csv(spark, route_path, files.MALFORMED)
+        good_routes = routes.where(F.col(files.MALFORMED).isNull()).drop(files.MALFORMED)
+        # Materialized once in the shared checkpoint folder: quarantine and accepted rows read it, and
+        # the CSVs are parsed and joined a single time.
+        seen = Observation()
+        checked = tables.materialized(prepare(delays, good_routes, source_name).observe(seen, *_checked_counts()), "load-checked")
+        counters = _NO_ROWS | _counts(seen)
+
+        bad_routes = routes.where(F.col(files.MALFORMED).isNotNull()).withColumn("errors", F.array(F.lit(files.FIELD_COUNT)))
+        rejected = ingest.quarantine_records(checked.where(~F.col("rules_ok"))).unionByName(
+            ingest.quarantine_records(bad_routes, [files.MALFORMED]), allowMissingColumns=True)
+        rejected.write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
+
+        accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok", files.MALFORMED)) \
                          .drop("arrival_delay_not_a_number", "departure_delay_not_a_number")
-        target = read_raw(spark, paths, accepted.schema)
-        counters = ingest.load_counters(checked, target).first().asDict()
-        # The hash covers the journey date: only the target's partitions for this load's dates
-        # are read for the anti join.
-        new_rows = tables.insert_only(target, ingest.dedupe_by_hash(accepted), implied_by_key="journey_date")
-        tables.rebalanced(new_rows, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
-              .parquet(f"{paths.raw_root}/run_id={run_id}")
+        # The hash covers the journey date: only the stored keys of this load's dates are read. Rows
+        # are counted behind the last exchange, in the task that writes them.
+        days = tables.dates(accepted, "journey_date")
+        known = history.flagged(ingest.dedupe_by_hash(accepted), paths.keys, days, succeeded_runs(spark, paths.audit_root))
+        stored = Observation()
+        rows = tables.rebalanced(known, "journey_date").observe(
+            stored, F.count(F.lit(1)).alias("distinct_valid"), F.count_if("present").alias("already_present"))
+        target = f"{paths.raw_root}/run_id={run_id}"
+        rows.where(~F.col("present")).drop("present").write.mode("overwrite").partitionBy("journey_date").parquet(target)
+        counters |= _counts(stored)
+        counters["inserted"] = counters["distinct_valid"] - counters["already_present"]
+        if counters["inserted"]:
+            history.append(spark.read.parquet(target), paths.keys, run_id)
         audit_event(spark, paths, run_id, source_name, "succeeded", counters)
         return {"run_id": run_id, **counters}
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
@@ -140,7 +183,8 @@ SCHEDULE_HASH_COLUMNS = sorted(["train_number", "train_name", "station_code", "s
 
 def schedule_stops(routes: DataFrame, source_name: str) -> DataFrame:
     """Route CSV rows -> typed schedule stops with their hash (T10: the content alone, not the load
-    time); ``rules_ok`` asks for a train, a station and a positive sequence."""
+    time). ``errors`` names what is wrong: a train, a station and a positive sequence are needed, a
+    distance must be a number, and a row of a wrong number of fields is judged by that alone."""
     sequence = E.sequence_from_text("stnSerialNumber")
     typed = routes.select(
         E.normalize_key("trainNumber").alias("train_number"), E.blank_to_null("trainName").alias("train_name"),
@@ -150,23 +194,38 @@ def schedule_stops(routes: DataFrame, source_name: str) -> DataFrame:
         sequence.alias("station_sequence"), E.blank_to_null("arrivalTime").alias("schedule_arrival_time"),
         E.blank_to_null("departureTime").alias("schedule_departure_time"),
         F.lit(None).cast("int").alias("journey_day_number"), E.optional_number("distance").alias("distance_km"),
-        F.lit(source_name).alias("source_name"))
-    return typed.withColumn("source_record_hash", E.record_hash(*SCHEDULE_HASH_COLUMNS)).withColumn(
-        "rules_ok", (F.col("train_number") != "") & (F.col("station_code") != "")
-        & F.coalesce(F.col("station_sequence") > 0, F.lit(False)))
+        F.lit(source_name).alias("source_name"), E.not_a_number("distance").alias("distance_not_a_number"),
+        F.col("stnSerialNumber").alias("source_sequence_text"), F.col("distance").alias("source_distance_text"),
+        *[c for c in (files.MALFORMED,) if c in routes.columns])
+    faults = [("train_number_missing", F.col("train_number") == ""), ("station_code_missing", F.col("station_code") == ""),
+              ("station_sequence_not_positive", ~F.coalesce(F.col("station_sequence") > 0, F.lit(False))),
+              ("distance_not_a_number", F.col("distance_not_a_number"))]
+    errors = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for code, cond in faults]))
+    if files.MALFORMED in routes.columns:
+        errors = F.when(F.col(files.MALFORMED).isNull(), errors).otherwise(F.array(F.lit(files.FIELD_COUNT)))
+    return typed.withColumn("source_record_hash", E.record_hash(*SCHEDULE_HASH_COLUMNS)).withColumn("errors", errors) \
+        .withColumn("rules_ok", F.size("errors") == 0)
+
+
+#: Columns of the check alone, not of a schedule stop.
+_SCHEDULE_CHECK = ("errors", "rules_ok", "distance_not_a_number", "source_sequence_text", "source_distance_text", files.MALFORMED)
 
 
 def schedule_load(spark: SparkSession, route_path: str, paths: LoadPaths, source_name: str = "route_csv_feed",
-                  run_id: str | None = None) -> dict:
-    """Route CSV -> schedule table: insert-only by hash, quarantine, audit. Returns the counters."""
+                  run_id: str | None = None, route_glob: str | None = None) -> dict:
+    """Route CSV -> schedule table: insert-only by hash, quarantine with reasons and the texts as they
+    came, audit. Returns the counters. With a glob the path is a directory of exactly one such file."""
     run_id = run_id or str(uuid.uuid4())
     audit_event(spark, paths, run_id, source_name, "running", dataset=SCHEDULE_DATASET)
     counters = None
     try:
-        checked = tables.materialized(schedule_stops(files.read_route_csv(spark, route_path), source_name), "schedule-checked")
-        checked.where(~F.col("rules_ok")).drop("rules_ok").write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
+        route_path = files.find_single_file(spark, route_path, route_glob) if route_glob else route_path
+        routes = files.read_route_csv(spark, route_path, files.MALFORMED)
+        checked = tables.materialized(schedule_stops(routes, source_name), "schedule-checked")
+        ingest.quarantine_records(checked.where(~F.col("rules_ok"))).write.mode("overwrite") \
+            .json(f"{paths.quarantine_root}/run_id={run_id}")
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        accepted = checked.where("rules_ok").drop("rules_ok").withColumn("ingested_at", F.lit(loaded_at).cast("timestamp_ntz"))
+        accepted = checked.where("rules_ok").drop(*_SCHEDULE_CHECK).withColumn("ingested_at", F.lit(loaded_at).cast("timestamp_ntz"))
         target = read_raw(spark, paths, accepted.schema)
         counters = ingest.load_counters(checked, target).first().asDict()
         tables.insert_only(target, accepted).write.mode("overwrite").parquet(f"{paths.raw_root}/run_id={run_id}")

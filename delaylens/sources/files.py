@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,29 +30,52 @@ class ContractError(ValueError):
     pass
 
 
-def header_groups(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file in any store that Spark reads: one block of it is opened."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        reader = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        return jvm.java.io.BufferedReader(reader).readLine()
+    finally:
+        stream.close()
+
+
+def header_groups(spark: SparkSession, path: str) -> list[tuple[list[str], list[str] | None]]:
     """(columns, files) for each different header among the files of a CSV source.
 
-    The first line of every file is found by one pass over the first block of each; the few
-    different headers and the file names (which a scan lists anyway) reach the driver.
+    The driver, whose scan lists the files anyway, opens the first block of each, several at a time;
+    no data is read. Where all files have one header, which is the rule, no file is named (None): the
+    scan takes the path.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("line"))
-    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    return [([c.strip() for c in next(csv.reader([g.header.lstrip("\ufeff")]))], sorted(g.files))
-            for g in sorted(groups, key=lambda g: g.header)]
+    names = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda name: first_line(spark, name), names))
+    files_of: dict[str, list[str]] = {}
+    for name, line in zip(names, lines):
+        if line is not None:  # an empty file has no header
+            files_of.setdefault(line, []).append(name)
+    columns = lambda header: [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]))]
+    return [(columns(h), None if len(files_of) == 1 else files_of[h]) for h in sorted(files_of)]
+
+
+#: Reason of a row with more or fewer fields than its file's header.
+FIELD_COUNT = "field_count"
 
 
 def read_csv_contract(spark: SparkSession, path: str, required: list[str], optional: list[str] | None = None,
-                      label: str = "file", multi_line: bool = False) -> DataFrame:
+                      label: str = "file", multi_line: bool = False, malformed: str | None = None) -> DataFrame:
     """All-string read with an explicit schema after checking every file's header.
 
     A missing required column fails the scan and names the columns (sorted). Files may have their
     columns in different order, and optional columns may be absent from some (nulls then); other
     columns are ignored. A UTF-8 BOM on the header is dropped. ``multi_line`` is for feeds with line
     ends inside quoted fields; it makes each file the work of one task.
+
+    A row with more or fewer fields than its header fails the scan, unless ``malformed`` names a column
+    for the raw line of such rows (null in all others); a load sends them to quarantine.
     """
     groups = header_groups(spark, path)
     for header, _files in groups or [([], [])]:
@@ -60,32 +84,43 @@ def read_csv_contract(spark: SparkSession, path: str, required: list[str], optio
     wanted = list(required) + [c for c in (optional or []) if c not in required]
     parts = []
     for header, names in groups:
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-        df = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", multi_line).schema(schema).csv(names)
-        parts.append(df.select(*[(F.col(f"`{c}`") if c in header else F.lit(None).cast("string")).alias(c) for c in wanted]))
+        raw = "_raw_line"
+        while raw in header:
+            raw += "_"
+        # Without pruning of columns, since the number of fields shows in whole rows only.
+        reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", multi_line).option("columnPruning", "false")
+        reader = reader.option("columnNameOfCorruptRecord", raw) if malformed else reader.option("mode", "FAILFAST")
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*header, *([raw] if malformed else [])]])
+        df = reader.schema(schema).csv(path if names is None else names)
+        columns = [(F.col(f"`{c}`") if c in header else F.lit(None).cast("string")).alias(c) for c in wanted]
+        parts.append(df.select(*columns, *([F.col(raw).alias(malformed)] if malformed else [])))
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Name of the column for raw lines in the readers of the load jobs.
+MALFORMED = "malformed_record"
+
+
 EVENT_TIMES = ["source_observed_at", "scheduled_arrival_at", "actual_arrival_at", "scheduled_departure_at",
                "actual_departure_at"]
 EVENT_OPTIONAL = ["scheduled_arrival_at", "actual_arrival_at", "scheduled_departure_at", "actual_departure_at",
                   "arrival_delay_minutes", "departure_delay_minutes", "status", "source_observed_at"]
 
 
-def read_event_csv(spark: SparkSession, path: str, source_name: str) -> DataFrame:
+def read_event_csv(spark: SparkSession, path: str, source_name: str, malformed: str | None = None) -> DataFrame:
     """Generic running-event CSV; appends ``source_name``."""
-    df = read_csv_contract(spark, path, EVENT_REQUIRED, EVENT_OPTIONAL, "historical file")
+    df = read_csv_contract(spark, path, EVENT_REQUIRED, EVENT_OPTIONAL, "historical file", malformed=malformed)
     return df.withColumn("source_name", F.lit(source_name))
 
 
-def read_delay_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_delay_csv(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """Delay CSV, nine required string columns."""
-    return read_csv_contract(spark, path, DELAY_REQUIRED, None, "delay file")
+    return read_csv_contract(spark, path, DELAY_REQUIRED, None, "delay file", malformed=malformed)
 
 
-def read_route_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_route_csv(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """S3: route CSV, three required columns plus the optional schedule columns."""
-    return read_csv_contract(spark, path, ROUTE_REQUIRED, ROUTE_OPTIONAL, "route file")
+    return read_csv_contract(spark, path, ROUTE_REQUIRED, ROUTE_OPTIONAL, "route file", malformed=malformed)
 
 
 def read_baseline_csv(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -105,7 +140,7 @@ def read_baseline_csv(spark: SparkSession, path: str, strict: bool = True) -> Da
         n = obs.agg(F.count(F.lit(1))).scalar()
         obs = obs.withColumn("arrival_delay_minutes", E.guard(
             "arrival_delay_minutes", n >= BASELINE_MIN_ROWS,
-            "at least ten non-null historical delay observations are required"))
+            f"a baseline needs {BASELINE_MIN_ROWS} observed delays or more"))
     return obs
 
 
@@ -125,7 +160,7 @@ def events_from_generic_csv(df: DataFrame) -> DataFrame:
                                          F.lit(f"{c}_invalid")) for c in EVENT_TIMES])).alias("invalid_times"),
         E.blank_to_null("status").alias("status"),
         "source_name",
-        *(["source_record_hash"] if "source_record_hash" in df.columns else []),
+        *[c for c in ("source_record_hash", MALFORMED) if c in df.columns],
     )
 
 
