@@ -371,9 +371,9 @@ def dedupe(docs: DataFrame, p: JoinParams = JoinParams(), id_col: str = "doc_id"
     Texts without words all stay; of rows that repeat an id and text one stays.
     """
     sets, solved = _solve(docs, id_col, text_col, p)
-    keep = (solved.select(F.col("keeper.id").alias("__id"), F.col("keeper.th").alias("__th")).distinct()
+    keep = (solved.select(F.col("keeper.id").alias("kid"), F.col("keeper.th").alias("kth")).distinct()
             .union(sets.where("fp is null").select("id", "th").distinct()))
-    marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__th": _text_hash(text_col)})
-    keep = keep.toDF("__kid", "__kth")
-    return (marked.join(keep, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__th") == F.col("__kth")), "left_semi")
-            .dropDuplicates(["__id", "__th"]).select(*(f"`{c}`" for c in docs.columns)))
+    # The caller's columns lie in one struct, whatever their names.
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), _text_hash(text_col).alias("th"))
+    return (marked.join(keep, F.col("id").eqNullSafe(F.col("kid")) & (F.col("th") == F.col("kth")), "left_semi")
+            .dropDuplicates(["id", "th"]).select("row.*"))

@@ -19,7 +19,8 @@ attempt leaves at most files that no manifest names.
 
 Defined results: null text is an empty text; an empty text has the end id alone; null ids come
 first, as one id; rows that repeat an id are documents of their own, in the order of their text's hash;
-no documents give a manifest without rows. Other columns are not read.
+no documents give a manifest without rows. Control strings in a text become control tokens, as in the
+library. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -147,6 +148,14 @@ class TokenFile:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
 
+def _qualified(spark, folder: str) -> str:
+    """A folder without scheme lies in Spark's default file system."""
+    if "://" in folder or folder.startswith("file:"):
+        return folder
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
@@ -159,7 +168,8 @@ def _tokenizer(raw: str, memo_size: int) -> "WordIds":
 
 
 class WordIds:
-    """Ids of texts by the tokenizers library, with memos of what lies between white space.
+    """Ids of texts by the tokenizers library, with memos of what lies between white space. The strings
+    of control tokens in a text get their ids, as the library does unless told otherwise.
 
     The tokenizer replaces white space by one space, drops it when it cuts a text, and its
     normalization and cuts don't reach across it; so a text's ids are those of its parts. It also
@@ -177,7 +187,6 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(raw)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}      # part -> ids
         self.plain: dict[str, bytes] = {}     # lower-case word -> ids
         self.memo_size, self.plain_size = memo_size, 3 * memo_size
@@ -242,7 +251,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
     folder is the default.
     """
     spark = docs.sparkSession
-    base = (folder or scratch_path(spark, "token-files")).rstrip("/")
+    base = _qualified(spark, (folder or scratch_path(spark, "token-files")).rstrip("/"))
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
@@ -323,8 +332,9 @@ def _documents(manifest: DataFrame, ddl: str, derive, fields: list) -> DataFrame
                     system, name = _filesystem(path)
                     with system.open_input_stream(name) as f:
                         file = TokenFile(f.read())
-                    ends = file.ends.all().tolist()
-                    for i, (a, b) in enumerate(zip([0, *ends], ends)):
+                    b = 0
+                    for i in range(len(file)):
+                        a, b = b, file.ends.select(i)
                         doc = int(file.doc_ids[i])
                         yield (None if doc == NULL_ID else doc, start + a, b - a, *derive(file.ids[a:b]))
 

@@ -95,3 +95,12 @@ def test_runs_follow_the_target():
 def test_default_runs_count_the_spread_of_signatures():
     p = N.JoinParams()
     assert p.recall >= 1 - 1e-6 and p.runs_for() == 20
+
+
+def test_dedupe_leaves_the_callers_columns_alone(workers):
+    text = "one two three four five six seven eight"
+    df = workers.createDataFrame([(1, text, "keepme1", 7.5, "a"), (2, text, "keepme2", 8.5, "b"), (3, "quite another text of six words", "k", 1.0, "c")],
+                                 "doc_id long, text string, __id string, __th double, id string")
+    out = N.dedupe(df)
+    assert out.schema == df.schema
+    assert sorted(map(tuple, out.collect())) == [(1, text, "keepme1", 7.5, "a"), (3, "quite another text of six words", "k", 1.0, "c")]

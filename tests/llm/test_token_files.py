@@ -12,7 +12,6 @@ from delaylens.llm.queries import op4_token_files
 SMOKE = "/root/testdata/sf0.001"
 PATH = P.path("word_bpe_49k.json")
 PUBLIC = Tokenizer.from_file(PATH)
-PUBLIC.encode_special_tokens = True
 WORDS = T.WordIds(open(PATH, encoding="utf-8").read(), 50)
 
 
@@ -64,6 +63,19 @@ def test_edge_rows_and_small_files(workers):
     assert T.read_digests(T.write(df.limit(0), PATH)).collect() == []
 
 
+def test_control_strings_are_those_of_the_library():
+    texts = ["x <|endoftext|> y", "x<|endoftext|>y", "<|startoftext|><|endoftext|>.", "<|ENDOFTEXT|> <|endoftext", "a.<|endoftext|>,b"]
+    assert [np.frombuffer(x, dtype=WORDS.kind).tolist() for x in WORDS.encode(texts)] == [library(t) for t in texts]
+    assert library(texts[0]) == [343, 49407, 344]
+
+
+def test_folder_without_scheme_lies_in_the_default_file_system(workers, folder):
+    df = workers.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    manifest = T.write(df, PATH, folder=folder + "/out")
+    assert manifest.first().path.startswith("file:")
+    assert [r.n_tokens for r in sorted(T.read(manifest).collect(), key=lambda r: r.start)] == [3, 2]
+
+
 def test_file_gives_single_documents():
     lists = [[5, 6, 1], [1], list(range(300))] * 200
     ends = np.cumsum([len(x) for x in lists])
