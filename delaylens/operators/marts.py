@@ -85,6 +85,11 @@ def delay_summary(rows: DataFrame, *keys: str) -> DataFrame:
     counts: the mean of the values that hold the two middle places.
     """
     hist = rows.groupBy(*keys, F.col("arrival_delay_minutes").cast("double").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    return summary_of_counts(hist, *keys)
+
+
+def summary_of_counts(hist: DataFrame, *keys: str) -> DataFrame:
+    """``delay_summary`` from the counts (``_n``) of each key's delay values (``_d``)."""
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = hist.withColumn("_to", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(whole))
@@ -99,7 +104,7 @@ def delay_summary(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _delay_measures() -> list:
+def delay_measures() -> list:
     return [
         F.col("observations").alias("station_stop_observations"),
         E.round6(F.col("mean")).alias("average_arrival_delay_minutes"),
@@ -114,13 +119,13 @@ def observed(fact: DataFrame) -> DataFrame:
 
 def mart_station_delay(fact: DataFrame) -> DataFrame:
     """A2: per station: observations, mean, exact median, on-time-or-early %."""
-    return delay_summary(observed(fact), "station_code").select("station_code", *_delay_measures())
+    return delay_summary(observed(fact), "station_code").select("station_code", *delay_measures())
 
 
 def mart_train_punctuality(fact: DataFrame) -> DataFrame:
     """A3: per train: A2's measures plus the major-delay (> 60 min) share."""
     return delay_summary(observed(fact), "train_number").select(
-        "train_number", *_delay_measures(), E.round6(F.col("major")).alias("major_delay_percent"))
+        "train_number", *delay_measures(), E.round6(F.col("major")).alias("major_delay_percent"))
 
 
 def mart_prediction_accuracy(predictions: DataFrame) -> DataFrame:

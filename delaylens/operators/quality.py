@@ -6,11 +6,14 @@ is a handful of scans with partial aggregation; no check collects rows to the dr
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaylens.operators.tables import on_dates
+
 # The declared not-null columns per model and the uniqueness keys.
 NOT_NULL_COLUMNS = {
     "stg_train_running": ["train_number", "journey_date", "station_code", "station_sequence"],
@@ -139,3 +142,57 @@ def leakage_violations(df: DataFrame, observed_at: str | Column, prediction_at:
         bad = bad.withColumn(obs_name, F.coalesce(F.assert_true(n == 0, F.lit(
             "leakage: a feature was seen later than its prediction")), obs))
     return bad
+
+
+# --------------------------------------------------------------------------- audit tables
+#: Models whose tests are kept per journey date, and the columns of their key tests.
+DATED_KEYS = {"stg_train_running": ["train_number", "journey_date", "station_code", "station_sequence"],
+              "fact_station_arrival": ["train_number", "journey_date", "station_code", "station_sequence"]}
+
+
+def dated_report(models: dict[str, DataFrame], days: list) -> DataFrame:
+    """Q1 and Q3 to Q6 per journey date, for the given dates only (None: rows without one): journey_date,
+    test_name, severity, failed_row_count, status. Only the partitions of these dates are read; a date
+    without rows in a model passes nothing there and has no row.
+    """
+    parts = []
+    for model, keys in DATED_KEYS.items():
+        rows = models[model].where(on_dates("journey_date", days))
+        checks = [(f"not_null_{model}_{c}", F.col(c).isNull()) for c in NOT_NULL_COLUMNS.get(model, []) if c != "journey_date"]
+        if model == "stg_train_running":
+            checks += [("assert_actual_arrival_has_schedule", F.col("actual_arrival_at").isNotNull() & F.col("scheduled_arrival_at").isNull()),
+                       ("assert_positive_station_sequence", F.col("station_sequence") <= 0)]
+        counts = rows.groupBy("journey_date").agg(*[F.count_if(cond).cast("long").alias(name) for name, cond in checks])
+        parts.append(counts.select("journey_date", F.inline(F.array(*[
+            F.struct(F.lit(name).alias("test_name"), F.col(name).alias("failed_row_count")) for name, _ in checks]))))
+        repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).groupBy("journey_date").agg(
+            F.count_if(F.col("_n") > 1).cast("long").alias("failed_row_count"))
+        parts.append(repeated.select("journey_date", F.lit("unique_combination_" + model + "_" + "_".join(keys)).alias("test_name"),
+                                     "failed_row_count"))
+    fact = models["fact_station_arrival"].where(on_dates("journey_date", days))
+    stops = models["dim_route_stop"].select("train_number", "station_code", "station_sequence").distinct().withColumn("_stop", F.lit(True))
+    orphans = fact.join(stops, ["train_number", "station_code", "station_sequence"], "left").groupBy("journey_date").agg(
+        F.count_if(F.col("_stop").isNull()).cast("long").alias("failed_row_count"))
+    parts.append(orphans.select("journey_date", F.lit("assert_running_fact_references_schedule_stop").alias("test_name"), "failed_row_count"))
+    return reduce(DataFrame.unionByName, parts).select(
+        "journey_date", "test_name", F.lit("error").alias("severity"), "failed_row_count",
+        F.when(F.col("failed_row_count") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+
+
+def append_results(report: DataFrame, root: str, run_id: str, checked_at: dt.datetime) -> None:
+    """Append a run's results to the quality audit: quality_check_id, checked_at and the report's
+    columns in the run's own partition, which a repeated run replaces."""
+    name = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("journey_date", "test_name") if c in report.columns]
+    rows = report.select(F.concat_ws("/", F.lit(run_id), *name).alias("quality_check_id"), "*",
+                         F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"), F.lit(run_id).alias("run_id"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(root)
+
+
+def append_reconciliation(counts: DataFrame, root: str, run_id: str, dataset: str, reconciled_at: dt.datetime) -> None:
+    """Append a run's layer counts (A12) and their status to the reconciliation audit."""
+    ok = F.col("accounted_for") & F.col("transformations_complete")
+    rows = counts.select(F.lit(f"{run_id}/{dataset}").alias("reconciliation_id"), F.lit(dataset).alias("dataset"), "source_count",
+                         "raw_count", "staging_count", "mart_count", "rejected_count", "duplicate_count",
+                         F.when(ok, F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
+                         F.lit(reconciled_at).cast("timestamp_ntz").alias("reconciled_at"), F.lit(run_id).alias("run_id"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(root)

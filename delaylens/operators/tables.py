@@ -114,15 +114,25 @@ def upsert_partitions(spark: SparkSession, root: str, stage: str, rebuilt: DataF
     which include ``partition_col``, materialized). Step 1 stages the full new content of the touched
     partitions (rebuilt rows + untouched groups of those partitions, the only ones that are listed
     and read) under ``stage``; step 2 copies the stage over the table with dynamic partition
-    overwrite. A retry finds the stage complete (``_SUCCESS``) and only repeats step 2, so the table
-    is never rebuilt from a half-overwritten partition.
+    overwrite; a touched partition without rows in the stage is removed. A retry finds the stage
+    complete (``_SUCCESS``) and only repeats step 2, so the table is never rebuilt from a
+    half-overwritten partition.
     """
+    touched_parts = dates(touched, partition_col)
     if not path_exists(spark, f"{stage}/_SUCCESS"):
-        current = read_dates(spark, root, rebuilt.schema, partition_col, dates(touched, partition_col))
+        current = read_dates(spark, root, rebuilt.schema, partition_col, touched_parts)
         kept = current.join(touched, matching(current, touched, keys), "left_anti")
         rebuilt.unionByName(kept.select(*rebuilt.columns)).write.mode("overwrite").parquet(stage)
-    rebalanced(spark.read.schema(rebuilt.schema).parquet(stage), partition_col).write.mode("overwrite") \
+    staged = spark.read.schema(rebuilt.schema).parquet(stage)
+    rebalanced(staged, partition_col).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root)
+    for part in set(touched_parts) - set(dates(staged, partition_col)):
+        remove_folder(spark, f"{root.rstrip('/')}/{partition_col}={NULL_PARTITION if part is None else part}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

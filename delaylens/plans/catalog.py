@@ -35,6 +35,7 @@ def register(name: str, oracle: str | None, operators: str):
 def load_all() -> dict[str, Registered]:
     # Importing the modules registers their queries.
     from delaylens.plans import queries_core  # noqa: F401
+    from delaylens.plans import queries_incremental  # noqa: F401
     from delaylens.plans import queries_ingest  # noqa: F401
     from delaylens.plans import queries_model  # noqa: F401
     from delaylens.plans import queries_quality  # noqa: F401

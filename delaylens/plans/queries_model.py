@@ -232,7 +232,7 @@ attached AS (SELECT p.*, f.arrival_delay_minutes AS actual_arrival_delay_minutes
 """
 
 
-def _stored_predictions(spark, sf_dir):
+def stored_predictions(spark, sf_dir):
     """Predictions as stored before actuals exist: holdout stops scored by the fitted means."""
     fact = _shared_fact(spark, sf_dir)
     obs = fact.where(F.col("arrival_delay_minutes").isNotNull())
@@ -257,7 +257,7 @@ SELECT model_name, model_version, train_number, journey_date, station_code, stat
        actual_arrival_delay_minutes, round(absolute_error_minutes, 6) AS absolute_error_minutes
 FROM attached""", "observed", "fact"), "J8")
 def q_prediction_actuals(spark, sf_dir):
-    preds, fact = _stored_predictions(spark, sf_dir)
+    preds, fact = stored_predictions(spark, sf_dir)
     a = baseline.attach_actuals(preds, fact)
     return a.select("model_name", "model_version", *STOP_KEYS,
                     E.round6(F.col("predicted_arrival_delay_minutes")).alias("predicted_arrival_delay_minutes"),
@@ -275,7 +275,7 @@ SELECT model_name, model_version, CAST(prediction_at AS DATE) AS prediction_date
        round(sqrt(avg(power(actual_arrival_delay_minutes - predicted_arrival_delay_minutes, 2))), 6) AS rmse_minutes
 FROM attached GROUP BY 1, 2, 3""", "observed", "fact"), "A18")
 def q_prediction_monitoring(spark, sf_dir):
-    preds, fact = _stored_predictions(spark, sf_dir)
+    preds, fact = stored_predictions(spark, sf_dir)
     return baseline.prediction_monitoring(baseline.attach_actuals(preds, fact))
 
 
@@ -353,7 +353,7 @@ def q_upsert_fact(spark, sf_dir):
     root = scratch_path(spark, "fact_station_arrival")
     tables.rebalanced(old.fact_station_arrival, "journey_date").write.partitionBy("journey_date").parquet(root)
     # Only journeys with a raw record in the 48 h window are rebuilt; only their dates are rewritten.
-    batch = incremental_fact_batch(accepted, spark.read.parquet(root))
+    batch = tables.materialized(incremental_fact_batch(accepted, spark.read.parquet(root)), "fact-batch")
     tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),
                              STOP_KEYS, "journey_date")
     return spark.read.parquet(root).select(*UPSERT_COLS)

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from delaylens.operators import ingest, quality
+from delaylens.operators import ingest, quality, tables
 from delaylens.plans.catalog import register
 from delaylens.plans.model_build import from_fixtures
 from delaylens.plans.oracle_views import UNVALIDATED, oracle
+from delaylens.session import scratch_path
+from delaylens.sources import fixtures
+
+
+#: What several tests of the whole report read: staging, and of the fact the tested columns.
+_SHARED = {"stg_train_running": None, "fact_station_arrival": ["train_number", "journey_date", "station_code", "station_sequence"]}
 
 
-def _models(spark, sf_dir, schedule="schedule_raw"):
+def _models(spark, sf_dir, schedule="schedule_raw", written=None):
     """Models over the rows as they come, so that the tests find what validation removes.
 
-    Raw, staging and fact are each read by several tests: computed once and written.
+    ``written`` names models that several tests read, with the columns they need (None: all): these
+    are computed once and written. All others are read by one test each and stay lazy.
     """
-    m = from_fixtures(spark, sf_dir, schedule, validated=False).materialized("raw_running", "stg_train_running", "fact_station_arrival",
-                                                  "stg_train_schedule")
+    m = from_fixtures(spark, sf_dir, schedule, validated=False)
+    for name, columns in (written or {}).items():
+        df = getattr(m, name)
+        m.__dict__[name] = tables.materialized(df.select(*columns) if columns else df, name)
     return {
         "stg_train_running": m.stg_train_running,
         "raw_train_running_events": ingest.exact_dedupe(m.raw_running),
@@ -138,7 +149,64 @@ SELECT test_name, 'error' AS severity, failed_count,
        CASE WHEN failed_count = 0 THEN 'pass' ELSE 'fail' END AS status FROM r""", *ALL_VIEWS,
                               replace=UNVALIDATED | {"schedule_raw": "schedule_gaps"}), "Q7")
 def q_dq_report(spark, sf_dir):
-    return quality.quality_report(_models(spark, sf_dir, "schedule_gaps"))
+    return quality.quality_report(_models(spark, sf_dir, "schedule_gaps", _SHARED))
+
+
+def _dated_sql() -> str:
+    parts, keys = [], "train_number, journey_date, station_code, station_sequence"
+    for model, view in (("stg_train_running", "stg_train_running"), ("fact_station_arrival", "fact")):
+        for c in quality.NOT_NULL_COLUMNS[model]:
+            if c != "journey_date":
+                parts.append(f"SELECT journey_date, 'not_null_{model}_{c}' AS test_name, count_if({c} IS NULL) AS n FROM {view} GROUP BY 1")
+        parts.append(f"SELECT journey_date, 'unique_combination_{model}_{keys.replace(', ', '_')}', count_if(k > 1) FROM "
+                     f"(SELECT {keys}, count(*) AS k FROM {view} GROUP BY ALL) GROUP BY 1")
+    parts.append("SELECT journey_date, 'assert_actual_arrival_has_schedule', "
+                 "count_if(actual_arrival_at IS NOT NULL AND scheduled_arrival_at IS NULL) FROM stg_train_running GROUP BY 1")
+    parts.append("SELECT journey_date, 'assert_positive_station_sequence', count_if(station_sequence <= 0) FROM stg_train_running GROUP BY 1")
+    parts.append("""SELECT f.journey_date, 'assert_running_fact_references_schedule_stop', count_if(s.train_number IS NULL)
+FROM fact f LEFT JOIN (SELECT DISTINCT train_number, station_code, station_sequence FROM dim_route_stop) s
+  ON f.train_number = s.train_number AND f.station_code = s.station_code AND f.station_sequence = s.station_sequence GROUP BY 1""")
+    return "\nUNION ALL\n".join(parts)
+
+
+#: Dates that each run of the audited checks has touched.
+AUDITED_RUNS = {"first": [dt.date(2024, 9, d) for d in range(1, 16)], "second": [dt.date(2024, 9, 10), dt.date(2024, 9, 20)]}
+
+
+@register("dq_audit", oracle(f"""
+, r AS ({_dated_sql()}),
+runs AS (SELECT 'first' AS run_id, unnest(range(DATE '2024-09-01', DATE '2024-09-16', INTERVAL 1 DAY))::DATE AS journey_date
+         UNION ALL SELECT 'second', unnest([DATE '2024-09-10', DATE '2024-09-20']))
+SELECT run_id, journey_date, test_name, n AS failed_row_count, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM r JOIN runs USING (journey_date)""", *ALL_VIEWS, replace=UNVALIDATED | {"schedule_raw": "schedule_gaps"}), "Q7 Q1 Q3 Q4 Q5 Q6")
+def q_dq_audit(spark, sf_dir):
+    """Two runs append the results of the dates they touched; the second is repeated."""
+    models = _models(spark, sf_dir, "schedule_gaps", _SHARED)
+    root = scratch_path(spark, "quality-audit")
+    for run in ("first", "second", "second"):
+        quality.append_results(quality.dated_report(models, AUDITED_RUNS[run]), root, run, dt.datetime(2024, 10, 1))
+    return spark.read.parquet(root).select("run_id", "journey_date", "test_name", "failed_row_count", "status")
+
+
+@register("reconciliation_audit", oracle("""
+, c AS (SELECT (SELECT count(*) FROM running_raw) AS source_count,
+               (SELECT count(DISTINCT source_record_hash) FROM running_accepted) AS raw_count,
+               (SELECT count(*) FROM running_rejected) AS rejected_count,
+               (SELECT count(*) FROM running_accepted) - (SELECT count(DISTINCT source_record_hash) FROM running_accepted)
+                   AS duplicate_count,
+               (SELECT count(*) FROM stg_train_running) AS staging_count, (SELECT count(*) FROM fact) AS mart_count)
+SELECT 'run-1/running_events' AS reconciliation_id, 'run-1' AS run_id, 'running_events' AS dataset, source_count, raw_count,
+       staging_count, mart_count, rejected_count, duplicate_count,
+       CASE WHEN source_count = raw_count + rejected_count + duplicate_count AND staging_count >= mart_count THEN 'pass'
+            ELSE 'fail' END AS status FROM c""", "running_raw", "running_accepted", "running_rejected", "stg_train_running", "fact"), "A12")
+def q_reconciliation_audit(spark, sf_dir):
+    raw = fixtures.load(spark, sf_dir, "running_raw")
+    checked = ingest.with_rule_check(raw)
+    m = from_fixtures(spark, sf_dir)
+    counts = quality.reconcile_layers(source=raw, checked=checked, staging=m.stg_train_running, mart=m.fact_station_arrival)
+    root = scratch_path(spark, "reconciliation-audit")
+    quality.append_reconciliation(counts, root, "run-1", "running_events", dt.datetime(2024, 10, 1))
+    return spark.read.parquet(root).drop("reconciled_at")
 
 
 @register("leakage_violations", oracle("""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from delaylens.operators.marts import FACT_COLUMNS
+from delaylens.plans import load_run
 from delaylens.plans.catalog import register
 from delaylens.plans.oracle_views import oracle
 from delaylens.plans.queries_ingest import HASHED_COLS, HASHED_SQL, SNAP_SQL
@@ -54,3 +56,33 @@ def q_stream_daily_trend(spark, sf_dir):
                             scratch_path(spark, "stage_trend"), out, scratch_path(spark, "ckpt-trend"), schema, max_files=2)
     return spark.read.parquet(out).select("journey_date", F.col("observations").cast("long").alias("observations"),
                                           "average_delay_minutes", "median_delay_minutes")
+
+
+@register("archive_audit", oracle(SNAP_SQL + """
+SELECT 4 AS runs, 1 AS failures, CAST(count_if(http_status = 200) AS BIGINT) AS received,
+       CAST(count_if(http_status <> 200) AS BIGINT) AS rejected,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM snap_h)) AS inserted FROM snapshot_payload""", "snapshot_payload"), "K4 R1 T20")
+def q_archive_audit(spark, sf_dir):
+    """Four triggers; the second fails before it stores its rows, and is replayed when the job is
+    started again."""
+    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "audited-snapshots", 8)
+    paths = load_run.LoadPaths("", "", scratch_path(spark, "archive-audit"))
+    archive, checkpoint = scratch_path(spark, "audited-archive"), scratch_path(spark, "ckpt-audited")
+    failures = []
+
+    def fail_once(batch_id: int) -> None:
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("the store is away")
+
+    run = lambda: jobs.snapshot_archive(spark, landing, archive, checkpoint, schema, max_files=2, audit=paths, before_store=fail_once)
+    try:
+        run()
+    except StreamingQueryException:
+        run()
+    events = spark.read.schema(load_run.AUDIT_SCHEMA).parquet(paths.audit_root)
+    failed = events.agg(F.count_if(F.col("status") == "failed").cast("int")).scalar()
+    done = load_run.read_audit(spark, paths.audit_root).where(F.col("status") == "succeeded")
+    return done.agg(F.count(F.lit(1)).cast("int").alias("runs"), failed.alias("failures"),
+                    F.sum("records_received").alias("received"), F.sum("records_rejected").alias("rejected"),
+                    F.sum("records_inserted").alias("inserted"))

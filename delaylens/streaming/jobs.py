@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylens.operators import ingest, kpi, tables
+from delaylens.plans import load_run
 from delaylens.plans.model_build import Models
 from delaylens.sources import payloads
 
@@ -64,23 +65,60 @@ def _earlier(spark: SparkSession, root: str, schema: T.StructType, date_col: str
 
 
 def _store_new(spark: SparkSession, batch: DataFrame, root: str, date_col: str, batch_id: int,
-               key: str = "source_record_hash") -> None:
-    """K1 for a materialized batch: append the rows whose key no earlier batch has stored."""
-    present = _earlier(spark, root, batch.schema, date_col, tables.dates(batch, date_col), batch_id)
+               key: str = "source_record_hash") -> list:
+    """K1 for a materialized batch: append the rows whose key no earlier batch has stored. Returns the
+    batch's dates."""
+    days = tables.dates(batch, date_col)
+    present = _earlier(spark, root, batch.schema, date_col, days, batch_id)
     tables.append_batch(tables.insert_only(present, batch, key), root, date_col, batch_id)
+    return days
 
 
 # --------------------------------------------------------------------------- R1
+ARCHIVE_DATASET = "live_status_snapshots"
+
+
 def snapshot_archive(spark: SparkSession, landing: str, archive: str, checkpoint: str,
                      landing_schema: T.StructType, max_files: int | None = None,
-                     available_now: bool = True):
-    """Arriving status payload files -> flatten (S4) -> hash -> insert-only append (K1)."""
+                     available_now: bool = True, audit: load_run.LoadPaths | None = None,
+                     source_name: str = "live_status_feed", before_store=None):
+    """Arriving status payload files -> flatten (S4) -> hash -> insert-only append (K1).
+
+    With ``audit`` every micro-batch is a run there (K4): ``running``, then ``succeeded`` with what was
+    received (HTTP 200), rejected (other responses, T20), valid, distinct, inserted and already present,
+    or ``failed`` with its message; a batch that is replayed after a failure goes on as the same run.
+    ``before_store(batch_id)`` is called between counting and storing.
+    """
     stream = _stream(spark, landing, landing_schema, max_files)
 
     def archive_batch(batch: DataFrame, batch_id: int) -> None:
-        # The hash covers retrieved_at: earlier snapshots of the same retrieval days are enough.
-        flat = payloads.flatten_live_status(batch).withColumn("retrieved_date", F.to_date("retrieved_at"))
-        _store_new(spark, tables.materialized(flat, "snapshot-batch"), archive, "retrieved_date", batch_id)
+        run_id, counters = f"archive-{batch_id}", None
+
+        def tell(status: str, error: str | None = None) -> None:
+            if audit:
+                load_run.audit_event(spark, audit, run_id, source_name, status, counters, error, ARCHIVE_DATASET)
+
+        tell("running")
+        try:
+            # The hash covers retrieved_at: earlier snapshots of the same retrieval days are enough.
+            flat = payloads.flatten_live_status(batch).withColumn("retrieved_date", F.to_date("retrieved_at"))
+            flat = tables.materialized(flat, "snapshot-batch")
+            if audit:
+                counters = payloads.live_status_counts(batch).first().asDict()
+                counters["valid"] = counters["received"]
+                counters["distinct_valid"] = flat.select("source_record_hash").distinct().count()
+            if before_store:
+                before_store(batch_id)
+            days = _store_new(spark, flat, archive, "retrieved_date", batch_id)
+            if audit:
+                schema = T.StructType([*flat.schema.fields, T.StructField("batch_id", T.LongType())])
+                stored = tables.read_dates(spark, archive, schema, "retrieved_date", days)
+                counters["inserted"] = stored.where(F.col("batch_id") == batch_id).count()
+                counters["already_present"] = counters["distinct_valid"] - counters["inserted"]
+            tell("succeeded")
+        except Exception as exc:
+            tell("failed", str(exc))
+            raise
 
     return _run(stream.writeStream.foreachBatch(archive_batch), checkpoint, available_now)
 
