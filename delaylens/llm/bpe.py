@@ -4,8 +4,9 @@ A text is cut by the tokenizer's pattern into pre-tokens, each encoded by itself
 pre-tokens of a block of texts that a task has not met yet are resolved together:
 
 * First tier: a minimal perfect hash over the vocabulary finds those that are whole tokens. It maps
-  n keys to n slots (levels of bits in which keys without a rival stay, ranks count the bits), the
-  slot's token is compared with the pre-token, so strangers are never taken for tokens.
+  n keys to n slots (levels in which keys without a rival stay; a level's table holds the slot of
+  each of its places), the slot's token is compared with the pre-token, so strangers are never taken
+  for tokens.
 * Second tier: the others are merged from bytes, a heap giving the lowest rank and leftmost pair,
   the segments being a linked list.
 
@@ -20,11 +21,11 @@ Only the id and text columns are read. Lone surrogates can't occur in Spark's st
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from heapq import heapify, heappop, heappush
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ class PerfectHash:
             size = max(4, int(gamma * len(rest)))
             at = self._place(rest, len(self.sizes), size)
             single = np.bincount(at, minlength=size) == 1
-            # A set bit's slot is the number of set bits before it, over all levels.
+            # A key's slot is the number of keys that stay before it, over all levels.
             self.slots.append(np.where(single, taken + np.cumsum(single) - 1, -1).astype(np.int32))
             self.sizes.append(size)
             taken += int(single.sum())
@@ -149,73 +150,88 @@ def pieces(text: str, size: int) -> Iterator[str]:
 
 
 class Encoder:
-    """The two-tier lookup of one vocabulary."""
+    """The two-tier lookup of one vocabulary. Ids are little-endian 32-bit integers in bytes.
 
-    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 100_000):
+    What pre-tokens came to is remembered, over the tasks of a worker process too, for ``memo_size`` of
+    them at most (about 200 bytes each).
+    """
+
+    def __init__(self, tokens: list[bytes], pattern: str, memo_size: int = 600_000):
         import xxhash
 
         self.split = Splitter(pattern)
         self.tokens = tokens
-        self.ranks = {t: i for i, t in enumerate(tokens)}
         self.digest = xxhash.xxh64_intdigest
         self.hash = PerfectHash(self._hashes(tokens))
         self.rank_at = np.zeros(len(tokens), dtype=np.int64)
         self.rank_at[self.hash.find(self._hashes(tokens))] = np.arange(len(tokens))
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.raw = [r.to_bytes(4, "little") for r in range(len(tokens))]
+        # Which neighbours make a token: (left rank, right rank) -> rank.
+        ranks = {t: i for i, t in enumerate(tokens)}
+        self.bytes = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.pairs = {(left, right): rank for token, rank in ranks.items() for k in range(1, len(token))
+                      if (left := ranks.get(token[:k])) is not None and (right := ranks.get(token[k:])) is not None}
+        self.memo: dict[str, bytes] = {}
         self.memo_size = memo_size
 
     def _hashes(self, keys: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.digest, keys), dtype=np.uint64, count=len(keys))
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Merge the bytes of a pre-token by rank: heap of pairs, linked segments."""
-        ranks, n = self.ranks, len(piece)
-        end = list(range(1, n + 1))      # of the segment that starts here; 0 once swallowed
-        before = list(range(-1, n - 1))  # start of the segment before
-
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
-        heapq.heapify(heap)
+    def merge(self, piece: bytes) -> bytes:
+        """Merge the bytes of a pre-token by rank: a heap of (rank, left, stop) pairs in one integer
+        each, segments as a linked list."""
+        n, pair = len(piece), self.pairs.get
+        rank = [*map(self.bytes.__getitem__, piece)]  # of the segment that starts here
+        bits = n.bit_length()
+        mask, shift = (1 << bits) - 1, 2 * bits
+        heap = [r << shift | i << bits | i + 2 for i, r in enumerate(map(pair, zip(rank, rank[1:]))) if r is not None]
+        heapify(heap)
+        end = [*range(1, n + 1)]     # of the segment; 0 once swallowed
+        before = [*range(-1, n - 1)]  # start of the segment before
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            best = heappop(heap)
+            i, stop = best >> bits & mask, best & mask
             right = end[i]
             if not right or right >= n or end[right] != stop:
                 continue  # one of the two has changed since
+            rank[i] = merged = best >> shift
             end[i], end[right] = stop, 0
             if stop < n:
                 before[stop] = i
-                if (r := ranks.get(piece[i : end[stop]])) is not None:
-                    heapq.heappush(heap, (r, i, end[stop]))
-            if (left := before[i]) >= 0 and (r := ranks.get(piece[left:stop])) is not None:
-                heapq.heappush(heap, (r, left, stop))
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : end[i]]])
-            i = end[i]
-        return tuple(out)
+                if (r := pair((merged, rank[stop]))) is not None:
+                    heappush(heap, r << shift | i << bits | end[stop])
+            if i and (r := pair((rank[before[i]], merged))) is not None:
+                heappush(heap, r << shift | before[i] << bits | stop)
+        raw = self.raw
+        return b"".join([raw[r] for r, e in zip(rank, end) if e])
 
     def resolve(self, words: list[str]) -> None:
         """Put the ids of new distinct pre-tokens into the memo."""
         if not words:
             return
-        raw = [w.encode("utf-8") for w in words]
-        slots = self.hash.find(self._hashes(raw))
+        keys = [w.encode("utf-8") for w in words]
+        slots = self.hash.find(self._hashes(keys))
         ranks = self.rank_at[slots].tolist()
-        for word, key, slot, rank in zip(words, raw, slots.tolist(), ranks):
-            self.memo[word] = (rank,) if slot >= 0 and self.tokens[rank] == key else self.merge(key)
+        for word, key, slot, rank in zip(words, keys, slots.tolist(), ranks):
+            self.memo[word] = self.raw[rank] if slot >= 0 and self.tokens[rank] == key else self.merge(key)
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode_raw(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text of a block; a text beyond the block size is taken piece by piece."""
         if len(texts) > 1 or len(texts[0] or "") <= BLOCK_CHARS:
             return self._encode([t or "" for t in texts])
-        return [list(chain.from_iterable(self._encode([p])[0] for p in pieces(texts[0], BLOCK_CHARS)))]
+        return [b"".join([self._encode([p])[0] for p in pieces(texts[0], BLOCK_CHARS)])]
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """As ``encode_raw``, in lists."""
+        return [np.frombuffer(x, dtype="<i4").tolist() for x in self.encode_raw(texts)]
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+    def _encode(self, texts: list[str]) -> list[bytes]:
         found = [self.split(t) for t in texts]
-        if len(self.memo) > self.memo_size:
-            self.memo.clear()
+        if len(self.memo) > self.memo_size:  # the older half goes
+            self.memo = dict(islice(self.memo.items(), len(self.memo) // 2, None))
         self.resolve(list(set().union(*found) - self.memo.keys()))
         look = self.memo.__getitem__
-        return [list(chain.from_iterable(map(look, f))) for f in found]
+        return [b"".join(map(look, f)) for f in found]
 
 
 @lru_cache(maxsize=2)
@@ -234,12 +250,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         encoder = _encoder(shared.value, pattern)
         for part in parts:
             for some in blocks_of(part, 1):
-                lists = encoder.encode(strings(some.column(1)))
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.cumsum([0, *map(len, lists)]), type=pa.int32()),
-                    pa.array(np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=sum(map(len, lists)))))
+                raw = encoder.encode_raw(strings(some.column(1)))
+                offsets = np.cumsum([0, *map(len, raw)]) // 4
+                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(raw))])
+                ids = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([some.column(0), ids], names=["id", "ids"])
-        encoder.memo.clear()  # the worker process lives on, perhaps idle
 
     return slim.transform(arrow_map, encoded, f"id {id_type}, ids array<int>").toDF(id_col, out)
 
@@ -251,13 +266,17 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str =
     schema = StructType([*encoded.schema.fields, StructField(out, BinaryType())])
 
     def decoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
+        # Ids are looked up in one array of all tokens; the bytes of a row's tokens lie side by side.
+        tokens = pa.array(shared.value, type=pa.large_binary())
         for part in parts:
             column = part.column(at)
             values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
             if len(values) and (values.min() < 0 or values.max() >= len(tokens)):
                 raise ValueError("an id is not in the vocabulary")
-            raw = [b"".join(map(tokens.__getitem__, values[a:b].tolist())) for a, b in zip(offsets[:-1], offsets[1:])]
+            raw = []
+            for a, b in zip(offsets[:-1], offsets[1:]):
+                found = tokens.take(pa.array(values[a:b]))
+                raw.append(found.buffers()[2].to_pybytes() if b > a else b"")
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, type=pa.binary())],
                                              names=[*part.schema.names, out])
 
