@@ -56,7 +56,7 @@ class PhraseParams:
     min_count: int = 30
     covered: int = 80
     top: int = 2000
-    shard_bytes: int = 24 << 20
+    shard_bytes: int = 16 << 20
     range_bytes: int = 8 << 20
     samples: int = 40
     lookups: int = 200_000
