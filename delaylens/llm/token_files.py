@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ SAMPLE = 256
 @dataclass(frozen=True)
 class FileParams:
     file_ids: int = 8_000_000    # a file is closed once it has so many ids
-    memo_size: int = 200_000     # words a task remembers
+    memo_size: int = 400_000     # parts of texts a worker remembers, and twice as many words
 
 
 def pack(ends: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -189,9 +190,11 @@ class WordIds:
         self.tokenizer.no_padding()
         self.memo: dict[str, bytes] = {}      # part -> ids
         self.plain: dict[str, bytes] = {}     # lower-case word -> ids
-        self.memo_size, self.plain_size = memo_size, 3 * memo_size
+        self.memo_size, self.plain_size = memo_size, 2 * memo_size
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        width = np.dtype(self.kind).itemsize
+        self.raw = [i.to_bytes(width, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
         # What the shortcut relies on; another kind of tokenizer takes every part as a whole.
         probe = ["été", "Straße", "the", "NIÑO"]
         self.direct = [[t.id for t in self.model.tokenize(w.lower().encode().decode("latin-1").translate(self.letters))] for w in probe] == [
@@ -203,7 +206,7 @@ class WordIds:
         """The ids of each text as bytes of the file's id width."""
         parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         if len(self.memo) > self.memo_size:
-            self.memo.clear()
+            self.memo = _newer_half(self.memo)
         self._resolve(set().union(*parts).difference(self.memo))
         look = self.memo.__getitem__
         return [b"".join(map(look, p)) for p in parts]
@@ -211,7 +214,7 @@ class WordIds:
     def _resolve(self, new: set[str]) -> None:
         """Put the ids of new parts into the memo."""
         if len(self.plain) > self.plain_size:
-            self.plain.clear()
+            self.plain = _newer_half(self.plain)
         plain, rest = self.plain, []
         for part in new:
             word, end = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
@@ -220,7 +223,7 @@ class WordIds:
                 ids = plain.get(word)
                 if ids is None:
                     raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                    ids = plain[word] = np.array([t.id for t in self.model.tokenize(raw)], dtype=self.kind).tobytes()
+                    ids = plain[word] = b"".join([self.raw[t.id] for t in self.model.tokenize(raw)])
                 self.memo[part] = ids + self.signs[end] if end else ids
             else:
                 rest.append(part)
@@ -230,6 +233,10 @@ class WordIds:
                 self.memo[part] = np.array(e.ids, dtype=self.kind).tobytes()
 
 
+def _newer_half(memo: dict) -> dict:
+    return dict(islice(memo.items(), len(memo) // 2, None))
+
+
 def _byte_letters() -> dict[int, str]:
     """How byte-level tokenizers write bytes as letters: printable ones stand for themselves, the
     others follow from 256 on."""
