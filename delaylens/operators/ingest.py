@@ -188,23 +188,18 @@ def load_counters(checked: DataFrame, target: DataFrame, key: str = "source_reco
         F.count_if(F.col("rules_ok")).alias("valid"),
         F.count_if(~F.col("rules_ok")).alias("rejected"),
     )
-    # Distinct valid hashes, each flagged when the target already holds it: one left join,
-    # then one small aggregate. The target holds a key once (K1).
+    # Distinct valid hashes, and those of them that the target holds: a semi join, which takes a target
+    # with repeated keys as it is.
     distinct_valid = checked.where(F.col("rules_ok")).select(key).distinct()
-    target_keys = target.select(key).withColumn("_present", F.lit(True))
-    flagged = distinct_valid.join(target_keys, key, "left")
-    per_key = flagged.agg(
-        F.count(F.lit(1)).alias("distinct_valid"),
-        F.count_if(F.col("_present").isNotNull()).alias("already_present"),
-    )
-    # Two one-row aggregates combined as scalar subqueries (no join).
+    known = distinct_valid.join(target.select(key), key, "left_semi")
+    n_distinct = distinct_valid.agg(F.count(F.lit(1)).cast("long")).scalar()
+    n_known = known.agg(F.count(F.lit(1)).cast("long")).scalar()
+    # One-row aggregates combined as scalar subqueries (no join).
     return totals.select(
         F.col("received").cast("long"),
         F.col("valid").cast("long"),
         F.col("rejected").cast("long"),
-        per_key.select(F.col("distinct_valid").cast("long")).scalar().alias("distinct_valid"),
-        per_key.select((F.col("distinct_valid") - F.col("already_present")).cast("long")).scalar().alias("inserted"),
-        per_key.select(F.col("already_present").cast("long")).scalar().alias("already_present"),
+        n_distinct.alias("distinct_valid"), (n_distinct - n_known).alias("inserted"), n_known.alias("already_present"),
     )
 
 
