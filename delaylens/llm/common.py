@@ -112,12 +112,12 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str | None]:
 BLOCK_CHARS = 500_000
 
 
-def blocks_of(part: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``BLOCK_CHARS`` bytes of text each, one row at least."""
+def blocks_of(part: pa.RecordBatch, text_at: int, chars: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``chars`` bytes of text each, one row at least."""
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(part.column(text_at)), 0).to_numpy()
-    block = np.cumsum(sizes) // BLOCK_CHARS
+    block = np.cumsum(sizes) // chars
     edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), part.num_rows]
     for a, b in zip(edges[:-1], edges[1:]):
         if b > a:

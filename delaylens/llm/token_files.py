@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import islice
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,7 @@ SAMPLE = 256
 class FileParams:
     file_ids: int = 8_000_000    # a file is closed once it has so many ids
     memo_size: int = 400_000     # parts of texts a worker remembers, and twice as many words
+    block_chars: int = 4_000_000 # texts that are encoded together: a part that they repeat is looked up once
 
 
 def pack(ends: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -215,24 +217,41 @@ class WordIds:
         """Put the ids of new parts into the memo."""
         if len(self.plain) > self.plain_size:
             self.plain = _newer_half(self.plain)
-        plain, rest = self.plain, []
+        plain, rest, memo, signs = self.plain, [], self.memo, self.signs
+        known, cut, of_token = self.raw.__getitem__, self.model.tokenize, attrgetter("id")
+        if not self.direct:
+            rest, new = list(new), set()
         for part in new:
-            word, end = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
-            if self.direct and word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+            end = b""
+            word = part
+            if not part.isalpha():
+                word, end = part[:-1], signs.get(part[-1:])
+                if end is None or not word.isalpha():
+                    rest.append(part)
+                    continue
+            if word.isascii():
+                raw = word = word.lower()
+                ids = plain.get(word)
+            elif _LATIN.issuperset(word):
                 word = word.lower()
                 ids = plain.get(word)
-                if ids is None:
-                    raw = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                    ids = plain[word] = b"".join([self.raw[t.id] for t in self.model.tokenize(raw)])
-                self.memo[part] = ids + self.signs[end] if end else ids
+                raw = word.encode().decode("latin-1").translate(self.letters) if ids is None else ""
             else:
                 rest.append(part)
+                continue
+            if ids is None:
+                ids = plain[word] = b"".join(map(known, map(of_token, cut(raw))))
+            memo[part] = ids + end
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
-            for part, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            for part, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self.memo[part] = np.array(e.ids, dtype=self.kind).tobytes()
 
 
+#: Letters below the phonetic ones whose lower case is one letter too.
+_LATIN = frozenset(map(chr, range(0x250))) - {"\u0130"}
+
+
 def _newer_half(memo: dict) -> dict:
     return dict(islice(memo.items(), len(memo) // 2, None))
 
@@ -288,7 +307,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
         def rows() -> Iterator[tuple]:
             nonlocal held, names, size, seq
             for part in parts:
-                for some in blocks_of(part, 1):
+                for some in blocks_of(part, 1, p.block_chars):
                     coded = tokenizer.encode([t or "" for t in some.column(1).to_pylist()])
                     for doc, ids in zip(some.column(0).to_pylist(), coded):
                         held.append(ids + end)
