@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -141,12 +141,15 @@ def _batch(block: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(list(c), type=f.type) for c, f in zip(zip(*block), schema)], schema=schema)
 
 
-def with_native_shingles(df: DataFrame, text_col: str, out: str, size_out: str | None = None) -> DataFrame:
+def with_native_shingles(df: DataFrame, text_col: str, out: str, size_out: str | None = None,
+                         short: Sequence[int] = ()) -> DataFrame:
     """Add ``out``: 64-bit hashes of the five-word shingles in text order, by built-in functions.
 
     Words are lower-case runs of letters and digits. Fewer than five words give one shingle of all
     of them; null or no words give an empty array. ``size_out`` is the number of words. Neighbours
-    are paired by shifted arrays, so the work is in proportion to the text.
+    are paired by shifted arrays, so the work is in proportion to the text. For each length in
+    ``short`` (under five) the runs of so many words in longer texts follow, hashed like a text of
+    just these words.
     """
     w, a, n, two, four = (f"__{x}_{out}" for x in ("words", "hashes", "size", "two", "four"))
     pair = lambda x, y: F.xxhash64(x, y)
@@ -162,6 +165,12 @@ def with_native_shingles(df: DataFrame, text_col: str, out: str, size_out: str |
                                               F.greatest(F.col(n) - 4, F.lit(0))))
                           .when(F.col(n) > 0, F.array(F.xxhash64(F.concat_ws(" ", F.col(w)))))
                           .otherwise(F.array().cast("array<bigint>"))))
+    for size in short:
+        joined = F.col(w)
+        for k in range(2, size + 1):
+            joined = F.zip_with(joined, shifted(w, k), lambda x, y: F.concat(x, F.lit(" "), y))
+        more = F.transform(F.slice(joined, F.lit(1), F.greatest(F.col(n) - size + 1, F.lit(0))), lambda x: F.xxhash64(x))
+        out_df = out_df.withColumn(out, F.when(F.col(n) > size, F.concat(F.col(out), more)).otherwise(F.col(out)))
     if size_out:
         out_df = out_df.withColumn(size_out, F.col(n))
     return out_df.drop(w, a, n, two, four)

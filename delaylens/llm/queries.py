@@ -101,8 +101,15 @@ _SHINGLES_SQL = """
               FROM (%s)) WHERE len(w) > 0)
 """
 
+_WORDS_SQL = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+
+#: Items of fewer than five words are one shingle; documents are looked up by runs of these lengths too.
 OP5_SQL = f"""
-WITH d AS ({_SHINGLES_SQL % "SELECT doc_id AS id, text FROM documents"}),
+WITH s AS (SELECT DISTINCT len({_WORDS_SQL}) AS n FROM benchmark),
+x AS (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT doc_id AS id, {_WORDS_SQL} AS w FROM documents), s
+      WHERE n BETWEEN 1 AND 4 AND len(w) > n),
+d AS ({_SHINGLES_SQL % "SELECT doc_id AS id, text FROM documents"}
+      UNION SELECT id, array_to_string(w[k : k + n - 1], ' ') FROM x),
 i AS ({_SHINGLES_SQL % "SELECT item_id AS id, text FROM benchmark"}),
 q AS (SELECT id, count(*) AS n FROM i GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, CAST(count(*) AS INT) AS n_found, CAST(any_value(q.n) AS INT) AS n_shingles,
