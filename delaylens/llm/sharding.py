@@ -68,7 +68,8 @@ def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str =
     kept = ["__id", "n_bytes", *(["__carry"] if carry else [])]
     while True:
         where = _directory(rows, start, count, limit, f"shard-bits-{start}")
-        placed = rows.withColumn("fine", _bits(start, count)).join(where, ["__path", "fine"])
+        # The directory grows with the input: both sides are dealt by prefix, never broadcast.
+        placed = rows.withColumn("fine", _bits(start, count)).join(where.hint("merge"), ["__path", "fine"])
         bits = F.when(F.col("leaf.depth") > 0, F.lpad(F.bin("leaf.prefix"), F.col("leaf.depth"), F.lit("0"))).otherwise("")
         leaf = placed.where("leaf is not null").select(
             *kept, F.concat(F.lit("s"), "__path", bits).alias("shard"),
