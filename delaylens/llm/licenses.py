@@ -9,8 +9,9 @@ candidates; the exact containment of the template's shingles in the window decid
 
 A band of a window can equal a template's only if the window holds the template's smallest shingle
 in that band. So documents without any such shingle are passed over, and only windows around one are
-hashed: this changes no result. Everything runs on built-in functions; templates are a parameter,
-their shingles are literals of the plan.
+hashed: this changes no result. Everything runs on built-in functions; templates are a parameter of
+any length, whole license texts included. Their shingles lie in a table that candidates are joined
+with; the plan holds only the smallest shingle per band (some fifty) of each.
 
 Defined results: null text is an empty text; documents or templates without words match nothing; a
 template of fewer than five words matches documents of just those words; rows that share an id are
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ TEMPLATES = (
 class ScanParams:
     similarity: float = NEAR
     miss: float = 1e-4      # chance to pass over a window that holds a template
-    segment: int = 4096     # shingles of a long document that are taken together
+    segment: int = 4096     # shingles of a long document that are taken together, at least one window's step
 
     def bands(self, size: int) -> int:
         """Bands for templates of more than size/2 and at most ``size`` shingles."""
@@ -60,24 +62,17 @@ class ScanParams:
         return math.ceil(math.log(self.miss) / math.log(1 - j))
 
 
-def _size_class(n: int) -> int:
-    return 1 << max(0, (n - 1).bit_length())
-
-
-def _templates(spark: SparkSession, templates, p: ScanParams) -> list[tuple[int, str, list[int], list[int]]]:
-    """(size class, name, distinct shingles, smallest shingle per band) of each template."""
-    if not templates:
-        return []
+def _templates(spark: SparkSession, templates, p: ScanParams) -> DataFrame:
+    """(template, name, size, sh, least) of the distinct templates that have words: a key, the size
+    class, the distinct shingles, and the smallest shingle of every band that any class may need."""
     raw = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(text).alias("text"))
                                                     for name, text in templates))).alias("t")).select("t.*")
-    sets = with_native_shingles(raw, "text", "runs").select("name", F.array_sort(F.array_distinct("runs")).alias("sh"))
-    out = []
-    for name, sh in sorted(set((r.name, tuple(r.sh)) for r in sets.collect() if r.sh)):
-        size = _size_class(len(sh))
-        hashed = spark.range(1).select(*(_least_by(F.array(*(F.lit(h) for h in sh)), b).alias(f"b{b}")
-                                         for b in range(p.bands(size)))).first()
-        out.append((size, name, list(sh), list(hashed)))
-    return out
+    sets = written(with_native_shingles(raw, "text", "runs").select("name", F.array_sort(F.array_distinct("runs")).alias("sh"))
+                   .where(F.size("sh") > 0), "license-shingles")
+    size = F.when(F.size("sh") > 1, F.expr("shiftleft(1, length(bin(size(sh) - 1)))")).otherwise(1)
+    least = F.array(*(_least_by(F.col("sh"), b) for b in range(p.bands(1 << 30))))
+    return written(sets.select(F.xxhash64("name", "sh").alias("template"), "name", size.alias("size"), "sh", least.alias("least"))
+                   .dropDuplicates(["template"]), "license-templates")
 
 
 def _order(h, band: int):
@@ -93,51 +88,45 @@ def scan(docs: DataFrame, templates=TEMPLATES, p: ScanParams = ScanParams(), id_
          text_col: str = "text") -> DataFrame:
     """(id, license, n_found, n_shingles, containment, first_word): per document and template, the
     most of its shingles in one window and the word at which the first such window starts."""
-    spark = docs.sparkSession
-    known = _templates(spark, templates, p)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    named = "id, name, n_found, n_shingles, first_word"
-    none = slim.select("id", F.lit("").alias("name"), F.lit(0).alias("n_found"), F.lit(1).alias("n_shingles"),
-                       F.lit(0).alias("first_word")).where(F.lit(False))
-    matches = none
+    table = _templates(docs.sparkSession, templates, p) if templates else None
+    # The driver holds a key and some fifty shingles of each template; the rest stays in the table.
+    known = sorted((r["size"], r["template"], r["least"][: p.bands(r["size"])])
+                   for r in table.select("size", "template", "least").collect()) if templates else []
+    if not known:
+        return slim.select(F.col("id").alias(id_col), F.lit("").alias("license"), F.lit(0).alias("n_found"),
+                           F.lit(0).alias("n_shingles"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).where(F.lit(False))
     runs = with_native_shingles(slim, "text", "runs").select("id", "runs")
-    anchors = sorted({h for _, _, _, least in known for h in least})
-    if anchors:
-        runs = runs.where(F.exists("runs", lambda h: h.isin(anchors)))
+    anchors = sorted({h for _, _, least in known for h in least})
+    runs = runs.where(F.exists("runs", lambda h: h.isin(anchors)))
     classes = sorted({size for size, *_ in known})
-    window = 2 * classes[-1] if classes else 2
+    window = 2 * classes[-1]
     # Long documents in segments, which overlap by a window: slices of a whole document for every
-    # window would cost its length each.
-    count = F.greatest(F.ceil(F.size("runs") / p.segment), F.lit(1)).cast("int")
-    segments = (runs.withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * p.segment)))
-                .select("id", "at", F.slice("runs", F.col("at") + 1, p.segment + window).alias("runs")))
+    # window would cost its length each. A segment holds whole windows of every class.
+    segment = classes[-1] * math.ceil(p.segment / classes[-1])
+    count = F.greatest(F.ceil(F.size("runs") / segment), F.lit(1)).cast("int")
+    segments = (runs.withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * segment)))
+                .select("id", "at", F.slice("runs", F.col("at") + 1, segment + window).alias("runs")))
     # The documents are read and cut once for all classes; only those with an anchor are kept.
     segments = written(segments, "license-segments")
     per_class = []
     for size in classes:
-        here = [(i, name, sh, least) for i, (c, name, sh, least) in enumerate(known) if c == size]
-        marks = sorted({h for _, _, _, least in here for h in least})
+        here = [(key, least) for c, key, least in known if c == size]
+        marks = sorted({h for _, least in here for h in least})
         # Windows k*size .. (k+2)*size with a marked shingle, by the place where they start.
         hit = F.filter(F.transform("runs", lambda h, i: F.when(h.isin(marks), (i / size).cast("int"))), lambda k: k.isNotNull())
-        starts = F.array_distinct(F.filter(F.flatten(F.transform(hit, lambda k: F.array(k, k - 1))), lambda k: (k >= 0) & (k < p.segment // size)))
+        starts = F.array_distinct(F.filter(F.flatten(F.transform(hit, lambda k: F.array(k, k - 1))), lambda k: (k >= 0) & (k < segment // size)))
         placed = segments.select("id", "at", "runs", F.explode(starts).alias("k"))
         sets = placed.select("id", (F.col("at") + F.col("k") * size).alias("first_word"),
                              F.array_distinct(F.slice("runs", F.col("k") * size + 1, 2 * size)).alias("set"))
         signed = sets.select("id", "first_word", "set", F.array(*(_least_by(F.col("set"), b) for b in range(p.bands(size)))).alias("sig"))
         shares = [F.when(F.exists(F.arrays_zip(F.col("sig").alias("a"), F.array(*(F.lit(h) for h in least)).alias("b")),
-                                  lambda z: z["a"] == z["b"]), F.lit(i)) for i, _, _, least in here]
+                                  lambda z: z["a"] == z["b"]), F.lit(key).cast("long")) for key, least in here]
         per_class.append(signed.select("id", "first_word", "set", F.explode(F.array_compact(F.array(*shares))).alias("template")))
-    if known:
-        candidates = per_class[0]
-        for more in per_class[1:]:
-            candidates = candidates.union(more)
-        shingles = F.array(*(F.array(*(F.lit(h) for h in sh)) for _, _, sh, _ in known))
-        names = F.array(*(F.lit(name) for _, name, _, _ in known))
-        of = F.element_at(shingles, F.col("template") + 1)
-        matches = candidates.select(
-            "id", F.element_at(names, F.col("template") + 1).alias("name"), F.size(F.array_intersect("set", of)).alias("n_found"),
-            F.size(of).alias("n_shingles"), "first_word").where(
-            F.col("n_found") >= F.col("n_shingles") * F.lit(p.similarity) - F.lit(1e-9)).selectExpr(*named.split(", "))
+    candidates = reduce(DataFrame.union, per_class)
+    found = candidates.join(table.select("template", "name", "sh"), "template").select(
+        "id", "name", F.size(F.array_intersect("set", "sh")).alias("n_found"), F.size("sh").alias("n_shingles"), "first_word")
+    matches = found.where(F.col("n_found") >= F.col("n_shingles") * F.lit(p.similarity) - F.lit(1e-9))
     return (matches.groupBy("id", "name", "n_shingles").agg(F.max("n_found").alias("n_found"), F.min("first_word").alias("first_word"))
             .select(F.col("id").alias(id_col), F.col("name").alias("license"), "n_found", "n_shingles",
                     (F.col("n_found") / F.col("n_shingles")).alias("containment"), "first_word"))

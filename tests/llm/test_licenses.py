@@ -44,3 +44,27 @@ def test_short_templates_and_bands(workers):
     assert [r.doc_id for r in L.scan(df, [("ARR", "All rights reserved.")]).collect()] == [1]
     p = L.ScanParams()
     assert all((1 - p.similarity * (s // 2 + 1) / (2 * s + (s // 2 + 1) * (1 - p.similarity))) ** p.bands(s) <= p.miss for s in (1, 2, 8, 64))
+
+
+def test_whole_license_texts_equal_brute_force(workers):
+    rng = random.Random(5)
+    texts = {n: [f"w{rng.randrange(4000)}" for _ in range(n)] for n in (6000, 2500)}
+    templates = [(f"L{n}", " ".join(w)) for n, w in texts.items()]
+    rows = []
+    for n, w in texts.items():
+        for every in (10**9, 40, 20):  # a changed word takes five shingles
+            for before in (0, 9000):
+                rows.append((len(rows), " ".join([f"x{k}" for k in range(before)] + [v if k % every else "new" for k, v in enumerate(w)])))
+    got = {(r.doc_id, r.license, r.n_found, r.n_shingles, r.first_word)
+           for r in L.scan(workers.createDataFrame(rows, "doc_id long, text string"), templates).collect()}
+    runs = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    want = set()
+    for doc, text in rows:
+        for n, w in texts.items():
+            of, mine, size = set(runs(w)), runs(text.split()), 1 << (n - 5).bit_length()
+            found = {at: len(of & set(mine[at : at + 2 * size])) for at in range(0, len(mine), size)}
+            # Windows with four fifths of the template; the first of them is reported.
+            ok = {at: f for at, f in found.items() if f >= 0.8 * len(of) - 1e-9}
+            if ok:
+                want.add((doc, f"L{n}", max(ok.values()), len(of), min(ok)))
+    assert got == want and len(want) == 8
