@@ -91,7 +91,9 @@ def _cells(clean: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
 
     def placed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piv = shared.value
-        apart = np.sqrt(np.maximum(((piv[:, None] - piv[None]) ** 2).sum(2), 0)) if len(piv) <= 512 else None
+        # Distances between pivots, a row for each home that occurs.
+        apart = np.zeros((len(piv), len(piv)))
+        done = np.zeros(len(piv), dtype=bool)
         for part in parts:
             for at in range(0, part.num_rows, 2048):
                 some = part.slice(at, 2048)
@@ -99,6 +101,8 @@ def _cells(clean: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
                 square = np.maximum(2 - 2 * (x @ piv.T), 0)
                 home = square.argmin(1)
                 own = square[np.arange(len(x)), home]
+                for h in np.unique(home[~done[home]]):
+                    apart[h], done[h] = np.sqrt(((piv - piv[h]) ** 2).sum(1)), True
                 with np.errstate(divide="ignore", invalid="ignore"):
                     plane = (square - own[:, None]) / (2 * apart[home])
                 near = (plane <= radius + 1e-9) & (np.sqrt(square) - np.sqrt(own)[:, None] <= 2 * radius + 1e-9)

@@ -48,6 +48,7 @@ def test_clusters_chains_and_hot_cells_in_many_tiles(workers):
     want = brute(rows)
     assert got(df, E.RangeParams(cell=20, tile=32)) == want
     assert got(df, E.RangeParams(cell=10_000)) == want
+    assert got(df, E.RangeParams(cell=1, max_pivots=1000)) == want  # more than 600 pivots
 
 
 def test_edge_rows(workers):
