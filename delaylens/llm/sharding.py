@@ -34,16 +34,18 @@ def _bits(start: int, count: int):
 
 
 def _directory(rows: DataFrame, start: int, count: int, limit: int, name: str) -> DataFrame:
-    """(path, fine, depth) for each fine prefix in use: bits of the shortest prefix that fits, or null."""
+    """(path, fine, depth) for each fine prefix in use: bits of the shortest prefix that fits, or null.
+
+    It grows with the input, so nothing here is broadcast."""
     fine = written(rows.groupBy("__path", _bits(start, count).alias("fine")).agg(
         F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), name)
     depths = fine.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(count)))).withColumn(
         "prefix", F.expr(f"shiftright(fine, {count} - depth)"))
     sums = depths.groupBy("__path", "depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
     fits = sums.where((F.col("bytes") <= limit) | (F.col("n") == 1)).select("__path", "depth", "prefix", "bytes", "n")
-    found = (depths.select("__path", "fine", "depth", "prefix").join(fits, ["__path", "depth", "prefix"])
+    found = (depths.select("__path", "fine", "depth", "prefix").join(fits.hint("merge"), ["__path", "depth", "prefix"])
              .groupBy("__path", "fine").agg(F.min(F.struct("depth", "prefix", "bytes", "n")).alias("leaf")))
-    return written(fine.select("__path", "fine").join(found, ["__path", "fine"], "left"), f"{name}-directory")
+    return written(fine.select("__path", "fine").join(found.hint("merge"), ["__path", "fine"], "left"), f"{name}-directory")
 
 
 def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text",
