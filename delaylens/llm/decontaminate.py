@@ -97,7 +97,9 @@ def find(docs: DataFrame, items: DataFrame, p: ContainmentParams = ContainmentPa
     short = sorted(r[0] for r in known.where(F.col("n_words") < SHINGLE_WORDS).select("n_words").distinct().collect())
     slim = docs.select(F.col(id_col).alias("id"), _text_hash(F.col(text_col)).alias("text_hash"),
                        F.col(text_col).alias("text"))
-    runs = (with_native_shingles(slim, "text", "runs", short=short).select("id", "text_hash", F.explode("runs").alias("h")))
+    # The outer form: for the inner one Spark filters by the size of ``runs`` first, which makes all shingles
+    # anew below the projections that make them, once per mention. The join drops the empty rows.
+    runs = with_native_shingles(slim, "text", "runs", short=short).select("id", "text_hash", F.explode_outer("runs").alias("h"))
     # A shingle that a document repeats counts once; copies of a row are told apart by nothing.
     hit = runs.join(sketches, "h").groupBy("id", "text_hash", "item", "need").agg(
         F.count_distinct("h").alias("hits")).where("hits >= need")

@@ -98,14 +98,17 @@ def scan(docs: DataFrame, templates=TEMPLATES, p: ScanParams = ScanParams(), id_
                            F.lit(0).alias("n_shingles"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).where(F.lit(False))
     runs = with_native_shingles(slim, "text", "runs").select("id", "runs")
     anchors = sorted({h for _, _, least in known for h in least})
-    runs = runs.where(F.exists("runs", lambda h: h.isin(anchors)))
+    held = F.exists("runs", lambda h: h.isin(anchors))
     classes = sorted({size for size, *_ in known})
     window = 2 * classes[-1]
     # Long documents in segments, which overlap by a window: slices of a whole document for every
     # window would cost its length each. A segment holds whole windows of every class.
     segment = classes[-1] * math.ceil(p.segment / classes[-1])
     count = F.greatest(F.ceil(F.size("runs") / segment), F.lit(1)).cast("int")
-    segments = (runs.withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * segment)))
+    # The anchors are looked up where the places are made: a filter on ``runs`` would be moved below the
+    # projections that make the shingles and make them anew there, once per mention.
+    places = F.when(held, F.transform(F.sequence(F.lit(0), count - 1), lambda k: k * segment))
+    segments = (runs.withColumn("at", F.explode_outer(places)).where("at is not null")
                 .select("id", "at", F.slice("runs", F.col("at") + 1, segment + window).alias("runs")))
     # The documents are read and cut once for all classes; only those with an anchor are kept.
     segments = written(segments, "license-segments")
