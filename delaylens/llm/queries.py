@@ -124,12 +124,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document and license notice in it."""
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    """Every document and license in it: short notices, whole texts, notices of files, identifier lines."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.TEMPLATES + licenses.WHOLE_TEXTS)
 
 
 def _op7_sql() -> str:
-    quoted = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+    quoted = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES + licenses.WHOLE_TEXTS))
     runs = """SELECT id, unnest(list_transform(range(0, greatest(len(w) - 4, 1)), lambda k: struct_pack(
                 pos := k, sh := array_to_string(CASE WHEN len(w) >= 5 THEN w[k + 1 : k + 5] ELSE w END, ' ')))) AS r
               FROM (SELECT id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w

@@ -68,3 +68,26 @@ def test_whole_license_texts_equal_brute_force(workers):
             if ok:
                 want.add((doc, f"L{n}", max(ok.values()), len(of), min(ok)))
     assert got == want and len(want) == 8
+
+
+def test_whole_public_texts_and_the_query_equal_its_sql(workers, folder):
+    import duckdb
+
+    rng = random.Random(12)
+    rows = []
+    for name, text in L.WHOLE_TEXTS:
+        w = text.split()
+        changed = [v if k % 60 != 30 else "other" for k, v in enumerate(w)]
+        for body in (w, changed, w[: len(w) // 2]):
+            noise = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 7, 700]))]
+            rows.append((len(rows), " ".join([*noise, *body, "and", "more"]), name))
+    workers.createDataFrame(rows, "doc_id long, text string, name string").write.parquet(f"{folder}/documents.parquet")
+    query, sql = all_queries()["op7_license_scan"]
+    got = sorted(tuple(r) for r in query(workers, folder).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(sql).fetchall())
+    found = {(r[0], r[1]) for r in got}
+    assert all((doc, name) in found for doc, _, name in rows if doc % 3 == 0)
+    assert all((doc, name) in found for doc, text, name in rows if doc % 3 == 1 and name.endswith(" text"))
+    assert not any((doc, name) in found for doc, _, name in rows if doc % 3 == 2)
