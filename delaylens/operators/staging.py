@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
+from delaylens.operators import tables
 
 RUNNING_KEY = ["train_number", "journey_date", "station_code", "station_sequence"]
 SCHEDULE_KEY = ["train_number", "station_code", "station_sequence"]
@@ -35,8 +36,11 @@ def _delay(c: str, df: DataFrame):
     return (F.col(c) if c in df.columns else F.lit(None)).try_cast("decimal(12,2)").cast("double").alias(c)
 
 
-def stg_train_running(raw: DataFrame) -> DataFrame:
-    """Typed raw running events, latest record per (train, date, station, sequence)."""
+def stg_train_running(raw: DataFrame, dealt: bool = False) -> DataFrame:
+    """Typed raw running events, latest record per (train, date, station, sequence).
+
+    ``dealt``: the rows of a journey lie in one task already (a table in buckets of the train).
+    """
     typed = raw.select(
         F.col("train_number").cast("string").alias("train_number"),
         F.col("journey_date").cast("date").alias("journey_date"),
@@ -53,7 +57,7 @@ def stg_train_running(raw: DataFrame) -> DataFrame:
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
     # Dealt by journey, which serves this window and that of the previous stop (W5) alike.
-    return latest_per_key(typed.repartition(*JOURNEY_KEY), RUNNING_KEY)
+    return latest_per_key(typed if dealt else tables.dealt(typed, *JOURNEY_KEY), RUNNING_KEY)
 
 
 def stg_train_schedule(raw: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ stage named by the batch first and repeats only the copy when the batch is repla
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ class IncrementalTables:
 def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """``df`` as a first attempt of the batch has written it, or written now."""
     if not tables.path_exists(spark, f"{path}/_SUCCESS"):
-        df.write.mode("overwrite").parquet(path)
+        tables.write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,35 +57,84 @@ def _bucket(t: IncrementalTables, *keys: str):
 
 # --------------------------------------------------------------------------- fact and its feed
 def changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The fact rows that differ: those of ``old`` alone with change -1, those of ``new`` alone with +1."""
-    both = old.select(*FACT_COLUMNS, F.lit(-1).alias("change")).unionByName(new.select(*FACT_COLUMNS, F.lit(1).alias("change")))
-    return both.groupBy(*FACT_COLUMNS).agg(F.sum("change").cast("int").alias("change")).where(F.col("change") != 0)
+    """The fact rows that differ: those of ``old`` alone with change -1, those of ``new`` alone with +1.
 
+    Both hold a stop once; they are joined by stop (fact rows name a train), which leaves rows in buckets
+    of the train where they are."""
+    row = F.struct(*FACT_COLUMNS)
+    was = old.select(*[F.col(k).alias(f"o_{k}") for k in STOP_KEY], row.alias("o"))
+    now = new.select(*[F.col(k).alias(f"n_{k}") for k in STOP_KEY], row.alias("n"))
+    same = reduce(lambda a, b: a & b, [F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}")) for k in STOP_KEY[1:]],
+                  F.col("o_train_number") == F.col("n_train_number"))
+    both = was.join(now, same, "full_outer").where(~F.col("o").eqNullSafe(F.col("n")))
+    held = F.filter(F.array(F.struct(F.col("o").alias("row"), F.lit(-1).alias("change")),
+                            F.struct(F.col("n").alias("row"), F.lit(1).alias("change"))), lambda x: x["row"].isNotNull())
+    return both.select(F.inline(held)).select("row.*", "change")
 
-def apply_batch(spark: SparkSession, t: IncrementalTables, batch: DataFrame, batch_id: int) -> DataFrame:
-    """K1 and K2 for a batch of accepted rows; returns its change feed, written."""
-    batch = tables.materialized(batch, "incremental-batch")
-    days = tables.dates(batch, "journey_date")
+
+def _by_train(path: str, schema: T.StructType, *partitions: str) -> tables.Bucketed:
+    return tables.Bucketed(path, schema, "train_number", partitions)
+
+
+def store_new_rows(spark: SparkSession, table: tables.Bucketed, batch: DataFrame, days: list, batch_id: int,
+                   key: str = "source_record_hash") -> None:
+    """K1 into a table in buckets of the train, which the key covers like the date: of the batch's rows, dealt
+    once, those whose key no earlier batch has stored for these dates, one per key."""
+    stored = table.read(spark, "journey_date", days).where(F.col("batch_id") < batch_id).select(table.key, key)
+    new = table.dealt(batch).dropDuplicates([table.key, key]).join(stored, [table.key, key], "left_anti")
+    table.store(new.withColumn("batch_id", F.lit(batch_id).cast("long")))
+
+
+def raw_table(path: str, batch: DataFrame) -> tables.Bucketed:
     schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
-    stored = lambda: tables.read_dates(spark, t.path("raw"), schema, "journey_date", days)
-    earlier = stored().where(F.col("batch_id") < batch_id).drop("batch_id")
-    tables.append_batch(tables.insert_only(earlier, batch), t.path("raw"), "journey_date", batch_id)
+    return _by_train(path, schema, "journey_date", "batch_id")
+
+
+def rebuilt_fact(spark: SparkSession, raw: tables.Bucketed, touched: DataFrame, days: list, batch_id: int) -> DataFrame:
+    """The fact rows of the touched journeys, from the raw rows up to a batch, where they lie."""
+    rows = raw.read(spark, "journey_date", days).where(F.col("batch_id") <= batch_id).drop("batch_id")
+    return Models(rows.join(raw.dealt(touched), JOURNEY_KEY, "left_semi"), dealt=True).fact_station_arrival
+
+
+def apply_batch(spark: SparkSession, t: IncrementalTables, batch: DataFrame, batch_id: int) -> DataFrame:
+    """K1 and K2 for a batch of accepted rows; returns its change feed, written.
+
+    Raw rows, fact, feed and features lie in buckets of the train, so a row is dealt once, on its way to
+    the raw table."""
     touched = tables.materialized(batch.select(*JOURNEY_KEY).distinct(), "incremental-journeys")
-    raw = stored().where(F.col("batch_id") <= batch_id).drop("batch_id")
-    rebuilt = tables.materialized(Models(raw.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival, "incremental-fact")
-    before = tables.read_dates(spark, t.path("fact"), rebuilt.schema, "journey_date", days)
-    before = before.join(touched, tables.matching(before, touched, JOURNEY_KEY), "left_semi")
-    feed = _staged(spark, changes(before, rebuilt), t.path(f"feed/batch_id={batch_id}"))
-    tables.upsert_partitions(spark, t.path("fact"), t.stage("fact", batch_id), rebuilt, touched, JOURNEY_KEY, "journey_date")
+    days = tables.dates(touched, "journey_date")
+    raw = raw_table(t.path("raw"), batch)
+    store_new_rows(spark, raw, batch, days, batch_id)
+    rebuilt = rebuilt_fact(spark, raw, touched, days, batch_id)
+    fact = _by_train(t.path("fact"), rebuilt.schema, "journey_date")
+    before = fact.read(spark, "journey_date", days).join(fact.dealt(touched), JOURNEY_KEY, "left_semi")
+    feed = _staged_feed(spark, t, changes(before, rebuilt), batch_id)
+    _upsert_stops(spark, t, "fact", feed.where(F.col("change") > 0).drop("change"), feed, batch_id)
+    tables.release(spark)
     return feed
 
 
+def _staged_feed(spark: SparkSession, t: IncrementalTables, feed: DataFrame, batch_id: int) -> DataFrame:
+    """The feed as a first attempt of the batch has written it, or written now, in buckets of the train."""
+    path = t.path(f"feed/batch_id={batch_id}")
+    table = _by_train(path, feed.schema, "journey_date")
+    if not tables.path_exists(spark, f"{path}/_complete"):
+        tables.remove_folder(spark, path)
+        table.store(feed)
+        tables.make_folder(spark, f"{path}/_complete")
+    return table.read(spark)
+
+
+def _upsert_stops(spark: SparkSession, t: IncrementalTables, name: str, rows: DataFrame, feed: DataFrame, batch_id: int) -> None:
+    table = _by_train(t.path(name), rows.schema, "journey_date")
+    tables.upsert_partitions(spark, table.root, t.stage(name, batch_id), rows, feed.select(*STOP_KEY).distinct(),
+                             STOP_KEY, "journey_date", table)
+
+
 # --------------------------------------------------------------------------- features (M9)
 def update_features(spark: SparkSession, t: IncrementalTables, feed: DataFrame, batch_id: int) -> None:
     """The feature rows of the feed's stops; a stop that left the fact leaves the features."""
-    touched = tables.materialized(feed.select(*STOP_KEY).distinct(), "feature-stops")
-    rows = marts.delay_features(feed.where(F.col("change") > 0))
-    tables.upsert_partitions(spark, t.path("features"), t.stage("features", batch_id), rows, touched, STOP_KEY, "journey_date")
+    _upsert_stops(spark, t, "features", marts.delay_features(feed.where(F.col("change") > 0)), feed, batch_id)
 
 
 # --------------------------------------------------------------------------- marts
@@ -132,7 +182,7 @@ def carry_history(spark: SparkSession, t: IncrementalTables, facts: DataFrame, b
     touched = tables.materialized(daily.select("bucket", *_PAIR).distinct(), "history-pairs")
     state = tables.read_dates(spark, t.path("history_state"), schema, "bucket", tables.dates(touched, "bucket"))
     keys = ["bucket", *_PAIR]
-    if not tables.path_exists(spark, f"{state_stage}/_SUCCESS"):  # else the state holds these days already
+    if not tables.path_exists(spark, f"{state_stage}/_complete"):  # else the state holds these days already
         last = state.agg(F.max("through")).first()[0]
         if last is not None and days[0] <= last:
             raise ValueError(f"{days[0]} is not later than {last}, which the history holds")
@@ -145,8 +195,7 @@ def carry_history(spark: SparkSession, t: IncrementalTables, facts: DataFrame, b
         rows = joined.select(*_PAIR, "journey_date", F.col("_n").cast("long").alias("observations"),
                              total("s_n", "_n").cast("long").alias("history_observations"),
                              E.round6(total("s_sum", "_sum") / total("s_n", "_n")).alias("historical_mean_delay_minutes"))
-        tables.rebalanced(rows, "journey_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("journey_date").parquet(t.path("history"))
+        tables.write(tables.rebalanced(rows, "journey_date"), t.path("history"), "journey_date")
     current = state.join(touched, tables.matching(state, touched, keys), "left_semi")
     sums = daily.withColumnRenamed("journey_date", "through").select(*schema.fieldNames()).unionByName(current)
     rebuilt = sums.groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max("through").alias("through"))
@@ -156,8 +205,8 @@ def carry_history(spark: SparkSession, t: IncrementalTables, facts: DataFrame, b
 # --------------------------------------------------------------------------- late actuals
 def open_predictions(predictions: DataFrame, t: IncrementalTables, batch_id: int) -> None:
     """Store predictions whose actual delay isn't known yet."""
-    tables.rebalanced(predictions.withColumn("made_by", F.lit(batch_id).cast("long")), "journey_date").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("journey_date", "made_by").parquet(t.path("predictions"))
+    tables.write(tables.rebalanced(predictions.withColumn("made_by", F.lit(batch_id).cast("long")), "journey_date"),
+                 t.path("predictions"), "journey_date", "made_by")
 
 
 def close_predictions(spark: SparkSession, t: IncrementalTables, feed: DataFrame, batch_id: int, schema: T.StructType) -> None:

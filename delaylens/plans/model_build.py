@@ -20,10 +20,12 @@ from delaylens.sources import fixtures
 class Models:
     raw_running: DataFrame
     raw_schedule: DataFrame | None = None
+    #: The raw rows of a journey lie in one task already.
+    dealt: bool = False
 
     @cached_property
     def stg_train_running(self) -> DataFrame:
-        return staging.stg_train_running(self.raw_running)
+        return staging.stg_train_running(self.raw_running, self.dealt)
 
     @cached_property
     def int_train_running_enriched(self) -> DataFrame:
