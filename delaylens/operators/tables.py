@@ -203,6 +203,22 @@ def insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_h
     return batch.join(target.select(key), key, "left_anti")
 
 
+def append_new(present: DataFrame | None, batch: DataFrame, root: str, date_col: str, batch_id: int,
+               key: str = "source_record_hash") -> None:
+    """``insert_only`` and ``append_batch`` in one shuffle, for a key that determines ``date_col``: rows are
+    dealt by slots of a date, which serve the comparison and the write alike. Null keys are one row."""
+    spark = batch.sparkSession
+    per_date = max(1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // 32)
+    slot = F.when(F.col(key).isNull(), F.lit(0)).otherwise(
+        F.pmod(F.hash(date_col), F.lit(1 << 20)) * per_date + F.pmod(F.xxhash64(key), F.lit(per_date)).cast("int"))
+    new = dealt(batch.withColumn("_slot", slot), "_slot", key=key).dropDuplicates(["_slot", key])
+    if present is not None:
+        stored = dealt(present.select(key, slot.alias("_slot")), "_slot", key=key)
+        new = new.join(stored, ["_slot", key], "left_anti")
+    with session_conf(spark, **_CO_LOCATED):
+        write(new.drop("_slot").withColumn("batch_id", F.lit(batch_id).cast("long")), root, date_col, "batch_id")
+
+
 def merge_insert_only(target: DataFrame, batch: DataFrame, key: str = "source_record_hash",
                       implied_by_key: str | None = None) -> DataFrame:
     """The target after the merge: target rows plus the new ones (by column name)."""

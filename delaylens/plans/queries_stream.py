@@ -15,33 +15,35 @@ from delaylens.sources import fixtures
 from delaylens.streaming import jobs
 
 
-def _landing(spark, df, name, files):
-    return jobs.land(df, scratch_path(spark, f"landing-{name}"), files), df.schema
+def _landing(spark, df, name, files, triggers):
+    """The landed files, their schema, and how many of them one of ``triggers`` takes."""
+    landing = jobs.land(df, scratch_path(spark, f"landing-{name}"), files)
+    return landing, df.schema, jobs.per_trigger(spark, landing, triggers)
 
 
 @register("stream_snapshot_archive", oracle(SNAP_SQL + "SELECT DISTINCT * FROM snap_h", "snapshot_payload"),
           "R1 S4 K1")
 def q_stream_snapshot_archive(spark, sf_dir):
-    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "snapshots", 8)
+    landing, schema, some = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "snapshots", 8, 4)
     archive = scratch_path(spark, "snapshot_archive")
-    jobs.snapshot_archive(spark, landing, archive, scratch_path(spark, "ckpt-archive"), schema, max_files=2)
+    jobs.snapshot_archive(spark, landing, archive, scratch_path(spark, "ckpt-archive"), schema, max_files=some)
     return spark.read.parquet(archive).drop("batch_id", "retrieved_date")
 
 
 @register("stream_dedupe", oracle(f"SELECT DISTINCT {HASHED_SQL} FROM running_raw", "running_raw"), "R2 P14")
 def q_stream_dedupe(spark, sf_dir):
-    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "dedupe", 4)
+    landing, schema, some = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "dedupe", 4, 4)
     sink = scratch_path(spark, "dedupe_sink")
-    jobs.late_correction_dedupe(spark, landing, sink, scratch_path(spark, "ckpt-dedupe"), schema, max_files=1)
+    jobs.late_correction_dedupe(spark, landing, sink, scratch_path(spark, "ckpt-dedupe"), schema, max_files=some)
     return spark.read.parquet(sink).select(*HASHED_COLS)
 
 
 @register("stream_fact_upsert", oracle("SELECT * FROM fact", "fact"), "R3 K2 T14")
 def q_stream_fact_upsert(spark, sf_dir):
-    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "upsert", 6)
+    landing, schema, some = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "upsert", 6, 3)
     fact_root = scratch_path(spark, "fact_stream")
     jobs.fact_upsert(spark, landing, scratch_path(spark, "raw_stream"), fact_root, scratch_path(spark, "stage"),
-                     scratch_path(spark, "ckpt-upsert"), schema, max_files=2)
+                     scratch_path(spark, "ckpt-upsert"), schema, max_files=some)
     return spark.read.parquet(fact_root).select(*FACT_COLUMNS)
 
 
@@ -50,10 +52,10 @@ SELECT journey_date, count(*) AS observations, round(avg(arrival_delay_minutes),
        round(median(arrival_delay_minutes), 6) AS median_delay_minutes
 FROM observed GROUP BY journey_date""", "observed"), "R4 A7")
 def q_stream_daily_trend(spark, sf_dir):
-    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "trend", 6)
+    landing, schema, some = _landing(spark, fixtures.load(spark, sf_dir, "running_raw"), "trend", 6, 3)
     out = scratch_path(spark, "daily_trend_stream")
     jobs.daily_trend_stream(spark, landing, scratch_path(spark, "raw_trend"), scratch_path(spark, "fact_trend"),
-                            scratch_path(spark, "stage_trend"), out, scratch_path(spark, "ckpt-trend"), schema, max_files=2)
+                            scratch_path(spark, "stage_trend"), out, scratch_path(spark, "ckpt-trend"), schema, max_files=some)
     return spark.read.parquet(out).select("journey_date", F.col("observations").cast("long").alias("observations"),
                                           "average_delay_minutes", "median_delay_minutes")
 
@@ -65,7 +67,7 @@ SELECT 4 AS runs, 1 AS failures, CAST(count_if(http_status = 200) AS BIGINT) AS
 def q_archive_audit(spark, sf_dir):
     """Four triggers; the second fails before it stores its rows, and is replayed when the job is
     started again."""
-    landing, schema = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "audited-snapshots", 8)
+    landing, schema, some = _landing(spark, fixtures.load(spark, sf_dir, "snapshot_payload"), "audited-snapshots", 8, 4)
     paths = load_run.LoadPaths("", "", scratch_path(spark, "archive-audit"))
     archive, checkpoint = scratch_path(spark, "audited-archive"), scratch_path(spark, "ckpt-audited")
     failures = []
@@ -75,7 +77,7 @@ def q_archive_audit(spark, sf_dir):
             failures.append(batch_id)
             raise RuntimeError("the store is away")
 
-    run = lambda: jobs.snapshot_archive(spark, landing, archive, checkpoint, schema, max_files=2, audit=paths, before_store=fail_once)
+    run = lambda: jobs.snapshot_archive(spark, landing, archive, checkpoint, schema, max_files=some, audit=paths, before_store=fail_once)
     try:
         run()
     except StreamingQueryException:

@@ -16,8 +16,9 @@ wrote before:
 - R4 daily trend: R3's fact, with the trend of the touched dates computed anew after each batch, so
   a corrected stop counts once, with its latest record.
 
-A batch is written once below the shared folder and read from there. Its dates (one row per calendar
-day) name the folders of the stored tables that are listed and read.
+A batch is read from its landed files. Its dates (one row per calendar day) name the folders of the stored
+tables that are listed and read. R3's raw and fact tables lie in buckets of the train, so a row is shuffled
+once, on its way to the raw table.
 """
 
 from __future__ import annotations
@@ -27,17 +28,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylens.operators import ingest, kpi, tables
-from delaylens.plans import load_run
-from delaylens.plans.model_build import Models
+from delaylens.plans import incremental, load_run
 from delaylens.sources import payloads
 
 JOURNEY_KEY = ["train_number", "journey_date"]
 
 
 def land(df: DataFrame, path: str, files: int) -> str:
-    """Write ``df`` as ``files`` Parquet files into a landing folder (fixture arrival)."""
-    df.repartition(files).write.mode("errorifexists").parquet(path)
-    return path
+    """Write ``df`` into a landing folder (fixture arrival), ``files`` files from every task that has as many
+    rows: each task deals its rows round to its own files, so none is shuffled and no file grows with the table."""
+    arrival = F.pmod(F.monotonically_increasing_id(), F.lit(files)).alias("_arrival")
+    with tables.session_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(files)):
+        df.select("*", arrival).write.mode("errorifexists").option("compression", "zstd").partitionBy("_arrival").parquet(path)
+    return f"{path}/_arrival=*"
+
+
+def per_trigger(spark: SparkSession, landing: str, triggers: int) -> int:
+    """How many of a landing's files make up that many triggers."""
+    return max(1, -(-len(tables.folder_names(spark, f"{landing}/part-*")) // triggers))
 
 
 def _stream(spark: SparkSession, landing: str, schema: T.StructType, max_files: int | None) -> DataFrame:
@@ -66,11 +74,10 @@ def _earlier(spark: SparkSession, root: str, schema: T.StructType, date_col: str
 
 def _store_new(spark: SparkSession, batch: DataFrame, root: str, date_col: str, batch_id: int,
                key: str = "source_record_hash") -> list:
-    """K1 for a materialized batch: append the rows whose key no earlier batch has stored. Returns the
-    batch's dates."""
+    """K1 for a batch: append the rows whose key no earlier batch has stored. Returns the batch's dates."""
     days = tables.dates(batch, date_col)
     present = _earlier(spark, root, batch.schema, date_col, days, batch_id)
-    tables.append_batch(tables.insert_only(present, batch, key), root, date_col, batch_id)
+    tables.append_new(present, batch, root, date_col, batch_id, key)
     return days
 
 
@@ -136,7 +143,7 @@ def late_correction_dedupe(spark: SparkSession, landing: str, sink: str, checkpo
     stream = _stream(spark, landing, landing_schema, max_files)
 
     def dedupe_batch(batch: DataFrame, batch_id: int) -> None:
-        _store_new(spark, tables.materialized(batch, "dedupe-batch"), sink, date_col, batch_id, key)
+        _store_new(spark, batch, sink, date_col, batch_id, key)
 
     return _run(stream.writeStream.foreachBatch(dedupe_batch), checkpoint, available_now)
 
@@ -154,14 +161,15 @@ def fact_upsert(spark: SparkSession, landing: str, raw_root: str, fact_root: str
     accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok"))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = tables.materialized(batch, "upsert-batch")
-        days = tables.dates(batch, "journey_date")
-        _store_new(spark, batch, raw_root, "journey_date", batch_id)
         touched = tables.materialized(batch.select(*JOURNEY_KEY).distinct(), "upsert-journeys")
-        raw = _earlier(spark, raw_root, batch.schema, "journey_date", days, batch_id + 1)
-        rebuilt = Models(raw.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
-        tables.upsert_partitions(spark, fact_root, f"{stage_root}/batch_id={batch_id}", rebuilt, touched,
-                                 JOURNEY_KEY, "journey_date")
+        days = tables.dates(touched, "journey_date")
+        raw = incremental.raw_table(raw_root, batch)
+        incremental.store_new_rows(spark, raw, batch, days, batch_id)
+        rebuilt = incremental.rebuilt_fact(spark, raw, touched, days, batch_id)
+        fact = tables.Bucketed(fact_root, rebuilt.schema, "train_number", ("journey_date",))
+        tables.upsert_partitions(spark, fact_root, f"{stage_root}/batch_id={batch_id}", rebuilt, fact.dealt(touched),
+                                 JOURNEY_KEY, "journey_date", fact)
+        tables.release(spark)
         if after:
             after(tables.read_dates(spark, fact_root, rebuilt.schema, "journey_date", days), days, batch_id)
 
