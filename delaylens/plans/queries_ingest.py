@@ -336,10 +336,11 @@ def q_load_counters(spark, sf_dir):
 def _merged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = raw_running_from_fixture(spark, sf_dir).select(*HASHED_COLS, "ingested_at")
     root = scratch_path(spark, "raw_running_events")
-    batch = tables.materialized(accepted, "raw_batch")
-    tables.append_batch(_previous_load(batch), root, "journey_date", 0)
-    present = tables.read_dates(spark, root, batch.schema, "journey_date", tables.dates(batch, "journey_date"))
-    tables.append_batch(tables.insert_only(present, batch), root, "journey_date", 1)
+    cutoff = F.lit(PREVIOUS_LOAD_CUTOFF).cast("timestamp_ntz")
+    days = tables.dates(accepted, "journey_date")
+    tables.append_new(None, accepted.where(F.col("ingested_at") < cutoff), root, "journey_date", 0)  # the previous load
+    present = tables.read_dates(spark, root, accepted.schema, "journey_date", days)
+    tables.append_new(present, accepted, root, "journey_date", 1)
     return spark.read.parquet(root).select(*HASHED_COLS)
 
 
