@@ -349,13 +349,14 @@ SELECT * FROM batch""", "running_accepted", "fact"), "K2 R3 T14")
 def q_upsert_fact(spark, sf_dir):
     from delaylens.plans.model_build import incremental_fact_batch
     accepted = raw_running_from_fixture(spark, sf_dir)
-    old = Models(accepted.where(F.col("ingested_at") < F.lit(PREVIOUS_LOAD_CUTOFF).cast("timestamp_ntz")))
     root = scratch_path(spark, "fact_station_arrival")
-    tables.rebalanced(old.fact_station_arrival, "journey_date").write.partitionBy("journey_date").parquet(root)
+    old = accepted.where(F.col("ingested_at") < F.lit(PREVIOUS_LOAD_CUTOFF).cast("timestamp_ntz"))
+    table = tables.Bucketed(root, Models(old).fact_station_arrival.schema, "train_number", ("journey_date",))
+    table.store(Models(table.dealt(old), dealt=True).fact_station_arrival)
     # Only journeys with a raw record in the 48 h window are rebuilt; only their dates are rewritten.
-    batch = tables.materialized(incremental_fact_batch(accepted, spark.read.parquet(root)), "fact-batch")
-    tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),
-                             STOP_KEYS, "journey_date")
+    batch = tables.materialized(incremental_fact_batch(accepted, table.read(spark)), "fact-batch")
+    tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), table.dealt(batch), table.dealt(batch.select(*STOP_KEYS)),
+                             STOP_KEYS, "journey_date", table)
     return spark.read.parquet(root).select(*UPSERT_COLS)
 
 
