@@ -126,16 +126,19 @@ def materialize(spark: SparkSession, models: Models, root: str) -> DataFrame:
     base = root.rstrip("/")
     from delaylens.operators.tables import rebalanced
 
-    rebalanced(models.fact_station_arrival, "journey_date").write.mode("overwrite").partitionBy("journey_date") \
-          .parquet(f"{base}/fact_station_arrival")
+    # The stagings are read by the fact, the counts and every dimension: each is computed once.
+    models = Models(models.raw_running, models.raw_schedule, models.dealt).materialized("stg_train_running", "stg_train_schedule")
+    rebalanced(models.fact_station_arrival, "journey_date").write.mode("overwrite").option("compression", "zstd") \
+        .partitionBy("journey_date").parquet(f"{base}/fact_station_arrival")
     written = Models(models.raw_running, models.raw_schedule)
+    written.__dict__.update({name: models.__dict__[name] for name in ("stg_train_running", "stg_train_schedule")})
     written.__dict__["fact_station_arrival"] = spark.read.parquet(f"{base}/fact_station_arrival")
     parts = []
     for name, kind in MATERIALIZATION.items():
         df = getattr(written, name)
         if kind != "view" and name != "fact_station_arrival":
             partitioned = "journey_date" in df.columns and kind == "incremental"
-            w = (rebalanced(df, "journey_date") if partitioned else df).write.mode("overwrite")
+            w = (rebalanced(df, "journey_date") if partitioned else df).write.mode("overwrite").option("compression", "zstd")
             if partitioned:
                 w = w.partitionBy("journey_date")
             w.parquet(f"{base}/{name}")
