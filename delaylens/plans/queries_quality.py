@@ -15,8 +15,8 @@ from delaylens.session import scratch_path
 from delaylens.sources import fixtures
 
 
-#: What several tests of the whole report read: staging, and of the fact the tested columns.
-_SHARED = {"stg_train_running": None, "fact_station_arrival": ["train_number", "journey_date", "station_code", "station_sequence"]}
+#: What several tests of the whole report read: both stagings, and of the fact the tested columns.
+_SHARED = {"stg_train_running": None, "stg_train_schedule": None, "fact_station_arrival": ["train_number", "journey_date", "station_code", "station_sequence"]}
 
 
 def _models(spark, sf_dir, schedule="schedule_raw", written=None):
