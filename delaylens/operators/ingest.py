@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
 from delaylens.functions.rules import failed_rules, rules_pass, running_event_rules
+from delaylens.operators import tables
 from delaylens.sources.files import FIELD_COUNT, MALFORMED
 
 # Canonical column list of a running event, sorted by name, used for the record hash.
@@ -165,7 +166,9 @@ def quarantine_records(rejected: DataFrame, hash_columns: list[str] | None = Non
 def exact_dedupe(df: DataFrame, key: str = "source_record_hash") -> DataFrame:
     """One row per content hash. Equal hashes mean equal rows, so any survivor is right;
     ``dropDuplicates`` aggregates partially map-side, so a hot hash is collapsed before the shuffle."""
-    return df.dropDuplicates([key])
+    if df.schema[key].dataType.typeName() != "string":
+        return df.dropDuplicates([key])
+    return df.withColumn(key, tables.packed(key)).dropDuplicates([key]).withColumn(key, tables.unpacked(key))
 
 
 def dedupe_by_hash(df: DataFrame, key: str = "source_record_hash",
