@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions import expressions as E
@@ -47,15 +47,34 @@ def route_lookup(routes: DataFrame) -> DataFrame:
     return best.select("train_key", "station_key", F.col("best.station_sequence").alias("station_sequence"))
 
 
-def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str = "delay_csv_feed") -> DataFrame:
+#: The column by which a load deals its rows.
+DEAL = "deal_key"
+
+
+def _deal_key(train: Column, *rest: str) -> Column:
+    """The train as it is stored. Rows without one, which match nothing, are spread by the ``rest``."""
+    stored = E.normalize_id(train)
+    return F.when(stored == "", F.concat(F.lit(" "), F.xxhash64(*rest).cast("string"))).otherwise(stored) if rest else stored
+
+
+def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str = "delay_csv_feed",
+                         deal_to: int | None = None) -> DataFrame:
     """Delay CSV rows -> canonical running-event records with a stop sequence (0 on a miss).
 
     A left join on (train, station) keys against a lookup holding one row per key, so no
     delay row is ever multiplied. The join strategy is left to AQE: the lookup is broadcast
     when its runtime size is under the broadcast threshold, else sort-merge.
+
+    With ``deal_to`` the rows, as the file has them, are dealt to that many tasks by train, for the
+    lookup and for what follows; the column ``DEAL`` is kept.
     """
-    lookup = route_lookup(routes)
+    lookup, dealt = route_lookup(routes), []
+    if deal_to:
+        dealt = [DEAL]
+        delays = delays.withColumn(DEAL, _deal_key(E.normalize_key("train"), *delays.columns)).repartition(deal_to, DEAL)
+        lookup = lookup.withColumn(DEAL, _deal_key(F.col("train_key"))).repartition(deal_to, DEAL)
     d = delays.select(
+        *dealt,
         E.normalize_key("train").alias("train_number"),
         E.strip("date").alias("journey_date_text"),
         E.normalize_key("station").alias("station_code"),
@@ -73,7 +92,7 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
     )
     joined = d.join(
         lookup,
-        (d.train_number == lookup.train_key) & (d.station_code == lookup.station_key),
+        [*[d[c] == lookup[c] for c in dealt], d.train_number == lookup.train_key, d.station_code == lookup.station_key],
         "left",
     )
     ts_null = F.lit(None).cast("timestamp_ntz")
@@ -99,6 +118,7 @@ def attach_stop_sequence(delays: DataFrame, routes: DataFrame, source_name: str
         "source_arrival_delay_text",
         "source_departure_delay_text",
         *[c for c in (MALFORMED,) if c in delays.columns],
+        *[d[c] for c in dealt],
     )
 
 
@@ -172,9 +192,11 @@ def exact_dedupe(df: DataFrame, key: str = "source_record_hash") -> DataFrame:
 
 
 def dedupe_by_hash(df: DataFrame, key: str = "source_record_hash",
-                   order: tuple[str, ...] = ("train_number", "journey_date", "station_sequence")) -> DataFrame:
-    """QUALIFY row_number() over (partition by hash order by ...) = 1, deterministic survivor."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+                   order: tuple[str, ...] = ("train_number", "journey_date", "station_sequence"),
+                   within: str | None = None) -> DataFrame:
+    """QUALIFY row_number() over (partition by hash order by ...) = 1, deterministic survivor.
+    ``within``: a column that the hash covers, by which the rows lie already."""
+    w = Window.partitionBy(*([within] if within else []), key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

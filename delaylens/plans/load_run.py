@@ -1,8 +1,9 @@
 """Historical load job (the CSV -> raw load) with quarantine, idempotent merge and run audit.
 
-Graph: delay + route CSV (S2, S3, S9) -> stop-sequence lookup (J1) -> content hash (P7) ->
-rule check (P6) materialized once -> quarantine JSON lines (K3) | accepted rows, one per hash
-(W4) -> insert-only append to the raw table (K1) -> counters (A10) -> run audit (K4).
+Graph: delay + route CSV (S2, S3, S9) -> stop-sequence lookup (J1) -> rule check (P6)
+materialized once -> content hash (P7) -> quarantine JSON lines (K3) | accepted rows, one per hash
+(W4) -> insert-only append to the raw table (K1) -> counters (A10) -> run audit (K4). The delay rows
+are dealt once, by train; every table of the run lies in buckets of it.
 
 Rows are counted in the passes that write them (``Observation``, in the task that writes, so a
 repeated task counts once); stored keys are compared through ``operators.history`` (J2).
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from delaylens.functions import expressions as E
 from delaylens.operators import history, ingest, tables
+from delaylens.session import scratch_path
 from delaylens.sources import files
 
 PIPELINE_NAME = "delaylens"
@@ -62,7 +64,7 @@ class LoadPaths:
     @property
     def keys(self) -> history.KeyHistory:
         """The stored keys of the raw table."""
-        return history.KeyHistory(f"{self.raw_root.rstrip('/')}_keys")
+        return history.KeyHistory(f"{self.raw_root.rstrip('/')}_keys", within="train_number")
 
 
 # --------------------------------------------------------------------------- K4 audit
@@ -101,9 +103,9 @@ def succeeded_runs(spark: SparkSession, audit_root: str) -> DataFrame:
     return read_audit(spark, audit_root).where(F.col("status") == "succeeded").select("run_id")
 
 
-def _counts(seen: Observation) -> dict:
+def counts(seen: Observation, *names: str) -> dict:
     """What a write has counted; a plan without rows may count nothing at all."""
-    return {k: v or 0 for k, v in seen.get.items()}
+    return {n: 0 for n in names} | {k: v or 0 for k, v in seen.get.items()}
 
 
 def _checked_counts() -> list:
@@ -117,11 +119,14 @@ _exists = tables.path_exists
 
 
 # --------------------------------------------------------------------------- the job
-def prepare(delays: DataFrame, routes: DataFrame, source_name: str) -> DataFrame:
-    """J1 + P7 + P6: canonical records with hash and the failed-rule array."""
-    events = ingest.attach_stop_sequence(delays, routes, source_name)
-    events = events.withColumn("source_record_hash", E.record_hash(*LOAD_HASH_COLUMNS))
-    return ingest.with_rule_check(events, date_is_text=True)
+def prepare(delays: DataFrame, routes: DataFrame, source_name: str, deal_to: int | None = None) -> DataFrame:
+    """J1 + P6: canonical records with the failed-rule array."""
+    return ingest.with_rule_check(ingest.attach_stop_sequence(delays, routes, source_name, deal_to), date_is_text=True)
+
+
+def hashed(records: DataFrame) -> DataFrame:
+    """Canonical records with their hash. Half of a record's bytes, it is made where it is needed."""
+    return records.withColumn("source_record_hash", E.record_hash(*LOAD_HASH_COLUMNS))
 
 
 def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths: LoadPaths,
@@ -143,31 +148,38 @@ def historical_load(spark: SparkSession, delay_path: str, route_path: str, paths
         routes = files.read_route_csv(spark, route_path, files.MALFORMED)
         good_routes = routes.where(F.col(files.MALFORMED).isNull()).drop(files.MALFORMED)
         # Materialized once in the shared checkpoint folder: quarantine and accepted rows read it, and
-        # the CSVs are parsed and joined a single time.
-        seen = Observation()
-        checked = tables.materialized(prepare(delays, good_routes, source_name).observe(seen, *_checked_counts()), "load-checked")
-        counters = _NO_ROWS | _counts(seen)
+        # the CSVs are parsed and joined a single time. The rows are dealt by train, once: look-up, hash
+        # and stored keys name it, so all that follows works where they lie.
+        seen, buckets = Observation(), paths.keys.table.buckets(spark)
+        prepared = prepare(delays, good_routes, source_name, buckets).observe(seen, *_checked_counts())
+        table = tables.Bucketed(scratch_path(spark, "load-checked"), prepared.schema, ingest.DEAL, ("rules_ok",))
+        table.store(prepared, buckets)
+        counters = _NO_ROWS | counts(seen)
+        checked = hashed(table.read(spark))
 
         bad_routes = routes.where(F.col(files.MALFORMED).isNotNull()).withColumn("errors", F.array(F.lit(files.FIELD_COUNT)))
-        rejected = ingest.quarantine_records(checked.where(~F.col("rules_ok"))).unionByName(
+        rejected = ingest.quarantine_records(checked.where(~F.col("rules_ok")).drop(ingest.DEAL)).unionByName(
             ingest.quarantine_records(bad_routes, [files.MALFORMED]), allowMissingColumns=True)
-        rejected.write.mode("overwrite").json(f"{paths.quarantine_root}/run_id={run_id}")
+        rejected.write.mode("overwrite").option("compression", "gzip").json(f"{paths.quarantine_root}/run_id={run_id}")
 
         accepted = ingest.normalize_accepted(checked.where(F.col("rules_ok")).drop("errors", "rules_ok", files.MALFORMED)) \
-                         .drop("arrival_delay_not_a_number", "departure_delay_not_a_number")
+                         .drop("arrival_delay_not_a_number", "departure_delay_not_a_number") \
+                         .withColumn("train_number", F.col(ingest.DEAL)).drop(ingest.DEAL)  # equal for accepted rows
         # The hash covers the journey date: only the stored keys of this load's dates are read. Rows
         # are counted behind the last exchange, in the task that writes them.
         days = tables.dates(accepted, "journey_date")
-        known = history.flagged(ingest.dedupe_by_hash(accepted), paths.keys, days, succeeded_runs(spark, paths.audit_root))
+        runs = F.broadcast(succeeded_runs(spark, paths.audit_root))  # a row per load
+        known = history.flagged(ingest.dedupe_by_hash(accepted, within="train_number"), paths.keys, days, runs)
         stored = Observation()
-        rows = tables.rebalanced(known, "journey_date").observe(
-            stored, F.count(F.lit(1)).alias("distinct_valid"), F.count_if("present").alias("already_present"))
-        target = f"{paths.raw_root}/run_id={run_id}"
-        rows.where(~F.col("present")).drop("present").write.mode("overwrite").partitionBy("journey_date").parquet(target)
-        counters |= _counts(stored)
+        rows = known.observe(stored, F.count(F.lit(1)).alias("distinct_valid"), F.count_if("present").alias("already_present"))
+        new = rows.where(~F.col("present")).drop("present")
+        target = tables.Bucketed(f"{paths.raw_root}/run_id={run_id}", new.schema, "train_number", ("journey_date",))
+        tables.remove_folder(spark, target.root)  # of an earlier attempt
+        target.store(new, buckets)
+        counters |= counts(stored)
         counters["inserted"] = counters["distinct_valid"] - counters["already_present"]
         if counters["inserted"]:
-            history.append(spark.read.parquet(target), paths.keys, run_id)
+            history.append(target.read(spark), paths.keys, run_id)
         audit_event(spark, paths, run_id, source_name, "succeeded", counters)
         return {"run_id": run_id, **counters}
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised

@@ -540,8 +540,8 @@ SELECT 'run-2', 'succeeded', received, valid, rejected, distinct_valid, CAST(0 A
 def q_historical_load(spark, sf_dir):
     from delaylens.plans import load_run
     landing = scratch_path(spark, "delay_landing")
-    files.write_csv(fixtures.load(spark, sf_dir, "delay_csv"), f"{landing}/delays")
-    files.write_csv(fixtures.load(spark, sf_dir, "route_gaps"), f"{landing}/routes")
+    files.write_csv(fixtures.load(spark, sf_dir, "delay_csv"), f"{landing}/delays", "gzip")
+    files.write_csv(fixtures.load(spark, sf_dir, "route_gaps"), f"{landing}/routes", "gzip")
     delay_path, route_path = f"{landing}/delays", f"{landing}/routes"
     paths = load_run.LoadPaths(scratch_path(spark, "raw_running"), scratch_path(spark, "quarantine"),
                                scratch_path(spark, "ingestion_audit"))

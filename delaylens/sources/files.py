@@ -164,8 +164,10 @@ def events_from_generic_csv(df: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("errorifexists").options(**CSV_WRITE_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> str:
+    """Compressed files can't be split: they end after so many rows."""
+    options = CSV_WRITE_OPTIONS | ({} if compression == "none" else {"compression": compression, "maxRecordsPerFile": "500000"})
+    df.write.mode("errorifexists").options(**options).csv(path)
     return path
 
 

@@ -38,3 +38,43 @@ def test_bucketed_rows_are_joined_where_they_lie(spark, scratch):
     with tables.session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", **tables._CO_LOCATED):
         kept = t.dealt(rows.select("k", "h")).join(t.read(spark), ["k", "h"], "left_anti")
         assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def _load(spark, scratch, run_id, delays, routes):
+    from delaylens.plans import load_run
+    head = "train,date,station,sch_arr,act_arr,arr_delay,sch_dep,act_dep,dep_delay"
+    for name, lines in (("d.csv", [head, *delays]), ("r.csv", ["stnSerialNumber,trainNumber,station_code,station_name", *routes])):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    paths = load_run.LoadPaths(*[os.path.join(scratch, x) for x in ("raw", "quarantine", "audit")])
+    got = load_run.historical_load(spark, os.path.join(scratch, "d.csv"), os.path.join(scratch, "r.csv"), paths, run_id=run_id)
+    return paths, [got[k] for k in ("received", "valid", "rejected", "distinct_valid", "inserted", "already_present")]
+
+
+def test_a_load_deals_its_rows_once(spark, scratch):
+    """All that a run writes lies in buckets of the train, which a train with odd spelling shares."""
+    row = "{},2024-09-0{},{},08:00,08:01,{},08:00,08:01,6".format
+    delays = [row(t, d, "HWH", 5) for t in ("100", "101 .0", "102") for d in (1, 2)] * 2 + [row("", 1, "HWH", k) for k in range(40)]
+    routes = ["1,100,HWH,Howrah", "2,101 .0,HWH,Howrah", "3,102,X,HWH"]
+    paths, got = _load(spark, scratch, "a", delays, routes)
+    assert got == [52, 12, 40, 6, 6, 0]
+    assert _load(spark, scratch, "b", delays + [row("100", 3, "HWH", 5)], routes)[1] == [53, 13, 40, 7, 1, 6]
+    raw = spark.read.parquet(os.path.join(paths.raw_root, "run_id=a"))
+    assert sorted({(r.train_number, r.station_sequence) for r in raw.collect()}) == [("100", 1), ("101", 2), ("102", 3)]
+    from delaylens.operators import history
+    table = tables.Bucketed(os.path.join(paths.raw_root, "run_id=a"), raw.schema, "train_number", ("journey_date",))
+    runs = F.broadcast(spark.createDataFrame([("a",)], "run_id string"))
+    with tables.session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", **tables._CO_LOCATED):
+        known = history.flagged(table.read(spark), paths.keys, [DAY, dt.date(2024, 9, 2)], runs)
+        assert "Exchange hashpartitioning" not in known._jdf.queryExecution().executedPlan().toString()
+        assert known.where("present").count() == 6
+
+
+def test_rows_without_a_train_are_spread(spark):
+    from delaylens.operators import ingest
+    names = ["train", "date", "station", "sch_arr", "act_arr", "arr_delay", "sch_dep", "act_dep", "dep_delay"]
+    delays = spark.createDataFrame([(None, "2024-09-01", f"S{k}", *[None] * 6) for k in range(200)], ", ".join(f"{c} string" for c in names))
+    routes = spark.createDataFrame([("1", "", "S1", "S1")], "stnSerialNumber string, trainNumber string, station_code string, station_name string")
+    rows = ingest.attach_stop_sequence(delays, routes, deal_to=4)
+    assert rows.where((F.col("train_number") == "") & (F.col("station_sequence") == 0)).count() == 200
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 4
