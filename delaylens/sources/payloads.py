@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +46,10 @@ def flatten_live_status(payloads: DataFrame) -> DataFrame:
     Null-safe on ``currentLocation`` / ``nextHalt``; the train number falls back to the
     requested one. Non-200 responses are dropped here and counted by ``live_status_counts``.
     """
-    ok = payloads.where(F.col("http_status") == 200)
-    p = F.from_json("payload", LIVE_STATUS_SCHEMA).getField("data")
+    # Parsed in a step of its own: named in each column, the payload would be parsed for each.
+    ok = payloads.where(F.col("http_status") == 200).select(
+        "requested_train_number", "retrieved_at", F.from_json("payload", LIVE_STATUS_SCHEMA).getField("data").alias("data"))
+    p = F.col("data")
     flat = ok.select(
         F.coalesce(E.blank_to_null(p.getField("trainNumber")), F.col("requested_train_number")).alias("train_number"),
         p.getField("startDate").try_cast("date").alias("journey_date"),
@@ -65,12 +67,14 @@ def flatten_live_status(payloads: DataFrame) -> DataFrame:
     return flat.withColumn("source_record_hash", E.record_hash(*parts))
 
 
+def response_counts() -> list[Column]:
+    return [F.count_if(F.col("http_status") == 200).cast("long").alias("received"),
+            F.count_if(F.col("http_status") != 200).cast("long").alias("rejected")]
+
+
 def live_status_counts(payloads: DataFrame) -> DataFrame:
     """received = HTTP 200 responses; rejected = the others (the archive's definition, T20)."""
-    return payloads.agg(
-        F.count_if(F.col("http_status") == 200).cast("long").alias("received"),
-        F.count_if(F.col("http_status") != 200).cast("long").alias("rejected"),
-    )
+    return payloads.agg(*response_counts())
 
 
 def flatten_weather(payloads: DataFrame, key_cols: list[str]) -> DataFrame:

@@ -23,7 +23,7 @@ once, on its way to the raw table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,12 +108,14 @@ def snapshot_archive(spark: SparkSession, landing: str, archive: str, checkpoint
         tell("running")
         try:
             # The hash covers retrieved_at: earlier snapshots of the same retrieval days are enough.
-            flat = payloads.flatten_live_status(batch).withColumn("retrieved_date", F.to_date("retrieved_at"))
+            seen = Observation()  # counted in the pass that writes the flat rows
+            rows = batch.observe(seen, *payloads.response_counts()) if audit else batch
+            flat = payloads.flatten_live_status(rows).withColumn("retrieved_date", F.to_date("retrieved_at"))
             flat = tables.materialized(flat, "snapshot-batch")
             if audit:
-                counters = payloads.live_status_counts(batch).first().asDict()
+                counters = load_run.counts(seen, "received", "rejected")
                 counters["valid"] = counters["received"]
-                counters["distinct_valid"] = flat.select("source_record_hash").distinct().count()
+                counters["distinct_valid"] = flat.select(tables.packed("source_record_hash")).distinct().count()
             if before_store:
                 before_store(batch_id)
             days = _store_new(spark, flat, archive, "retrieved_date", batch_id)

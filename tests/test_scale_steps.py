@@ -78,3 +78,12 @@ def test_rows_without_a_train_are_spread(spark):
     rows = ingest.attach_stop_sequence(delays, routes, deal_to=4)
     assert rows.where((F.col("train_number") == "") & (F.col("station_sequence") == 0)).count() == 200
     assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+
+
+def test_a_payload_is_parsed_once(spark):
+    from delaylens.sources import payloads
+    rows = spark.createDataFrame([(200, "1", '{"data":{"trainNumber":"7","status":"late","delayMinutes":3}}', DAY)],
+                                 "http_status int, requested_train_number string, payload string, retrieved_at date")
+    flat = payloads.flatten_live_status(rows)
+    assert (flat.first().train_number, flat.first().journey_status, flat.first().delay_minutes) == ("7", "late", 3.0)
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
