@@ -31,8 +31,9 @@ RULE_CODES = [
 
 
 def _length_fails(c: Column, max_len: int) -> Column:
+    # Only a text that is too long as it stands is stripped for its length.
     text = strip(c)
-    return c.isNull() | (F.length(text) < 1) | (F.length(text) > max_len)
+    return c.isNull() | (text == "") | ((F.length(c) > max_len) & (F.length(text) > max_len))
 
 
 def _delay_fails(c: Column) -> Column:

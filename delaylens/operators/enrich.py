@@ -12,13 +12,14 @@ from delaylens.functions import expressions as E
 def daily_weather(rows: DataFrame) -> DataFrame:
     """One row per (station, day) from flattened payload rows (error rows left out).
 
-    Several payloads may cover the same station-day: the one requested last holds, whole.
+    Several payloads may cover the same station-day: the one requested last holds, whole. Each measure is
+    picked on its own, since numbers are aggregated by hash and a struct of them by sorting all rows; all see
+    the same rows in the same order, so of several with the last number they pick the same one.
     """
-    measures = ["temperature_2m_mean", "precipitation_sum", "weather_code"]
     latest = rows.where(F.col("error").isNull()).groupBy("station_code", "weather_date").agg(
-        F.max_by(F.struct(*measures), "request_id").alias("m"))
-    return latest.select("station_code", "weather_date", E.round6(F.col("m.temperature_2m_mean")).alias("temperature_2m_mean"),
-                         E.round6(F.col("m.precipitation_sum")).alias("precipitation_sum"), "m.weather_code")
+        *[F.max_by(c, "request_id").alias(c) for c in ("temperature_2m_mean", "precipitation_sum", "weather_code")])
+    return latest.select("station_code", "weather_date", E.round6(F.col("temperature_2m_mean")).alias("temperature_2m_mean"),
+                         E.round6(F.col("precipitation_sum")).alias("precipitation_sum"), "weather_code")
 
 
 def enrich_with_weather(fact: DataFrame, weather: DataFrame, lag_days: int = 1) -> DataFrame:

@@ -87,3 +87,13 @@ def test_a_payload_is_parsed_once(spark):
     flat = payloads.flatten_live_status(rows)
     assert (flat.first().train_number, flat.first().journey_status, flat.first().delay_minutes) == ("7", "late", 3.0)
     assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_the_last_weather_is_whole_and_aggregated_by_hash(spark):
+    from delaylens.operators import enrich
+    rows = spark.createDataFrame([(1, "A", DAY, 9.0, 8.0, 7, None), (2, "A", DAY, None, 1.0, None, None), (3, "A", DAY, 5.0, 5.0, 5, "x")],
+                                 "request_id long, station_code string, weather_date date, temperature_2m_mean double, "
+                                 "precipitation_sum double, weather_code int, error string")
+    daily = enrich.daily_weather(rows)
+    assert [tuple(r) for r in daily.collect()] == [("A", DAY, None, 1.0, None)]
+    assert "SortAggregate" not in daily._jdf.queryExecution().executedPlan().toString()
