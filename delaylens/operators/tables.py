@@ -174,11 +174,19 @@ def append_batch(df: DataFrame, root: str, date_col: str, batch_id: int) -> None
     write(rebalanced(df.withColumn("batch_id", F.lit(batch_id).cast("long")), date_col), root, date_col, "batch_id")
 
 
+def _date_folder(root: str, date_col: str, day) -> str:
+    return f"{root.rstrip('/')}/{date_col}={NULL_PARTITION if day is None else day}"
+
+
+def existing_dates(spark: SparkSession, root: str, date_col: str, days: list) -> list:
+    """Those of the dates that the table has a folder for."""
+    return [d for d in days if path_exists(spark, _date_folder(root, date_col, d))]
+
+
 def read_dates(spark: SparkSession, root: str, schema: T.StructType, date_col: str, days: list) -> DataFrame:
     """Rows of the given dates (None: those without one): only their folders are listed and read.
     Columns as in ``schema``."""
-    names = (f"{root.rstrip('/')}/{date_col}={NULL_PARTITION if d is None else d}" for d in days)
-    found = [f for f in names if path_exists(spark, f)]
+    found = [_date_folder(root, date_col, d) for d in existing_dates(spark, root, date_col, days)]
     if not found:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*found)

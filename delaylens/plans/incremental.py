@@ -217,7 +217,9 @@ def close_predictions(spark: SparkSession, t: IncrementalTables, feed: DataFrame
     """
     actual = feed.where((F.col("change") > 0) & F.col("arrival_delay_minutes").isNotNull()) \
         .select(*STOP_KEY, F.col("arrival_delay_minutes").alias("actual_arrival_delay_minutes"))
-    days = tables.dates(actual, "journey_date")
+    # Only the dates that have predictions: the other rows of the feed aren't joined.
+    days = tables.existing_dates(spark, t.path("predictions"), "journey_date", tables.dates(actual, "journey_date"))
+    actual = actual.where(tables.on_dates("journey_date", days))
     made = tables.read_dates(spark, t.path("predictions"), schema, "journey_date", days)
     error = F.abs(F.col("actual_arrival_delay_minutes") - F.col("predicted_arrival_delay_minutes"))
     found = made.join(actual, STOP_KEY).withColumn("absolute_error_minutes", error)

@@ -18,10 +18,17 @@ SPLIT_ORDER = ["scheduled_arrival_at", "train_number", "journey_date", "station_
 ROW_ORDER = ["journey_date", "train_number", "station_code", "station_sequence"]
 
 
+def _for_predictions(fact):
+    """The columns that splits, means, predictions and their actuals read, written. Without the hash, which
+    is most of a fact row's bytes."""
+    return tables.materialized(fact.select(*STOP_KEYS, "scheduled_arrival_at", "actual_arrival_at", "arrival_delay_minutes",
+                                           "previous_station_arrival_delay_minutes"), "fact_station_arrival")
+
+
 def _shared_fact(spark, sf_dir):
     """The fact for jobs that read it several times (date list, training part, holdout):
     computed once and checkpointed, so the model pipeline does not run per use."""
-    return from_fixtures(spark, sf_dir).materialized("fact_station_arrival").fact_station_arrival
+    return _for_predictions(from_fixtures(spark, sf_dir).fact_station_arrival)
 
 
 def _observations(spark, sf_dir):

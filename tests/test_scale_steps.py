@@ -97,3 +97,11 @@ def test_the_last_weather_is_whole_and_aggregated_by_hash(spark):
     daily = enrich.daily_weather(rows)
     assert [tuple(r) for r in daily.collect()] == [("A", DAY, None, 1.0, None)]
     assert "SortAggregate" not in daily._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_shared_fact_is_written_without_the_hash(spark, scratch):
+    from delaylens.plans import queries_model
+    assert "source_record_hash" not in queries_model._shared_fact(spark, "/root/testdata/sf0.001").columns
+    for day in ("2024-09-01", tables.NULL_PARTITION):
+        os.makedirs(os.path.join(scratch, f"journey_date={day}"))
+    assert tables.existing_dates(spark, scratch, "journey_date", [DAY, dt.date(2024, 9, 2), None]) == [DAY, None]
