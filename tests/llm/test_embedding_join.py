@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 
 from delaylens.llm import embedding_join as E
@@ -66,3 +68,21 @@ def test_every_length_is_joined(workers):
     found = {r[0]: r[1:3] for r in got(df)}
     assert [found[k] for k in (10, 11, 12, 13, 14, 15)] == [(1, 10), (1, 10), (0, 12), (1, 13), (1, 13), (0, 15)]
     assert all(found[k] == (4, 0) for k in range(5))
+
+
+def test_what_is_written_doesnt_grow_with_the_pairs(workers):
+    """Without clusters every block meets every other; each vector is still written twice at most."""
+    x = np.random.default_rng(7).normal(size=(3000, 32)).astype(np.float32)
+    df = workers.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").coalesce(2)
+    base = f"{workers.sparkContext.getCheckpointDir()}/delaylens".removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    got(df, E.RangeParams(cell=100, tile=128))
+    sizes = [os.path.getsize(f"{d}/{f}") for name in set(os.listdir(base)) - before if name.startswith(("range-vectors", "range-cells", "range-blocks"))
+             for d, _, files in os.walk(f"{base}/{name}") for f in files]
+    assert 2 * x.nbytes < sum(sizes) < 3 * x.nbytes
+
+
+def test_mixed_precision_lies_in_one_block(workers):
+    """Vectors that single precision holds exactly, and others, are compared in double precision."""
+    rows = [(k, [0.1 * k + 0.3, 1.0, 2.0]) for k in range(6)] + [(k, [float(k), 1.0, -2.0]) for k in range(6, 12)]
+    assert got(workers.createDataFrame(rows, "vec_id long, embedding array<double>")) == brute(rows)
