@@ -156,7 +156,7 @@ STOP_KEY = ["train_number", "journey_date", "station_code", "station_sequence"]
 
 
 def incremental_fact_batch(raw: DataFrame, target: DataFrame, refresh_journeys: bool = False,
-                           overlap_hours: int = 48) -> DataFrame:
+                           overlap_hours: int = 48, table: tables.Bucketed | None = None) -> DataFrame:
     """One incremental run of the fact model: the rows to upsert into ``target``.
 
     The warehouse run recomputes the fact over all staging and keeps rows with
@@ -167,12 +167,15 @@ def incremental_fact_batch(raw: DataFrame, target: DataFrame, refresh_journeys:
 
     ``refresh_journeys`` re-emits every stop of a touched journey, so a late correction also
     refreshes the next stop's previous-stop delay (T14); the default keeps the warehouse rule.
-    """
-    from delaylens.operators import tables
 
+    With ``table`` (``target`` in buckets of the train) raw rows are dealt once, as its rows lie, and so the batch
+    lies too; it should be stored in such a table.
+    """
     recent = tables.incremental_window(raw, target, "ingested_at", overlap_hours)
     touched = recent.select(*JOURNEY_KEY).distinct()
-    rebuilt = Models(raw.join(touched, JOURNEY_KEY, "left_semi")).fact_station_arrival
+    if table:
+        raw, touched = table.dealt(raw), table.dealt(touched)
+    rebuilt = Models(raw.join(touched, JOURNEY_KEY, "left_semi"), dealt=table is not None).fact_station_arrival
     if refresh_journeys:
         return rebuilt
     return tables.incremental_window(rebuilt, target, "ingested_at", overlap_hours)

@@ -361,8 +361,10 @@ def q_upsert_fact(spark, sf_dir):
     table = tables.Bucketed(root, Models(old).fact_station_arrival.schema, "train_number", ("journey_date",))
     table.store(Models(table.dealt(old), dealt=True).fact_station_arrival)
     # Only journeys with a raw record in the 48 h window are rebuilt; only their dates are rewritten.
-    batch = tables.materialized(incremental_fact_batch(accepted, table.read(spark)), "fact-batch")
-    tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), table.dealt(batch), table.dealt(batch.select(*STOP_KEYS)),
+    stored = tables.Bucketed(scratch_path(spark, "fact-batch"), table.schema, table.key, table.partitions)
+    stored.store(incremental_fact_batch(accepted, table.read(spark), table=table), table.buckets(spark))
+    batch = stored.read(spark)
+    tables.upsert_partitions(spark, root, scratch_path(spark, "fact_stage"), batch, batch.select(*STOP_KEYS),
                              STOP_KEYS, "journey_date", table)
     return spark.read.parquet(root).select(*UPSERT_COLS)
 

@@ -105,3 +105,31 @@ def test_the_shared_fact_is_written_without_the_hash(spark, scratch):
     for day in ("2024-09-01", tables.NULL_PARTITION):
         os.makedirs(os.path.join(scratch, f"journey_date={day}"))
     assert tables.existing_dates(spark, scratch, "journey_date", [DAY, dt.date(2024, 9, 2), None]) == [DAY, None]
+
+
+def test_an_incremental_batch_lies_as_the_fact_does(spark, scratch):
+    """Raw rows are dealt once, by the train; the batch is stored and joined with the fact where it lies."""
+    from delaylens.operators.marts import FACT_COLUMNS
+    from delaylens.plans.model_build import STOP_KEY, Models, incremental_fact_batch
+    day = lambda d: dt.datetime(2024, 9, d)
+    rows = [(f"t{k % 5}", DAY + dt.timedelta(k % 3), f"S{k % 4}", k % 4, day(1), day(2), float(k), "x", f"{k:064x}", day(1 + k % 20)) for k in range(200)]
+    raw = spark.createDataFrame(rows, "train_number string, journey_date date, station_code string, station_sequence int, scheduled_arrival_at "
+                                "timestamp_ntz, actual_arrival_at timestamp_ntz, arrival_delay_minutes double, status string, "
+                                "source_record_hash string, ingested_at timestamp_ntz")
+    old = Models(raw.where(F.col("ingested_at") < F.lit("2024-09-12").cast("timestamp_ntz"))).fact_station_arrival
+    table = tables.Bucketed(os.path.join(scratch, "t"), old.schema, "train_number", ("journey_date",))
+    table.store(table.dealt(old))
+    batch = incremental_fact_batch(raw, table.read(spark), table=table)
+    want = sorted(map(repr, incremental_fact_batch(raw, old).select(*FACT_COLUMNS).collect()))
+    with tables.session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", **tables._CO_LOCATED):
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+        wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        assert len(wide) == 3 and sum("hashpartitioning(train_number" in x and "journey_date" not in x.split(")")[0] for x in wide) == 2
+    stored = tables.Bucketed(os.path.join(scratch, "b"), table.schema, table.key, table.partitions)
+    stored.store(batch, table.buckets(spark))
+    assert sorted(map(repr, stored.read(spark).select(*FACT_COLUMNS).collect())) == want and want
+    tables.upsert_partitions(spark, table.root, os.path.join(scratch, "stage"), stored.read(spark), stored.read(spark).select(*STOP_KEY),
+                             STOP_KEY, "journey_date", table)
+    full = Models(raw).fact_station_arrival
+    drop = "previous_station_arrival_delay_minutes"
+    assert sorted(map(repr, table.read(spark).drop(drop).collect())) == sorted(map(repr, full.drop(drop).select(*table.read(spark).drop(drop).columns).collect()))
