@@ -36,10 +36,11 @@ def _delay(c: str, df: DataFrame):
     return (F.col(c) if c in df.columns else F.lit(None)).try_cast("decimal(12,2)").cast("double").alias(c)
 
 
-def stg_train_running(raw: DataFrame, dealt: bool = False) -> DataFrame:
+def stg_train_running(raw: DataFrame, dealt: bool = False, by_date: bool = False) -> DataFrame:
     """Typed raw running events, latest record per (train, date, station, sequence).
 
     ``dealt``: the rows of a journey lie in one task already (a table in buckets of the train).
+    ``by_date``: rows are dealt in ranges of date and train, so a task holds few dates, for a write partitioned by them.
     """
     typed = raw.select(
         F.col("train_number").cast("string").alias("train_number"),
@@ -57,11 +58,18 @@ def stg_train_running(raw: DataFrame, dealt: bool = False) -> DataFrame:
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
     # Dealt by journey, which serves this window and that of the previous stop (W5) alike.
-    return latest_per_key(typed if dealt else tables.dealt(typed, *JOURNEY_KEY), RUNNING_KEY)
+    if by_date:
+        typed = tables.dealt(typed, "journey_date", "train_number", ranges=True)
+    elif not dealt:
+        typed = tables.dealt(typed, *JOURNEY_KEY)
+    return latest_per_key(typed, RUNNING_KEY)
 
 
-def stg_train_schedule(raw: DataFrame) -> DataFrame:
-    """Typed raw schedule stops, latest record per (train, station, sequence)."""
+def stg_train_schedule(raw: DataFrame, packed: bool = False) -> DataFrame:
+    """Typed raw schedule stops, latest record per (train, station, sequence).
+
+    ``packed``: the hash travels as bytes; a key's records are then collapsed in its task only.
+    """
     typed = raw.select(
         F.col("train_number").cast("string").alias("train_number"),
         F.col("train_name").cast("string").alias("train_name"),
@@ -79,7 +87,7 @@ def stg_train_schedule(raw: DataFrame) -> DataFrame:
         "source_record_hash",
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )
-    return latest_per_key(typed, SCHEDULE_KEY)
+    return latest_per_key(tables.dealt(typed, *SCHEDULE_KEY) if packed else typed, SCHEDULE_KEY)
 
 
 def int_train_running_enriched(stg: DataFrame) -> DataFrame:

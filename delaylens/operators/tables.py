@@ -143,13 +143,13 @@ def unpacked(key: str) -> Column:
     return F.when(F.substring(key, 1, 1) == F.lit(b"\x01"), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8")).alias(key)
 
 
-def dealt(df: DataFrame, *by: str, n: int | None = None, key: str = "source_record_hash") -> DataFrame:
-    """``df`` dealt to tasks by ``by``; its text key travels packed."""
-    by = [F.col(c) for c in by]
+def dealt(df: DataFrame, *by: str, n: int | None = None, key: str = "source_record_hash", ranges: bool = False) -> DataFrame:
+    """``df`` dealt to tasks by ``by``, by hash or in ``ranges``; its text key travels packed."""
+    to = [*([n] if n else []), *[F.col(c) for c in by]]
+    deal = lambda x: x.repartitionByRange(*to) if ranges else x.repartition(*to)
     if key not in df.columns or not isinstance(df.schema[key].dataType, T.StringType):
-        return df.repartition(n, *by) if n else df.repartition(*by)
-    small = df.withColumn(key, packed(key))
-    return (small.repartition(n, *by) if n else small.repartition(*by)).withColumn(key, unpacked(key))
+        return deal(df)
+    return deal(df.withColumn(key, packed(key))).withColumn(key, unpacked(key))
 
 
 # --------------------------------------------------------------------------- dated tables

@@ -10,9 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from delaylens.operators import ingest, marts, staging, tables
+from delaylens.plans.load_run import counts
 from delaylens.sources import fixtures
 
 
@@ -22,10 +24,12 @@ class Models:
     raw_schedule: DataFrame | None = None
     #: The raw rows of a journey lie in one task already.
     dealt: bool = False
+    #: Rows are dealt for writing every model: running events in ranges of date and train, keys as bytes.
+    for_writing: bool = False
 
     @cached_property
     def stg_train_running(self) -> DataFrame:
-        return staging.stg_train_running(self.raw_running, self.dealt)
+        return staging.stg_train_running(self.raw_running, self.dealt, self.for_writing)
 
     @cached_property
     def int_train_running_enriched(self) -> DataFrame:
@@ -43,7 +47,7 @@ class Models:
     def stg_train_schedule(self) -> DataFrame:
         if self.raw_schedule is None:
             raise ValueError("no raw schedule given")
-        return staging.stg_train_schedule(self.raw_schedule)
+        return staging.stg_train_schedule(self.raw_schedule, self.for_writing)
 
     @cached_property
     def dim_route_stop(self) -> DataFrame:
@@ -118,33 +122,36 @@ def materialize(spark: SparkSession, models: Models, root: str) -> DataFrame:
 
     The fact is written first (partitioned by journey date) and the models built on it
     (features, marts) are read back from the written fact, so lineage is cut at the fact and a
-    lost executor recomputes from the written table, not from the raw scan. Views are counted
-    lazily. Returns (model, materialization, rows).
+    lost executor recomputes from the written table, not from the raw scan. Running events are dealt
+    once, in ranges of date and train, which serve the windows and the write alike; the views between
+    them and the fact are counted in the tasks that write it. The schedule's staging, which every
+    dimension reads, is written once. Returns (model, materialization, rows).
     """
-    from pyspark.sql import functions as F
-
     base = root.rstrip("/")
-    from delaylens.operators.tables import rebalanced
-
-    # The stagings are read by the fact, the counts and every dimension: each is computed once.
-    models = Models(models.raw_running, models.raw_schedule, models.dealt).materialized("stg_train_running", "stg_train_schedule")
-    rebalanced(models.fact_station_arrival, "journey_date").write.mode("overwrite").option("compression", "zstd") \
-        .partitionBy("journey_date").parquet(f"{base}/fact_station_arrival")
-    written = Models(models.raw_running, models.raw_schedule)
-    written.__dict__.update({name: models.__dict__[name] for name in ("stg_train_running", "stg_train_schedule")})
-    written.__dict__["fact_station_arrival"] = spark.read.parquet(f"{base}/fact_station_arrival")
+    models = Models(models.raw_running, models.raw_schedule, for_writing=True)
+    # No dimension reads the hash, which chooses the latest record.
+    models.__dict__["stg_train_schedule"] = tables.materialized(models.stg_train_schedule.drop("source_record_hash"), "stg_train_schedule")
+    passed = {name: Observation() for name in ("stg_train_running", "int_train_running_enriched")}
+    for name, seen in passed.items():
+        models.__dict__[name] = getattr(models, name).observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def write(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
+        # A task holds few dates, each with a writer of its own; rows are sorted by date only where there are more.
+        with tables.session_conf(spark, spark__sql__maxConcurrentOutputFileWriters="8"):
+            tables.write(df, f"{base}/{name}", *partition_cols)
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    models.__dict__["fact_station_arrival"] = write(models.fact_station_arrival, "fact_station_arrival", "journey_date")
     parts = []
     for name, kind in MATERIALIZATION.items():
-        df = getattr(written, name)
-        if kind != "view" and name != "fact_station_arrival":
-            partitioned = "journey_date" in df.columns and kind == "incremental"
-            w = (rebalanced(df, "journey_date") if partitioned else df).write.mode("overwrite").option("compression", "zstd")
-            if partitioned:
-                w = w.partitionBy("journey_date")
-            w.parquet(f"{base}/{name}")
-            df = spark.read.parquet(f"{base}/{name}")
-        parts.append(df.agg(F.count(F.lit(1)).cast("long").alias("rows"))
-                       .select(F.lit(name).alias("model"), F.lit(kind).alias("materialization"), "rows"))
+        if name in passed:
+            rows = spark.range(1).select(F.lit(counts(passed[name], "rows")["rows"]).cast("long").alias("rows"))
+        else:
+            df = getattr(models, name)
+            if kind != "view" and name != "fact_station_arrival":
+                df = write(df, name, *["journey_date"][: "journey_date" in df.columns and kind == "incremental"])
+            rows = df.agg(F.count(F.lit(1)).cast("long").alias("rows"))
+        parts.append(rows.select(F.lit(name).alias("model"), F.lit(kind).alias("materialization"), "rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

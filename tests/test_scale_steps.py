@@ -133,3 +133,41 @@ def test_an_incremental_batch_lies_as_the_fact_does(spark, scratch):
     full = Models(raw).fact_station_arrival
     drop = "previous_station_arrival_delay_minutes"
     assert sorted(map(repr, table.read(spark).drop(drop).collect())) == sorted(map(repr, full.drop(drop).select(*table.read(spark).drop(drop).columns).collect()))
+
+
+def _models(spark, n):
+    from delaylens.plans.model_build import Models
+    at = lambda d: dt.datetime(2024, 9, d)
+    events = [(f"t{k % 5}", DAY + dt.timedelta(k % 3), f"S{k % 4}", k % 4, at(1), at(2), float(k), "x", f"{k:064x}", at(1 + k % 20)) for k in range(n)]
+    stops = [(f"t{k % 5}", f"n{k % 2}", f"S{k % 4}", f"Station {k % 4}", k % 4, f"{k:064x}", at(1 + k % 20)) for k in range(n)]
+    schema = ("train_number string, journey_date date, station_code string, station_sequence int, scheduled_arrival_at timestamp_ntz, "
+              "actual_arrival_at timestamp_ntz, arrival_delay_minutes double, status string, source_record_hash string, ingested_at timestamp_ntz")
+    plan = ("train_number string, train_name string, station_code string, station_name string, station_sequence int, "
+            "source_record_hash string, ingested_at timestamp_ntz")
+    schedule = spark.createDataFrame(stops, plan).withColumns({c: F.lit(None).cast("string") for c in (
+        "train_type", "source_station_code", "destination_station_code", "schedule_arrival_time", "schedule_departure_time",
+        "journey_day_number", "distance_km", "source_name")})
+    return Models(spark.createDataFrame(events, schema), schedule)
+
+
+def test_a_model_build_deals_running_events_once(spark, scratch):
+    """Two shuffles of whole rows, one for each raw table; views are counted in the tasks that write the fact."""
+    from delaylens.plans.model_build import MATERIALIZATION, materialize
+    base = f"{spark.sparkContext.getCheckpointDir()}/delaylens".removeprefix("file:")
+    shared = lambda: set(os.listdir(base) if os.path.isdir(base) else [])
+    for n in (300, 0):
+        root, m = os.path.join(scratch, str(n)), _models(spark, n)
+        before = shared()
+        got = {r.model: (r.materialization, r.rows) for r in materialize(spark, m, root).collect()}
+        assert got == {name: (kind, getattr(m, name).count()) for name, kind in MATERIALIZATION.items()}
+        fact = spark.read.schema(m.fact_station_arrival.schema).parquet(f"{root}/fact_station_arrival")
+        assert sorted(map(repr, fact.collect())) == sorted(map(repr, m.fact_station_arrival.select(*fact.columns).collect()))
+        assert [x.rsplit("-", 1)[0] for x in shared() - before] == ["stg_train_schedule"]
+        if n:
+            assert sorted(x for x in os.listdir(f"{root}/delay_features") if "=" in x) == [f"journey_date={DAY + dt.timedelta(k)}" for k in range(3)]
+    rows = _models(spark, 300)
+    rows.for_writing = True
+    for df in (rows.fact_station_arrival, rows.stg_train_schedule):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1
+    assert "Exchange rangepartitioning(journey_date" in rows.fact_station_arrival._jdf.queryExecution().executedPlan().toString()
